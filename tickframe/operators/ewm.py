@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.expr import col_or
-from tickframe.functions.windows import KEY, TIME
+from tickframe.functions.windows import BLK, BLOCK_ROWS, KEY, POS, TIME, positioned
 
 _CARRY_LOG = math.log(1e20)  # older blocks weigh < 1e-20
 _MAX_EXP = 700.0             # exp() stays finite below ~709
@@ -66,15 +66,10 @@ def ewm(src, out, *, span=None, com=None, alpha=None, halflife=None,
     return Ewm(src, out, alpha_from(span, com, alpha, halflife), adjust, min_periods)
 
 
-def block_rows(alphas) -> int:
-    lams = [-math.log1p(-a) if a < 1 else None for a in alphas]
-    finite = [x for x in lams if x is not None]
-    if not finite:
-        return 1
-    b = int(math.ceil(_CARRY_LOG / min(finite)))
-    if b * max(finite) > _MAX_EXP:
-        raise ValueError("alphas too far apart for one block size; call with_ewm per group")
-    return max(b, 1)
+def check_block(alphas, rows: int = BLOCK_ROWS) -> None:
+    lams = [-math.log1p(-a) for a in alphas if a < 1]
+    if lams and (rows * min(lams) < _CARRY_LOG or rows * max(lams) > _MAX_EXP):
+        raise ValueError(f"alpha outside the range served by {rows}-row blocks: {sorted(alphas)}")
 
 
 def with_ewm(df: DataFrame, specs: list[Ewm], key: str = KEY, order: str = TIME,
@@ -82,20 +77,19 @@ def with_ewm(df: DataFrame, specs: list[Ewm], key: str = KEY, order: str = TIME,
     """Add one column per spec.  Input rows must be unique per (key, order)."""
     if not specs:
         return df
-    B = block_rows([s.alpha for s in specs if s.alpha < 1])
-    w = Window.partitionBy(key).orderBy(order)
+    B = BLOCK_ROWS
+    check_block([s.alpha for s in specs], B)
+    base = list(df.columns)
+    df = positioned(df, key, order)
+    # one sort order (key, _blk, _i) serves all three specs
+    w = Window.partitionBy(key).orderBy(BLK, POS)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    wb = Window.partitionBy(key, "_blk").orderBy(order)
+    wb = Window.partitionBy(key, BLK).orderBy(POS)
     wb_run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wc = Window.partitionBy(key).orderBy("_blk").rangeBetween(-1, -1)
-
-    base = list(df.columns)
-    if "_i" not in df.columns:
-        df = df.withColumn("_i", F.row_number().over(w) - 1)
-    df = df.withColumn("_blk", F.floor(F.col("_i") / F.lit(B)).cast("long"))
-    i, blk = F.col("_i"), F.col("_blk")
+    wc = Window.partitionBy(key).orderBy(BLK).rangeBetween(-1, -1)
+    i, blk = F.col(POS), F.col(BLK)
     offs = (i - blk * F.lit(B)).cast("double")          # row offset inside the block
 
     # layer 1: previous observed position (adjust=False only needs it)
@@ -178,5 +172,5 @@ def with_ewm(df: DataFrame, specs: list[Ewm], key: str = KEY, order: str = TIME,
         v = F.last(f"_y{n}", True).over(run)
         outs.append(F.when(F.count(x).over(run) >= max(s.min_periods, 1), v).alias(s.out))
     df = df.select("*", *outs)
-    keep = base + (["_i"] if keep_helpers or "_i" in base else []) + [s.out for s in specs]
+    keep = base + ([POS, BLK] if keep_helpers or POS in base else []) + [s.out for s in specs]
     return df.select(*dict.fromkeys(keep))

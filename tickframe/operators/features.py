@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.functions.expr import flag, ieee_div, inf_to_null
-from tickframe.functions.windows import KEY, diff, forward_max, rolling_mean
+from tickframe.functions.windows import KEY, diff, forward_max, positioned, rolling_mean, unpositioned
 from tickframe.operators import indicators as ind
 from tickframe.schemas import BAR_COLS, LIVE_FEATURES, RESEARCH_FEATURES
 
@@ -19,6 +19,7 @@ def forward_max_label(df: DataFrame, pct: float = 0.03, horizon: int = 5,
 
     Undefined look-ahead (first horizon-1 rows, last horizon rows) gives 0:
     the label is never NULL and no row is dropped."""
+    df = positioned(df)
     fh = forward_max("high", horizon)
     return df.withColumn(out, flag(fh >= F.col("close") * F.lit(1.0 + pct)))
 
@@ -26,6 +27,7 @@ def forward_max_label(df: DataFrame, pct: float = 0.03, horizon: int = 5,
 def research_features(df: DataFrame, pct: float = 0.03, horizon: int = 5) -> DataFrame:
     """Context + strategy features + label of the research dialect.
     Needs rsi..atr and sma_200 present."""
+    df = positioned(df)
     c = F.col("close")
     df = df.withColumn("dist_sma_200_pct", ieee_div(c - F.col("sma_200"), F.col("sma_200")) * F.lit(100.0))
     df = ind.macd_cross_event(df)
@@ -47,7 +49,8 @@ def live_features(df: DataFrame) -> DataFrame:
     """Features of the live dialect (computes sma_200 and live ADX itself)."""
     c = F.col("close")
     df = ind.sma(df, 200)
-    df = ind.adx(df, 14, dialect="live")
+    if "adx" not in df.columns:
+        df = ind.adx(df, 14, dialect="live")
     df = df.withColumn("dist_sma_200_pct", ieee_div(c - F.col("sma_200"), F.col("sma_200")) * F.lit(100.0))
     df = df.withColumn("macd_cross", flag(F.col("macd_hist") > 0))
     df = ind.calendar(df)
@@ -61,8 +64,9 @@ def live_features(df: DataFrame) -> DataFrame:
 
 
 def min_history(df: DataFrame, n: int = MIN_HISTORY, key: str = KEY) -> DataFrame:
-    """Drop whole series with fewer than ``n`` bars (count window: no extra shuffle
-    when the series windows follow)."""
+    """Drop whole series with fewer than ``n`` bars.  A count window over the
+    already clustered series: no extra shuffle, and positions stay valid
+    because whole series are kept or dropped."""
     from pyspark.sql import Window
     cnt = F.count(F.lit(1)).over(Window.partitionBy(key))
     return df.withColumn("_n", cnt).filter(F.col("_n") >= n).drop("_n")
@@ -74,16 +78,14 @@ def _bars(df: DataFrame) -> DataFrame:
 
 def enrich_research(bars: DataFrame, min_bars: int = MIN_HISTORY) -> DataFrame:
     """Full research enrichment: 250-bar rule, indicators, features, label."""
-    df = _bars(bars).repartition(KEY)
+    df = positioned(_bars(bars).repartition(KEY))
     if min_bars:
         df = min_history(df, min_bars)
-    df = ind.rsi(df)
+    df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="research")])
     df = ind.stochastic(df)
     df = ind.cmf(df)
     df = ind.sma(df, 200)
     df = ind.bollinger(df)
-    df = ind.macd(df)
-    df = ind.adx(df, dialect="research")
     df = research_features(df)
     return df.select("symbol", "open_time", *BAR_COLS, *RESEARCH_FEATURES)
 
@@ -91,14 +93,13 @@ def enrich_research(bars: DataFrame, min_bars: int = MIN_HISTORY) -> DataFrame:
 def enrich_live_all(bars: DataFrame, min_bars: int | None = MIN_HISTORY,
                     fill_flat: bool = True) -> DataFrame:
     """Live indicators and features on every bar (no NULL filter)."""
-    df = _bars(bars).repartition(KEY)
+    df = positioned(_bars(bars).repartition(KEY))
     if min_bars:
         df = min_history(df, min_bars)
-    df = ind.rsi(df)
+    df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="live")])
     df = ind.stochastic(df)
     df = ind.cmf(df, fill_flat=fill_flat)
     df = ind.bollinger(df)
-    df = ind.macd(df)
     df = live_features(df)
     return df.select("symbol", "open_time", *BAR_COLS, *LIVE_FEATURES)
 

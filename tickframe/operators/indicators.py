@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.expr import flag, ieee_div
 from tickframe.functions.windows import (
-    diff, lag, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum,
+    diff, lag, positioned, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum,
 )
 from tickframe.operators.ewm import ewm, with_ewm
 
@@ -30,20 +30,136 @@ def _check(dialect: str) -> None:
         raise ValueError(f"dialect must be one of {DIALECTS}")
 
 
-def rsi(df: DataFrame, period: int = 14, src: str = "close", out: str = "rsi_14") -> DataFrame:
+class Indicator:
+    """An indicator as phases: ``prep`` adds EWM inputs, ``stage1`` EWMs,
+    ``mid`` derives second-stage inputs, ``stage2`` EWMs, ``post`` finishes.
+
+    ``fused(df, [...])`` runs the phases of several indicators together so all
+    their first-stage EWMs share one set of window operators (and the second
+    stage another) -- the plan grows with the number of stages, not indicators.
+    """
+
+    def __init__(self, prep=None, stage1=(), mid=None, stage2=(), post=None, temp=()):
+        self.prep, self.stage1, self.mid, self.stage2, self.post = prep, list(stage1), mid, list(stage2), post
+        self.temp = list(temp)
+
+
+def fused(df: DataFrame, indicators: list[Indicator]) -> DataFrame:
+    df = positioned(df)
+    for phase in ("prep",):
+        for x in indicators:
+            if x.prep:
+                df = x.prep(df)
+    df = with_ewm(df, [e for x in indicators for e in x.stage1])
+    for x in indicators:
+        if x.mid:
+            df = x.mid(df)
+    df = with_ewm(df, [e for x in indicators for e in x.stage2])
+    for x in indicators:
+        if x.post:
+            df = x.post(df)
+    return df.drop(*[c for x in indicators for c in x.temp])
+
+
+def rsi_ind(period: int = 14, src: str = "close", out: str = "rsi_14") -> Indicator:
     """Wilder-style RSI with adjusted EWM (com = period-1, min_periods = period).
     Row 0 gain/loss are 0, not NULL; only-gains -> 100; flat -> NULL."""
-    d = diff(src)
-    df = df.withColumn("_gain", F.when(F.coalesce(d > 0, F.lit(False)), d).otherwise(F.lit(0.0)))
-    df = df.withColumn("_loss", F.when(F.coalesce(d < 0, F.lit(False)), -d).otherwise(F.lit(0.0)))
-    df = with_ewm(df, [ewm("_gain", "_ag", com=period - 1, adjust=True, min_periods=period),
-                       ewm("_loss", "_al", com=period - 1, adjust=True, min_periods=period)])
-    rs = ieee_div(F.col("_ag"), F.col("_al"))
-    return (df.withColumn(out, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs))
-              .drop("_gain", "_loss", "_ag", "_al"))
+    def prep(df):
+        d = diff(src)
+        df = df.withColumn("_gain", F.when(F.coalesce(d > 0, F.lit(False)), d).otherwise(F.lit(0.0)))
+        return df.withColumn("_loss", F.when(F.coalesce(d < 0, F.lit(False)), -d).otherwise(F.lit(0.0)))
+
+    def post(df):
+        rs = ieee_div(F.col("_ag"), F.col("_al"))
+        return df.withColumn(out, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs))
+    return Indicator(prep, [ewm("_gain", "_ag", com=period - 1, adjust=True, min_periods=period),
+                            ewm("_loss", "_al", com=period - 1, adjust=True, min_periods=period)],
+                     post=post, temp=["_gain", "_loss", "_ag", "_al"])
+
+
+def macd_ind(fast: int = 12, slow: int = 26, signal: int = 9) -> Indicator:
+    def mid(df):
+        return df.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow"))
+
+    def post(df):
+        return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return Indicator(None, [ewm("close", "_ema_fast", span=fast, adjust=False),
+                            ewm("close", "_ema_slow", span=slow, adjust=False)],
+                     mid, [ewm("macd", "macd_signal", span=signal, adjust=False)], post,
+                     temp=["_ema_fast", "_ema_slow"])
+
+
+def adx_ind(window: int = 14, dialect: str = "research") -> Indicator:
+    """ADX with DI+/DI- and ATR.
+
+    research: TR row 0 = high-low (max skips NULL); down move = low - prev low
+    (signed as written); +DM needs up > down and up > 0; EWM alpha=1/window,
+    min_periods=window; epsilon in the divisors.  Adds di_plus, di_minus, adx, atr.
+
+    live: TR NULL on row 0; down move = prev low - low; no > 0 guard; EWM
+    span=window, no min_periods; IEEE division.  Adds tr, dm_plus, dm_minus,
+    di_plus, di_minus, dx, adx, atr.
+    """
+    _check(dialect)
+    h, l = F.col("high"), F.col("low")
+    pc = lag("close")
+    tr = F.greatest(h - l, F.abs(h - pc), F.abs(l - pc))
+    if dialect == "research":
+        sm = dict(alpha=1.0 / window, adjust=False, min_periods=window)
+
+        def prep(df):
+            up, dn = diff("high"), diff("low")
+            return (df.withColumn("_tr", tr)
+                      .withColumn("_dmp", F.when(F.coalesce((up > dn) & (up > 0), F.lit(False)), up).otherwise(F.lit(0.0)))
+                      .withColumn("_dmm", F.when(F.coalesce((dn > up) & (dn > 0), F.lit(False)), dn).otherwise(F.lit(0.0))))
+
+        def mid(df):
+            df = (df.withColumn("di_plus", F.lit(100.0) * (F.col("_dmps") / (F.col("_atr") + F.lit(EPS))))
+                    .withColumn("di_minus", F.lit(100.0) * (F.col("_dmms") / (F.col("_atr") + F.lit(EPS)))))
+            return df.withColumn("_dx", F.lit(100.0) * (F.abs(F.col("di_plus") - F.col("di_minus"))
+                                                        / (F.col("di_plus") + F.col("di_minus") + F.lit(EPS))))
+
+        def post(df):
+            return df if "atr" in df.columns else df.withColumn("atr", F.col("_atr"))
+        return Indicator(prep, [ewm("_tr", "_atr", **sm), ewm("_dmp", "_dmps", **sm), ewm("_dmm", "_dmms", **sm)],
+                         mid, [ewm("_dx", "adx", **sm)], post,
+                         temp=["_tr", "_dmp", "_dmm", "_atr", "_dmps", "_dmms", "_dx"])
+    sm = dict(span=window, adjust=False)
+
+    def prep_live(df):
+        up = h - lag("high")
+        down = lag("low") - l
+        return (df.withColumn("tr", F.when(pc.isNotNull(), tr))
+                  .withColumn("dm_plus", F.when(F.coalesce(up > down, F.lit(False)), up).otherwise(F.lit(0.0)))
+                  .withColumn("dm_minus", F.when(F.coalesce(down > up, F.lit(False)), down).otherwise(F.lit(0.0))))
+
+    def mid_live(df):
+        df = (df.withColumn("di_plus", ieee_div(F.col("_trs_dmp"), F.col("_trs")) * F.lit(100.0))
+                .withColumn("di_minus", ieee_div(F.col("_trs_dmm"), F.col("_trs")) * F.lit(100.0)))
+        return df.withColumn("dx", ieee_div(F.abs(F.col("di_plus") - F.col("di_minus")),
+                                            F.col("di_plus") + F.col("di_minus")) * F.lit(100.0))
+
+    def post_live(df):
+        return df.withColumn("atr", F.col("_trs"))
+    return Indicator(prep_live, [ewm("tr", "_trs", **sm), ewm("dm_plus", "_trs_dmp", **sm),
+                                 ewm("dm_minus", "_trs_dmm", **sm)],
+                     mid_live, [ewm("dx", "adx", **sm)], post_live, temp=["_trs", "_trs_dmp", "_trs_dmm"])
+
+
+def rsi(df: DataFrame, period: int = 14, src: str = "close", out: str = "rsi_14") -> DataFrame:
+    return fused(df, [rsi_ind(period, src, out)])
+
+
+def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+    return fused(df, [macd_ind(fast, slow, signal)])
+
+
+def adx(df: DataFrame, window: int = 14, dialect: str = "research") -> DataFrame:
+    return fused(df, [adx_ind(window, dialect)])
 
 
 def stochastic(df: DataFrame, k: int = 14, d: int = 3) -> DataFrame:
+    df = positioned(df)
     low_min = rolling_min("low", k)
     high_max = rolling_max("high", k)
     df = df.withColumn("stoch_k", ieee_div(F.lit(100.0) * (F.col("close") - low_min), high_max - low_min))
@@ -53,6 +169,7 @@ def stochastic(df: DataFrame, k: int = 14, d: int = 3) -> DataFrame:
 def cmf(df: DataFrame, period: int = 20, fill_flat: bool = True, out: str = "cmf_20") -> DataFrame:
     """Chaikin money flow.  A flat bar (high == low) has multiplier 0/0; it is 0
     with ``fill_flat`` (default) and NULL otherwise (then it blanks ``period`` rows)."""
+    df = positioned(df)
     c, h, l, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
     m = ieee_div((c - l) - (h - c), h - l)
     if fill_flat:
@@ -63,6 +180,7 @@ def cmf(df: DataFrame, period: int = 20, fill_flat: bool = True, out: str = "cmf
 
 
 def bollinger(df: DataFrame, window: int = 20, num_std_dev: float = 2) -> DataFrame:
+    df = positioned(df)
     df = df.withColumn("bb_mid", rolling_mean("close", window))
     df = df.withColumn("_sd", rolling_std("close", window))
     return (df.withColumn("bb_upper", F.col("bb_mid") + F.col("_sd") * F.lit(float(num_std_dev)))
@@ -71,63 +189,12 @@ def bollinger(df: DataFrame, window: int = 20, num_std_dev: float = 2) -> DataFr
 
 
 def sma(df: DataFrame, n: int = 200, src: str = "close", out: str | None = None) -> DataFrame:
-    return df.withColumn(out or f"sma_{n}", rolling_mean(src, n))
-
-
-def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    df = with_ewm(df, [ewm("close", "_ema_fast", span=fast, adjust=False),
-                       ewm("close", "_ema_slow", span=slow, adjust=False)])
-    df = df.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow")).drop("_ema_fast", "_ema_slow")
-    df = with_ewm(df, [ewm("macd", "macd_signal", span=signal, adjust=False)])
-    return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-
-
-def adx(df: DataFrame, window: int = 14, dialect: str = "research") -> DataFrame:
-    """ADX with DI+/DI- and ATR.
-
-    research: TR row 0 = high-low (max skips NULL); down move = low - prev low
-    (signed as written); +DM needs up > down and up > 0; EWM alpha=1/window,
-    min_periods=window; epsilon in the divisors.  Adds di_plus, di_minus, adx, atr.
-
-    live: TR NULL on row 0; down move = prev low - low; no > 0 guard; EWM
-    span=window, no min_periods; IEEE division.  Adds tr, dm_plus, dm_minus,
-    di_plus, di_minus, dx, adx, atr.
-    """
-    _check(dialect)
-    h, l, c = F.col("high"), F.col("low"), F.col("close")
-    pc = lag("close")
-    tr = F.greatest(h - l, F.abs(h - pc), F.abs(l - pc))
-    if dialect == "research":
-        up, dn = diff("high"), diff("low")
-        df = (df.withColumn("_tr", tr)
-                .withColumn("_dmp", F.when(F.coalesce((up > dn) & (up > 0), F.lit(False)), up).otherwise(F.lit(0.0)))
-                .withColumn("_dmm", F.when(F.coalesce((dn > up) & (dn > 0), F.lit(False)), dn).otherwise(F.lit(0.0))))
-        sm = dict(alpha=1.0 / window, adjust=False, min_periods=window)
-        df = with_ewm(df, [ewm("_tr", "_atr", **sm), ewm("_dmp", "_dmps", **sm), ewm("_dmm", "_dmms", **sm)])
-        df = (df.withColumn("di_plus", F.lit(100.0) * (F.col("_dmps") / (F.col("_atr") + F.lit(EPS))))
-                .withColumn("di_minus", F.lit(100.0) * (F.col("_dmms") / (F.col("_atr") + F.lit(EPS)))))
-        dx = F.lit(100.0) * (F.abs(F.col("di_plus") - F.col("di_minus"))
-                             / (F.col("di_plus") + F.col("di_minus") + F.lit(EPS)))
-        df = with_ewm(df.withColumn("_dx", dx), [ewm("_dx", "adx", **sm)])
-        if "atr" not in df.columns:
-            df = df.withColumn("atr", F.col("_atr"))
-        return df.drop("_tr", "_dmp", "_dmm", "_atr", "_dmps", "_dmms", "_dx")
-    up = h - lag("high")
-    down = lag("low") - l
-    df = (df.withColumn("tr", F.when(pc.isNotNull(), tr))
-            .withColumn("dm_plus", F.when(F.coalesce(up > down, F.lit(False)), up).otherwise(F.lit(0.0)))
-            .withColumn("dm_minus", F.when(F.coalesce(down > up, F.lit(False)), down).otherwise(F.lit(0.0))))
-    sm = dict(span=window, adjust=False)
-    df = with_ewm(df, [ewm("tr", "_trs", **sm), ewm("dm_plus", "_dmps", **sm), ewm("dm_minus", "_dmms", **sm)])
-    df = (df.withColumn("di_plus", ieee_div(F.col("_dmps"), F.col("_trs")) * F.lit(100.0))
-            .withColumn("di_minus", ieee_div(F.col("_dmms"), F.col("_trs")) * F.lit(100.0)))
-    dx = ieee_div(F.abs(F.col("di_plus") - F.col("di_minus")), F.col("di_plus") + F.col("di_minus")) * F.lit(100.0)
-    df = with_ewm(df.withColumn("dx", dx), [ewm("dx", "adx", **sm)])
-    return df.withColumn("atr", F.col("_trs")).drop("_trs", "_dmps", "_dmms")
+    return positioned(df).withColumn(out or f"sma_{n}", rolling_mean(src, n))
 
 
 def macd_cross_event(df: DataFrame) -> DataFrame:
     """+1 on a strict upward cross of MACD over its signal, -1 downward, else 0."""
+    df = positioned(df)
     m, s = F.col("macd"), F.col("macd_signal")
     pm, ps = lag("macd"), lag("macd_signal")
     bull = F.coalesce((m > s) & (pm < ps), F.lit(False))
@@ -142,4 +209,4 @@ def calendar(df: DataFrame) -> DataFrame:
 
 
 __all__ = ["rsi", "stochastic", "cmf", "bollinger", "sma", "macd", "adx", "macd_cross_event",
-           "calendar", "flag", "DIALECTS"]
+           "calendar", "flag", "fused", "rsi_ind", "macd_ind", "adx_ind", "DIALECTS"]

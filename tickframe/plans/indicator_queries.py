@@ -52,7 +52,7 @@ _ROLL_SQL = ("WITH bars AS (" + BARS_D_SQL + ") SELECT symbol, open_time, "
 
 @register("rolling_stats", _ROLL_SQL)
 def q_rolling_stats(spark, sf):
-    b = bars_d(spark, sf).repartition("symbol")
+    b = wf.positioned(bars_d(spark, sf).repartition("symbol"))
     return finish(b.select(*K, wf.rolling_min("low", 14).alias("low_min_14"),
                            wf.rolling_max("high", 14).alias("high_max_14"),
                            wf.rolling_mean("close", 3).alias("close_mean_3"),
@@ -70,7 +70,7 @@ _LAG_SQL = ("WITH bars AS (" + BARS_D_SQL + ") SELECT symbol, open_time, "
 
 @register("lag_diff", _LAG_SQL)
 def q_lag_diff(spark, sf):
-    b = bars_d(spark, sf).repartition("symbol")
+    b = wf.positioned(bars_d(spark, sf).repartition("symbol"))
     return finish(b.select(*K, wf.lag("close").alias("close_lag_1"), wf.diff("close").alias("close_diff_1"),
                            wf.diff("close", 3).alias("close_diff_3"),
                            wf.lead("close", 5).alias("close_lead_5")), D4)
