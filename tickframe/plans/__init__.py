@@ -4,5 +4,6 @@
 def load_all():
     from tickframe.plans import indicator_queries  # noqa: F401
     from tickframe.plans import data_queries  # noqa: F401
+    from tickframe.plans import trading_queries  # noqa: F401
     from tickframe.plans.catalog import REGISTRY
     return REGISTRY

@@ -39,8 +39,9 @@ def kind(name: str) -> str:
 
 
 INT_COLS = {"volume_spike_flag", "n_bars", "trade_no", "pos", "rank", "entry", "exit",
-            "signal", "run_id", "is_train", "n", "k"}
-OTHER_COLS = set(KEYS)
+            "signal", "run_id", "is_train", "k"}
+OTHER_COLS = set(KEYS) | {"entry_time", "exit_time", "exit_reason", "dialect", "signal_label",
+                          "class", "trend", "token", "run_version", "file_name", "name"}
 
 
 def finish(df: DataFrame, digits: int, cols: list[str] | None = None) -> DataFrame:
@@ -52,7 +53,7 @@ def finish(df: DataFrame, digits: int, cols: list[str] | None = None) -> DataFra
         t = types[c]
         if t == "double":
             out.append(rnd(c, digits).alias(c))
-        elif t in ("int", "bigint", "smallint", "tinyint") and kind(c) in ("int", "double"):
+        elif t in ("int", "smallint", "tinyint") or (t == "bigint" and kind(c) == "int"):
             out.append(F.col(c).cast("int").alias(c))
         else:
             out.append(F.col(c))
