@@ -41,7 +41,11 @@ def score(df: DataFrame, scorer=stub_probability, out: str = "prob_buy",
     features) are skipped, as a failed prediction skips a symbol."""
     if hasattr(scorer, "transform"):
         from pyspark.ml.functions import vector_to_array
-        scored = scorer.transform(align_features(df, features, keep=df.columns).dropna(subset=features))
+        base = df
+        for c in features:
+            if c not in df.columns:          # absent model column -> 0
+                base = base.withColumn(c, F.lit(0.0))
+        scored = scorer.transform(base.dropna(subset=features))
         return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
     return df.withColumn(out, scorer(df)).filter(F.col(out).isNotNull())
 
