@@ -122,6 +122,6 @@ def wallet_positions(wallet_docs: DataFrame, col: str = "wallet") -> DataFrame:
     from tickframe.schemas import WALLET
     w = wallet_docs.select(F.from_json(F.col(col), WALLET).alias("w"))
     return w.select(F.col("w.cash_usdt").alias("cash_usdt"),
-                    F.posexplode_outer("w.positions").alias("pos", "p")).select(
+                    F.posexplode("w.positions").alias("pos", "p")).select(
         "cash_usdt", "pos", F.col("p.token").alias("symbol"), F.col("p.preco_compra").alias("buy_price"),
         F.col("p.quantidade").alias("qty"), F.col("p.peak_price").alias("peak_price"))
