@@ -26,6 +26,31 @@ def read_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return df.select("symbol", "open_time", *BAR_COLS)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:
+    """Existing table at ``path`` or, when nothing is there yet, an empty frame
+    of ``schema`` (first run of an incremental job).  A corrupt file is an error."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("header", True).load(path)
+
+
+def write_versioned(df: DataFrame, base: str, version: int, fmt: str = "parquet") -> str:
+    """Result sink of one run under ``base/run_version=N`` (trade logs, reports)."""
+    path = f"{base}/run_version={int(version)}"
+    df.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    return path
+
+
+def run_versions(spark: SparkSession, base: str) -> DataFrame:
+    """Names of existing runs under ``base`` as a DataFrame of ``name``."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+    return spark.createDataFrame([(n,) for n in names], "name string")
+
+
 def scan_bars_csv(spark: SparkSession, glob: str, prefix: str = "analise_v2_") -> DataFrame:
     """Legacy per-symbol CSV files (``[prefix]{SYMBOL}_{interval}.csv``, header
     ``open_time,open,high,low,close,volume``): symbol cut from the file name."""
@@ -56,12 +81,12 @@ def symbol_list(docs: DataFrame, text: str = "symbols", key: str = "list_id") ->
     return docs.select(key, F.posexplode(arr).alias("pos", "symbol"))
 
 
-def next_run_version(names: DataFrame, col: str = "name") -> DataFrame:
-    """1 + the largest ``trades_log_v{N}`` among names (1 when there is none)."""
+def next_run_version(names: DataFrame, col: str = "name", prefix: str = "trades_log_v") -> DataFrame:
+    """1 + the largest ``{prefix}{N}`` among names (1 when there is none)."""
     from tickframe.functions.text import run_version
-    return names.filter(F.col(col).startswith("trades_log_v")).agg(
-        (F.coalesce(F.max(run_version(col)), F.lit(0)) + F.lit(1)).alias("next_version"))
+    return names.filter(F.col(col).startswith(prefix)).agg(
+        (F.coalesce(F.max(run_version(col, prefix)), F.lit(0)) + F.lit(1)).alias("next_version"))
 
 
-__all__ = ["write_bars", "read_bars", "scan_bars_csv", "parse_klines", "symbol_list", "next_run_version",
-           "BARS"]
+__all__ = ["write_bars", "read_bars", "read_or_empty", "write_versioned", "run_versions", "scan_bars_csv",
+           "parse_klines", "symbol_list", "next_run_version", "BARS"]
