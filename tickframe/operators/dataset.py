@@ -52,7 +52,8 @@ def chrono_split(df: DataFrame, train_frac: float = 0.8, time: str = TIME, key:
     table, one row per distinct time), the boundary time is found on that
     table, and only the rows of that one timestamp are ranked by key.
     """
-    per_time = df.groupBy(time).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per distinct timestamp; cached because two scalars are read from it
+    per_time = df.groupBy(time).agg(F.count(F.lit(1)).alias("_n")).persist()
     w = Window.orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = per_time.withColumn("_cum", F.sum("_n").over(w))
     total = cum.agg(F.sum("_n").alias("n")).first()["n"] or 0

@@ -66,12 +66,12 @@ def top_signals(scored_latest: DataFrame, symbols: DataFrame, n: int = 20,
     distributed TakeOrdered; only n rows are ranked."""
     n = max(1, n)
     cand = scored_latest.join(symbols.select("symbol", "pos"), "symbol")
-    analysed = cand.count()
+    # one row per symbol: the global count window is bounded by the universe size
+    cand = cand.withColumn("n_analyzed", F.count(F.lit(1)).over(Window.partitionBy()))
     top = cand.orderBy(F.col("prob_buy").desc(), F.col("pos")).limit(n)
     rank = F.row_number().over(Window.orderBy(F.col("prob_buy").desc(), F.col("pos")))
     return top.select(rank.alias("rank"), "symbol", "prob_buy",
-                      signal_label("prob_buy", threshold).alias("signal"),
-                      F.lit(analysed).cast("bigint").alias("n_analyzed"))
+                      signal_label("prob_buy", threshold).alias("signal"), "n_analyzed")
 
 
 def consult(scored_latest: DataFrame, symbol: str, threshold: float = MODEL_THRESHOLD,
