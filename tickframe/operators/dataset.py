@@ -33,14 +33,20 @@ def _ts(v):
     return dt.datetime.fromisoformat(str(v))
 
 
+def ntz_lit(v):
+    """A timestamp_ntz literal from a naive datetime / ISO text, independent of
+    the session and Python time zones (a Python datetime literal is zoned)."""
+    return F.lit(_ts(v).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_range(df: DataFrame, start=None, end=None, time: str = TIME) -> DataFrame:
     """Inclusive ``start <= time <= end``; either bound optional.  A date bound
     means midnight, so later bars of the end day fall out (as in the reference)."""
     start, end = _ts(start), _ts(end)
     if start is not None:
-        df = df.filter(F.col(time) >= F.lit(start).cast("timestamp_ntz"))
+        df = df.filter(F.col(time) >= ntz_lit(start))
     if end is not None:
-        df = df.filter(F.col(time) <= F.lit(end).cast("timestamp_ntz"))
+        df = df.filter(F.col(time) <= ntz_lit(end))
     return df
 
 
@@ -64,9 +70,10 @@ def chrono_split(df: DataFrame, train_frac: float = 0.8, time: str = TIME, key:
         return df.withColumn(out, F.lit(1 if cut >= total and total > 0 else 0))
     t_b, before = b[time], b["_before"]
     rank_b = F.row_number().over(Window.partitionBy(time).orderBy(key))
-    at_b = (df.filter(F.col(time) == F.lit(t_b))
+    tb = ntz_lit(t_b)
+    at_b = (df.filter(F.col(time) == tb)
               .withColumn(out, (rank_b <= F.lit(cut - before)).cast("int")))
-    rest = df.filter(F.col(time) != F.lit(t_b)).withColumn(out, (F.col(time) < F.lit(t_b)).cast("int"))
+    rest = df.filter(F.col(time) != tb).withColumn(out, (F.col(time) < tb).cast("int"))
     return rest.unionByName(at_b)
 
 
