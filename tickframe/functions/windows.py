@@ -35,8 +35,30 @@ def unpositioned(df: DataFrame) -> DataFrame:
     return df.drop(POS, BLK)
 
 
+_LAYOUT = {"blocked": False}
+
+
+class blocked_layout:
+    """Within this context series windows run per (key, block) on halo-extended
+    blocks (see ``operators.blocked``) instead of per key."""
+
+    def __enter__(self):
+        self._old = _LAYOUT["blocked"]
+        _LAYOUT["blocked"] = True
+        return self
+
+    def __exit__(self, *exc):
+        _LAYOUT["blocked"] = self._old
+
+
+def is_blocked() -> bool:
+    return _LAYOUT["blocked"]
+
+
 def series(key: str = KEY, order: str = TIME) -> WindowSpec:
     """Series window; needs ``positioned`` columns (order is by position)."""
+    if _LAYOUT["blocked"]:
+        return Window.partitionBy(key, BLK).orderBy(POS)
     return Window.partitionBy(key).orderBy(BLK, POS)
 
 
@@ -97,7 +119,5 @@ def forward_max(c, n: int, key: str = KEY, order: str = TIME) -> Column:
     """max of the next ``n`` rows; NULL unless all ``n`` exist and are non-null,
     and NULL on the first ``n-1`` rows (pandas ``shift(-n).rolling(n).max()``)."""
     c = col_or(c)
-    w = series(key, order)
-    frame = w.rowsBetween(1, n)
-    return F.when((F.row_number().over(w) >= n) & (F.count(c).over(frame) == n),
-                  F.max(c).over(frame))
+    frame = series(key, order).rowsBetween(1, n)
+    return F.when((F.col(POS) >= n - 1) & (F.count(c).over(frame) == n), F.max(c).over(frame))

@@ -1,0 +1,234 @@
+"""Skew-safe layout for series operators: no task holds a whole series.
+
+The per-symbol layout (``repartition(symbol)`` + windows per symbol) puts a
+hot symbol -- say a third of all bars -- into one task.  Here:
+
+1. Row numbers are distributed: bars are counted per (symbol, month), the
+   month offsets are prefix sums on that small table, and rows are numbered
+   inside their (symbol, month) group only.
+2. Rows are cut into ``BLOCK_ROWS`` blocks; every block gets a copy of the
+   last ``HALO_BACK`` rows of the block before it and the first ``HALO_FWD``
+   rows of the block after it (``_own`` = False), then the data is
+   hash-partitioned by (symbol, block).  All rolling / lag / lead windows run
+   per (symbol, block): the halo gives them their full context.
+3. EWMs need history older than a halo; it arrives through small per-block
+   tables (obs counts, last observed position, log-corrections, block sums,
+   last value) whose prefixes are computed on the block table and joined back.
+
+The result equals the per-symbol layout (tests check it); the price is the
+extra halo rows (~ 34 %) and a few joins with tables 640x smaller than the bars.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tickframe.functions.expr import col_or
+from tickframe.functions.windows import BLK, BLOCK_ROWS, KEY, POS, TIME, blocked_layout
+from tickframe.operators.ewm import Ewm, check_block
+
+HALO_BACK = 210   # deepest look-back of the feature chain: 200-row SMA, then a 3-row difference
+HALO_FWD = 5      # label look-ahead
+OWN = "_own"
+_UNB = Window.unboundedPreceding
+
+
+def positions_distributed(df: DataFrame, key: str = KEY, time: str = TIME, bucket: str = "month") -> DataFrame:
+    """Add ``_i`` / ``_blk`` and the series length ``_n_series`` without a per-series window."""
+    df = df.withColumn("_bk", F.trunc(F.to_date(time), bucket))
+    counts = df.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(key).orderBy("_bk")
+    offs = counts.select(key, "_bk",
+                         F.coalesce(F.sum("_cnt").over(w.rowsBetween(_UNB, -1)), F.lit(0)).alias("_off"),
+                         F.sum("_cnt").over(Window.partitionBy(key)).alias("_n_series"))
+    df = df.join(offs, [key, "_bk"])
+    rn = F.row_number().over(Window.partitionBy(key, "_bk").orderBy(time))
+    df = df.withColumn(POS, (F.col("_off") + rn - 1).cast("long"))
+    df = df.withColumn(BLK, F.floor(F.col(POS) / F.lit(BLOCK_ROWS)).cast("long"))
+    return df.drop("_bk", "_off")
+
+
+def extend(df: DataFrame, key: str = KEY, back: int = HALO_BACK, fwd: int = HALO_FWD) -> DataFrame:
+    """Own rows plus halo copies, hash-partitioned by (key, block)."""
+    off = F.col(POS) - F.col(BLK) * F.lit(BLOCK_ROWS)
+    own = df.withColumn(OWN, F.lit(True))
+    hb = df.filter(off >= BLOCK_ROWS - back).withColumn(BLK, F.col(BLK) + 1).withColumn(OWN, F.lit(False))
+    hf = (df.filter((off < fwd) & (F.col(BLK) > 0)).withColumn(BLK, F.col(BLK) - 1)
+            .withColumn(OWN, F.lit(False)))
+    return own.unionByName(hb).unionByName(hf).repartition(key, BLK)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder.  The block tables
+    are aggregates of the frame they are joined back to, so without a cut the
+    logical plan doubles at every round.  Partitioning is kept."""
+    from tickframe.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def own_rows(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(OWN)).drop(OWN)
+
+
+def with_ewm_blocked(df: DataFrame, specs: list[Ewm], key: str = KEY) -> DataFrame:
+    """EWM means on an extended, (key, block)-partitioned frame; values on own rows."""
+    if not specs:
+        return df
+    B = BLOCK_ROWS
+    check_block([s.alpha for s in specs], B)
+    wb = Window.partitionBy(key, BLK).orderBy(POS)
+    run = wb.rowsBetween(_UNB, 0)
+    before = wb.rowsBetween(_UNB, -1)
+    allb = wb.rowsBetween(_UNB, Window.unboundedFollowing)
+    wk = Window.partitionBy(key).orderBy(BLK).rowsBetween(_UNB, -1)   # over the block table
+    own = F.col(OWN)
+    base = list(df.columns)
+    X = {n: F.when(own, col_or(s.src)) for n, s in enumerate(specs)}
+    lam = {n: (-math.log1p(-s.alpha) if s.alpha < 1 else 0.0) for n, s in enumerate(specs)}
+    offs = (F.col(POS) - F.col(BLK) * F.lit(B)).cast("double")
+    owned = lambda d: d.filter(own)
+
+    # R1: observations and last observed position of earlier blocks
+    r1 = owned(df).groupBy(key, BLK).agg(
+        *[F.count(X[n]).alias(f"_bn{n}") for n in X],
+        *[F.max(F.when(X[n].isNotNull(), F.col(POS))).alias(f"_bl{n}") for n in X])
+    r1 = r1.select(key, BLK, *[F.coalesce(F.sum(f"_bn{n}").over(wk), F.lit(0)).alias(f"_pn{n}") for n in X],
+                   *[F.max(f"_bl{n}").over(wk).alias(f"_pl{n}") for n in X])
+    df = df.join(r1, [key, BLK], "left")
+    df = df.select("*", *[F.coalesce(F.last(F.when(X[n].isNotNull(), F.col(POS)), True).over(before),
+                                      F.col(f"_pl{n}")).alias(f"_p{n}") for n in X],
+                   *[(F.coalesce(F.col(f"_pn{n}"), F.lit(0)) + F.count(X[n]).over(run)).alias(f"_nobs{n}") for n in X])
+
+    # step weights and in-block log-corrections (adjust=False)
+    cols = []
+    for n, s in enumerate(specs):
+        if s.adjust:
+            continue
+        a = s.alpha
+        g = F.col(POS) - F.col(f"_p{n}")
+        wg = F.pow(F.lit(1.0 - a), g.cast("double"))
+        cols += [(F.when(F.col(f"_p{n}").isNull(), F.lit(1.0)).when(g == 1, F.lit(a))
+                  .otherwise(F.lit(a) / (wg + F.lit(a)))).alias(f"_b{n}"),
+                 F.when(X[n].isNotNull() & (g > 1), F.log(wg + F.lit(a))).otherwise(F.lit(0.0)).alias(f"_st{n}")]
+    df = df.select("*", *cols)
+    nadj = [n for n, s in enumerate(specs) if not s.adjust]
+    df = df.select("*", *[F.sum(F.when(own, F.col(f"_st{n}"))).over(run).alias(f"_Ei{n}") for n in nadj])
+
+    # R2: log-corrections of earlier blocks
+    if nadj:
+        r2 = owned(df).groupBy(key, BLK).agg(*[F.sum(f"_st{n}").alias(f"_Et{n}") for n in nadj])
+        r2 = r2.select(key, BLK, *[F.coalesce(F.sum(f"_Et{n}").over(wk), F.lit(0.0)).alias(f"_pE{n}") for n in nadj])
+        df = df.join(r2, [key, BLK], "left")
+        df = df.select("*", *[(F.coalesce(F.col(f"_pE{n}"), F.lit(0.0)) + F.col(f"_Ei{n}")).alias(f"_E{n}")
+                              for n in nadj])
+        df = df.select("*", *[F.max(F.when(own, F.col(f"_E{n}"))).over(allb).alias(f"_Em{n}") for n in nadj])
+
+    # scaled terms and in-block running sums
+    terms = []
+    for n, s in enumerate(specs):
+        x = X[n]
+        if s.adjust:
+            rel = offs * F.lit(lam[n])
+            terms += [F.when(x.isNotNull(), x * F.exp(rel)).alias(f"_tn{n}"),
+                      F.when(x.isNotNull(), F.exp(rel)).alias(f"_td{n}")]
+        else:
+            rel = offs * F.lit(lam[n]) + (F.col(f"_E{n}") - F.col(f"_Em{n}"))
+            terms += [F.when(x.isNotNull(), F.col(f"_b{n}") * x * F.exp(rel)).alias(f"_tn{n}")]
+    df = df.select("*", *terms)
+    sums = []
+    for n, s in enumerate(specs):
+        sums.append(F.sum(f"_tn{n}").over(run).alias(f"_sn{n}"))
+        if s.adjust:
+            sums.append(F.sum(f"_td{n}").over(run).alias(f"_sd{n}"))
+    df = df.select("*", *sums)
+
+    # R3: the previous block's totals
+    agg3 = []
+    for n, s in enumerate(specs):
+        agg3.append(F.sum(f"_tn{n}").alias(f"_cn{n}"))
+        agg3.append(F.sum(f"_td{n}").alias(f"_cd{n}") if s.adjust else F.max(f"_E{n}").alias(f"_cE{n}"))
+    r3 = owned(df).groupBy(key, BLK).agg(*agg3).withColumn(BLK, F.col(BLK) + 1)
+    df = df.join(r3, [key, BLK], "left")
+
+    ys = []
+    for n, s in enumerate(specs):
+        x, lm = X[n], lam[n]
+        if s.adjust:
+            rel = offs * F.lit(lm)
+            prev = rel + F.lit(B * lm)
+            num = F.exp(-rel) * F.col(f"_sn{n}") + F.exp(-prev) * F.coalesce(F.col(f"_cn{n}"), F.lit(0.0))
+            den = F.exp(-rel) * F.col(f"_sd{n}") + F.exp(-prev) * F.coalesce(F.col(f"_cd{n}"), F.lit(0.0))
+            y = num / den
+        else:
+            rel = offs * F.lit(lm) + (F.col(f"_E{n}") - F.col(f"_Em{n}"))
+            prev = (offs + F.lit(float(B))) * F.lit(lm) + (F.col(f"_E{n}") - F.col(f"_cE{n}"))
+            y = F.exp(-rel) * F.col(f"_sn{n}") + F.coalesce(F.exp(-prev) * F.col(f"_cn{n}"), F.lit(0.0))
+        if s.alpha >= 1:
+            y = x
+        ys.append(F.when(x.isNotNull(), y).alias(f"_y{n}"))
+    df = df.select("*", *ys)
+    df = df.select("*", *[F.last(f"_y{n}", True).over(run).alias(f"_yl{n}") for n in X])
+
+    # R4: last value of earlier blocks, for NULL rows before a block's first observation
+    r4 = owned(df).groupBy(key, BLK).agg(*[F.max_by(f"_y{n}", F.when(F.col(f"_y{n}").isNotNull(), F.col(POS)))
+                                           .alias(f"_ly{n}") for n in X])
+    r4 = r4.select(key, BLK, *[F.last(f"_ly{n}", True).over(wk).alias(f"_cy{n}") for n in X])
+    df = df.join(r4, [key, BLK], "left")
+    outs = [F.when(own & (F.col(f"_nobs{n}") >= max(s.min_periods, 1)),
+                   F.coalesce(F.col(f"_yl{n}"), F.col(f"_cy{n}"))).alias(s.out) for n, s in enumerate(specs)]
+    df = df.select("*", *outs)
+    return df.select(*dict.fromkeys(base + [s.out for s in specs]))
+
+
+def blocked_frame(bars: DataFrame, min_bars: int | None, key: str = KEY) -> DataFrame:
+    """Bars -> distributed positions -> history rule -> halo-extended blocks."""
+    df = positions_distributed(bars, key)
+    if min_bars:
+        df = df.filter(F.col("_n_series") >= min_bars)
+    return cut_lineage(extend(df.drop("_n_series"), key))
+
+
+def _prev_block_last(df: DataFrame, cols: list[str], key: str = KEY) -> DataFrame:
+    """Values of ``cols`` on the last own row of the previous block (for lags
+    of EWM outputs, which halo rows do not carry)."""
+    last = df.filter(F.col(OWN)).groupBy(key, BLK).agg(
+        F.max_by(F.struct(*cols), F.col(POS)).alias("_pl")).withColumn(BLK, F.col(BLK) + 1)
+    return df.join(last.select(key, BLK, *[F.col(f"_pl.{c}").alias(f"_pb_{c}") for c in cols]), [key, BLK], "left")
+
+
+def enrich_research_blocked(bars: DataFrame, min_bars: int = 250) -> DataFrame:
+    """``features.enrich_research`` in the skew-safe layout (same result)."""
+    from tickframe.operators import features as feat
+    from tickframe.operators import indicators as ind
+    from tickframe.schemas import BAR_COLS, RESEARCH_FEATURES
+    df = blocked_frame(feat._bars(bars), min_bars)
+    with blocked_layout():
+        df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="research")])
+        df = _prev_block_last(df, ["macd", "macd_signal"])
+        df = ind.stochastic(df)
+        df = ind.cmf(df)
+        df = ind.sma(df, 200)
+        df = ind.bollinger(df)
+        df = feat.research_features(df, prev_block=True)
+    return own_rows(df).select("symbol", "open_time", *BAR_COLS, *RESEARCH_FEATURES)
+
+
+def enrich_live_blocked(bars: DataFrame, min_bars: int | None = 250, fill_flat: bool = True,
+                        drop_incomplete: bool = True) -> DataFrame:
+    """``features.enrich_live`` in the skew-safe layout (same result)."""
+    from tickframe.operators import features as feat
+    from tickframe.operators import indicators as ind
+    from tickframe.schemas import BAR_COLS, LIVE_FEATURES
+    df = blocked_frame(feat._bars(bars), min_bars)
+    with blocked_layout():
+        df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="live")])
+        df = ind.stochastic(df)
+        df = ind.cmf(df, fill_flat=fill_flat)
+        df = ind.bollinger(df)
+        df = feat.live_features(df)
+    out = own_rows(df).select("symbol", "open_time", *BAR_COLS, *LIVE_FEATURES)
+    return out.dropna("any") if drop_incomplete else out

@@ -24,13 +24,13 @@ def forward_max_label(df: DataFrame, pct: float = 0.03, horizon: int = 5,
     return df.withColumn(out, flag(fh >= F.col("close") * F.lit(1.0 + pct)))
 
 
-def research_features(df: DataFrame, pct: float = 0.03, horizon: int = 5) -> DataFrame:
+def research_features(df: DataFrame, pct: float = 0.03, horizon: int = 5, prev_block: bool = False) -> DataFrame:
     """Context + strategy features + label of the research dialect.
     Needs rsi..atr and sma_200 present."""
     df = positioned(df)
     c = F.col("close")
     df = df.withColumn("dist_sma_200_pct", ieee_div(c - F.col("sma_200"), F.col("sma_200")) * F.lit(100.0))
-    df = ind.macd_cross_event(df)
+    df = ind.macd_cross_event(df, prev_block)
     df = ind.calendar(df)
     df = df.withColumn("bb_width", ieee_div(F.col("bb_upper") - F.col("bb_lower"), F.col("bb_mid")))
     df = df.withColumn("dist_sma_norm_by_atr", ieee_div(F.col("dist_sma_200_pct"), F.col("atr")))
@@ -76,8 +76,26 @@ def _bars(df: DataFrame) -> DataFrame:
     return df.select("symbol", "open_time", *BAR_COLS)
 
 
-def enrich_research(bars: DataFrame, min_bars: int = MIN_HISTORY) -> DataFrame:
+MAX_SERIES_ROWS = 5_000_000  # longest series one task may hold in the per-symbol layout
+
+
+def choose_layout(bars: DataFrame, layout: str = "auto", max_series_rows: int = MAX_SERIES_ROWS,
+                  key: str = KEY) -> str:
+    """``series`` (one task per symbol, fastest) unless a symbol is longer than
+    ``max_series_rows``; then ``blocked`` (no task holds a whole series).  The
+    check is one partial aggregate: bars per symbol, then their maximum."""
+    if layout != "auto":
+        return layout
+    longest = bars.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return "blocked" if longest > max_series_rows else "series"
+
+
+def enrich_research(bars: DataFrame, min_bars: int = MIN_HISTORY, layout: str = "auto",
+                    max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
     """Full research enrichment: 250-bar rule, indicators, features, label."""
+    if choose_layout(bars, layout, max_series_rows) == "blocked":
+        from tickframe.operators.blocked import enrich_research_blocked
+        return enrich_research_blocked(bars, min_bars)
     df = positioned(_bars(bars).repartition(KEY))
     if min_bars:
         df = min_history(df, min_bars)
@@ -91,8 +109,12 @@ def enrich_research(bars: DataFrame, min_bars: int = MIN_HISTORY) -> DataFrame:
 
 
 def enrich_live_all(bars: DataFrame, min_bars: int | None = MIN_HISTORY,
-                    fill_flat: bool = True) -> DataFrame:
+                    fill_flat: bool = True, layout: str = "auto",
+                    max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
     """Live indicators and features on every bar (no NULL filter)."""
+    if choose_layout(bars, layout, max_series_rows) == "blocked":
+        from tickframe.operators.blocked import enrich_live_blocked
+        return enrich_live_blocked(bars, min_bars, fill_flat, drop_incomplete=False)
     df = positioned(_bars(bars).repartition(KEY))
     if min_bars:
         df = min_history(df, min_bars)
@@ -105,6 +127,7 @@ def enrich_live_all(bars: DataFrame, min_bars: int | None = MIN_HISTORY,
 
 
 def enrich_live(bars: DataFrame, min_bars: int | None = MIN_HISTORY,
-                fill_flat: bool = True) -> DataFrame:
+                fill_flat: bool = True, layout: str = "auto",
+                max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
     """Live enrichment: rows with any NULL are dropped (warm-up rows go)."""
-    return enrich_live_all(bars, min_bars, fill_flat).dropna("any")
+    return enrich_live_all(bars, min_bars, fill_flat, layout, max_series_rows).dropna("any")

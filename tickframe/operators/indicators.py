@@ -45,16 +45,21 @@ class Indicator:
 
 
 def fused(df: DataFrame, indicators: list[Indicator]) -> DataFrame:
-    df = positioned(df)
-    for phase in ("prep",):
-        for x in indicators:
-            if x.prep:
-                df = x.prep(df)
-    df = with_ewm(df, [e for x in indicators for e in x.stage1])
+    from tickframe.functions.windows import is_blocked
+    if is_blocked():
+        from tickframe.operators.blocked import cut_lineage as cut
+        from tickframe.operators.blocked import with_ewm_blocked as run_ewm
+    else:
+        df = positioned(df)
+        run_ewm, cut = with_ewm, (lambda d: d)
+    for x in indicators:
+        if x.prep:
+            df = x.prep(df)
+    df = cut(run_ewm(df, [e for x in indicators for e in x.stage1]))
     for x in indicators:
         if x.mid:
             df = x.mid(df)
-    df = with_ewm(df, [e for x in indicators for e in x.stage2])
+    df = cut(run_ewm(df, [e for x in indicators for e in x.stage2]))
     for x in indicators:
         if x.post:
             df = x.post(df)
@@ -192,11 +197,18 @@ def sma(df: DataFrame, n: int = 200, src: str = "close", out: str | None = None)
     return positioned(df).withColumn(out or f"sma_{n}", rolling_mean(src, n))
 
 
-def macd_cross_event(df: DataFrame) -> DataFrame:
-    """+1 on a strict upward cross of MACD over its signal, -1 downward, else 0."""
+def macd_cross_event(df: DataFrame, prev_block: bool = False) -> DataFrame:
+    """+1 on a strict upward cross of MACD over its signal, -1 downward, else 0.
+    ``prev_block``: blocked layout, where the row before a block's first row is
+    taken from the previous block's last row (``_pb_*`` columns)."""
     df = positioned(df)
     m, s = F.col("macd"), F.col("macd_signal")
     pm, ps = lag("macd"), lag("macd_signal")
+    if prev_block:
+        from tickframe.functions.windows import BLK, BLOCK_ROWS, POS
+        first = F.col(POS) == F.col(BLK) * F.lit(BLOCK_ROWS)
+        pm = F.when(first, F.col("_pb_macd")).otherwise(pm)
+        ps = F.when(first, F.col("_pb_macd_signal")).otherwise(ps)
     bull = F.coalesce((m > s) & (pm < ps), F.lit(False))
     bear = F.coalesce((m < s) & (pm > ps), F.lit(False))
     return df.withColumn("macd_cross", F.when(bear, F.lit(-1)).when(bull, F.lit(1)).otherwise(F.lit(0)).cast("int"))

@@ -38,6 +38,17 @@ def q_enrich_research(spark, sf):
     return finish(feat.enrich_research(bars_d(spark, sf)), D4)
 
 
+@register("enrich_research_blocked", _research_q(None, BAR_COLS + RESEARCH_FEATURES, min_bars=250))
+def q_enrich_research_blocked(spark, sf):
+    """The flagship in the skew-safe layout (forced; auto picks it for long series)."""
+    return finish(feat.enrich_research(bars_d(spark, sf), layout="blocked"), D4)
+
+
+@register("enrich_live_blocked", _live_q(LIVE_FEATURES, min_bars=0))
+def q_enrich_live_blocked(spark, sf):
+    return finish(feat.enrich_live_all(bars_d(spark, sf), min_bars=0, layout="blocked"), D4).select(*K, *LIVE_FEATURES)
+
+
 # ---- rolling and lag ------------------------------------------------------
 
 _ROLL_SQL = ("WITH bars AS (" + BARS_D_SQL + ") SELECT symbol, open_time, "
