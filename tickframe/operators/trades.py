@@ -43,28 +43,6 @@ def segments(flags: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:
                      w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")))
 
 
-def _round(rows: DataFrame, entries: DataFrame, stop: float, key: str):
-    """One round: entries (key, seg, p) -> closed/open trades and next entries."""
-    e = entries.join(rows.select(key, "seg", F.col("_i").alias("p"), F.col("close").alias("entry_price"),
-                                 F.col(TIME).alias("entry_time")), [key, "seg", "p"])
-    hits = (rows.join(e.select(key, "seg", "p", "entry_price"), [key, "seg"])
-                .filter((F.col("_i") > F.col("p")) & (F.col("close") <= F.col("entry_price") * F.lit(1.0 - stop)))
-                .groupBy(key, "seg").agg(F.min("_i").alias("t")))
-    seg_end = rows.groupBy(key, "seg").agg(F.max("_i").alias("last_i"),
-                                           F.max(F.when(F.col("exit"), F.col("_i"))).alias("x_i"))
-    r = e.join(hits, [key, "seg"], "left").join(seg_end, [key, "seg"])
-    r = r.withColumn("exit_i", F.coalesce("t", "x_i", "last_i")).withColumn(
-        "exit_reason", F.when(F.col("t").isNotNull(), F.lit("STOP"))
-                        .when(F.col("x_i").isNotNull(), F.lit("SIGNAL")).otherwise(F.lit("OPEN")))
-    ex = rows.select(key, "seg", F.col("_i").alias("exit_i"), F.col(TIME).alias("exit_time"),
-                     F.col("close").alias("exit_price"))
-    trades = r.join(ex, [key, "seg", "exit_i"]).select(
-        key, "entry_time", "entry_price", "exit_time", "exit_price", "exit_reason")
-    nxt = (rows.filter(F.col("entry")).join(r.filter(F.col("t").isNotNull()).select(key, "seg", "t"), [key, "seg"])
-               .filter(F.col("_i") > F.col("t")).groupBy(key, "seg").agg(F.min("_i").alias("p")))
-    return trades, nxt
-
-
 LEDGER_SCHEMA = ("symbol string, entry_time timestamp_ntz, entry_price double, "
                  "exit_time timestamp_ntz, exit_price double, exit_reason string")
 
@@ -108,8 +86,10 @@ def trade_ledger(flags: DataFrame, stop: float = STOP_PCT, fee: float = FEE, key
     runs per (key, segment) group, from the segment's first entry row on.
     """
     rows = segments(flags, key)
-    first = rows.filter(F.col("entry")).groupBy(key, "seg").agg(F.min("_i").alias("_p0"))
-    live = rows.join(first, [key, "seg"]).filter(F.col("_i") >= F.col("_p0")).drop("_p0")
+    # rows from the segment's first entry on (a window, not a self-join: the
+    # upstream plan -- enrichment and scoring -- is evaluated once)
+    p0 = F.min(F.when(F.col("entry"), F.col("_i"))).over(Window.partitionBy(key, "seg"))
+    live = rows.withColumn("_p0", p0).filter(F.col("_i") >= F.col("_p0")).drop("_p0")
     out = (live.select(F.col(key).alias("symbol"), "seg", "_i", TIME, "close", "entry", "exit")
                .groupBy("symbol", "seg").applyInPandas(_fold_segment(stop), LEDGER_SCHEMA))
     if key != "symbol":
@@ -123,12 +103,24 @@ def trade_ledger(flags: DataFrame, stop: float = STOP_PCT, fee: float = FEE, key
 
 def first_trade_per_segment(flags: DataFrame, stop: float = STOP_PCT, fee: float = FEE,
                             key: str = KEY) -> DataFrame:
-    """First trade of every segment, no re-entry: one round of the ledger."""
+    """First trade of every segment, no re-entry: windows over (key, segment) only."""
     rows = segments(flags, key)
-    entries = rows.filter(F.col("entry")).groupBy(key, "seg").agg(F.min("_i").alias("p"))
-    trades, _ = _round(rows, entries, stop, key)
+    seg = Window.partitionBy(key, "seg")
+    i = F.col("_i")
+    rows = rows.withColumn("_p0", F.min(F.when(F.col("entry"), i)).over(seg)).filter(F.col("_p0").isNotNull())
+    rows = (rows.withColumn("entry_price", F.max(F.when(i == F.col("_p0"), F.col("close"))).over(seg))
+                .withColumn("entry_time", F.max(F.when(i == F.col("_p0"), F.col(TIME))).over(seg)))
+    hit = (i > F.col("_p0")) & (F.col("close") <= F.col("entry_price") * F.lit(1.0 - stop))
+    rows = (rows.withColumn("_t", F.min(F.when(hit, i)).over(seg))
+                .withColumn("_x", F.max(F.when(F.col("exit"), i)).over(seg))
+                .withColumn("_last", F.max(i).over(seg)))
+    ex = F.coalesce("_t", "_x", "_last")
+    reason = (F.when(F.col("_t").isNotNull(), F.lit("STOP"))
+               .when(F.col("_x").isNotNull(), F.lit("SIGNAL")).otherwise(F.lit("OPEN")))
+    out = rows.filter(i == ex).select(key, "entry_time", "entry_price", F.col(TIME).alias("exit_time"),
+                                      F.col("close").alias("exit_price"), reason.alias("exit_reason"))
     e, x = F.col("entry_price"), F.col("exit_price")
-    return trades.withColumn("ret", (x - e - F.lit(fee) * (e + x)) / e)
+    return out.withColumn("ret", (x - e - F.lit(fee) * (e + x)) / e)
 
 
 def trade_stats(ledger: DataFrame, fee: float = FEE) -> DataFrame:
