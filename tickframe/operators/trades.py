@@ -20,27 +20,58 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.windows import KEY, TIME
 
+_UNB = Window.unboundedPreceding
+
 STOP_PCT = 0.15   # fixed values of the reference backtest
 FEE = 0.001
 START_CASH = 200.0
 
 
+def _monthly(df: DataFrame, key: str, time: str) -> DataFrame:
+    """Hash-partition by (key, month).  Both the per-month aggregate and the row
+    branch read this one exchange (Spark reuses it), so the upstream plan runs
+    once, and no task holds more than one symbol-month."""
+    return df.withColumn("_bk", F.trunc(F.to_date(time), "month")).repartition(key, "_bk")
+
+
 def signal_runs(df: DataFrame, signal: str = "signal", key: str = KEY, time: str = TIME) -> DataFrame:
-    """Gaps-and-islands: ``run_id`` increases by one each time the signal changes."""
-    w = Window.partitionBy(key).orderBy(time)
-    chg = F.coalesce(F.col(signal) != F.lag(signal).over(w), F.lit(True)).cast("int")
-    return df.withColumn("_chg", chg).withColumn(
-        "run_id", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_chg")
+    """Gaps-and-islands: ``run_id`` increases by one each time the signal changes.
+    Month-local windows plus prefix sums on the month table (skew-safe)."""
+    m = _monthly(df, key, time)
+    wm = Window.partitionBy(key, "_bk").orderBy(time)
+    tot = m.groupBy(key, "_bk").agg(F.min_by(signal, time).alias("_first"), F.max_by(signal, time).alias("_last"),
+                                    F.count(F.lit(1)).alias("_n"))
+    wk = Window.partitionBy(key).orderBy("_bk")
+    tot = tot.withColumn("_prev", F.lag("_last").over(wk))
+    inner = m.withColumn("_chg", F.coalesce(F.col(signal) != F.lag(signal).over(wm), F.lit(True)).cast("int"))
+    inner_tot = inner.groupBy(key, "_bk").agg(F.sum("_chg").alias("_c_in"))   # first row counted as a change
+    tot = tot.join(inner_tot, [key, "_bk"])
+    first_chg = F.coalesce(F.col("_first") != F.col("_prev"), F.lit(True)).cast("int")
+    tot = tot.withColumn("_c", F.col("_c_in") - F.lit(1) + first_chg)
+    tot = tot.select(key, "_bk", "_prev", F.coalesce(F.sum("_c").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).alias("_pc"))
+    r = inner.join(tot, [key, "_bk"])
+    first_row = F.row_number().over(wm) == 1
+    chg = F.when(first_row, F.coalesce(F.col(signal) != F.col("_prev"), F.lit(True)).cast("int")).otherwise(F.col("_chg"))
+    r = r.withColumn("_chg2", chg)
+    run = F.col("_pc") + F.sum("_chg2").over(wm.rowsBetween(_UNB, 0))
+    return r.withColumn("run_id", run.cast("int")).drop("_bk", "_chg", "_chg2", "_prev", "_pc")
 
 
 def segments(flags: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:
-    """Number rows (``_i``) and segments (``seg``: exit-flag rows seen before)."""
-    w = Window.partitionBy(key).orderBy(time)
-    return (flags.select(key, time, "close", F.col("entry").cast("boolean").alias("entry"),
-                         F.col("exit").cast("boolean").alias("exit"))
-                 .withColumn("_i", F.row_number().over(w))
-                 .withColumn("seg", F.coalesce(F.sum(F.col("exit").cast("int")).over(
-                     w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")))
+    """Number rows (``_i``, 1-based) and segments (``seg``: exit-flag rows seen
+    before); month-local windows plus prefix sums on the month table."""
+    m = _monthly(flags.select(key, time, "close", F.col("entry").cast("boolean").alias("entry"),
+                              F.col("exit").cast("boolean").alias("exit")), key, time)
+    tot = m.groupBy(key, "_bk").agg(F.sum(F.col("exit").cast("int")).alias("_ne"), F.count(F.lit(1)).alias("_nr"))
+    wk = Window.partitionBy(key).orderBy("_bk").rowsBetween(_UNB, -1)
+    pre = tot.select(key, "_bk", F.coalesce(F.sum("_ne").over(wk), F.lit(0)).alias("_pe"),
+                     F.coalesce(F.sum("_nr").over(wk), F.lit(0)).alias("_pr"))
+    wm = Window.partitionBy(key, "_bk").orderBy(time)
+    r = m.join(pre, [key, "_bk"])
+    exits_before = F.coalesce(F.sum(F.col("exit").cast("int")).over(wm.rowsBetween(_UNB, -1)), F.lit(0))
+    return (r.withColumn("_i", (F.col("_pr") + F.row_number().over(wm)).cast("long"))
+             .withColumn("seg", (F.col("_pe") + exits_before).cast("long"))
+             .drop("_bk", "_pe", "_pr"))
 
 
 LEDGER_SCHEMA = ("symbol string, entry_time timestamp_ntz, entry_price double, "
