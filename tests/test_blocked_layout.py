@@ -31,3 +31,32 @@ def test_blocked_plan_partitions_by_block(spark):
     import re
     assert re.search(r"Exchange hashpartitioning\(symbol#\d+, _blk#\d+L?", plan) or "LogicalRDD" in plan \
         or "Scan ExistingRDD" in plan
+
+
+def test_blocked_ewm_with_gaps_across_blocks(spark):
+    """NULL runs that cross block boundaries, and one longer than a block."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from conftest import series_df
+    from tickframe.operators import blocked as bl
+    from tickframe.operators.ewm import ewm
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, 3000).cumsum() + 50
+    x[rng.random(3000) < 0.05] = np.nan
+    x[600:700] = np.nan              # crosses the first block boundary
+    x[1200:1950] = np.nan            # longer than a whole block
+    df = series_df(spark, [None if np.isnan(v) else float(v) for v in x])
+    ext = bl.extend(bl.positions_distributed(df).drop("_n_series"))
+    specs = [ewm("x", "a", span=14, adjust=False), ewm("x", "b", alpha=1 / 14, adjust=False, min_periods=14),
+             ewm("x", "c", com=13, adjust=True, min_periods=14)]
+    out = bl.own_rows(bl.with_ewm_blocked(ext, specs)).orderBy("open_time").toPandas()
+    s = pd.Series(x)
+    ref = {"a": s.ewm(span=14, adjust=False).mean(), "b": s.ewm(alpha=1 / 14, adjust=False, min_periods=14).mean(),
+           "c": s.ewm(com=13, adjust=True, min_periods=14).mean()}
+    for k, r in ref.items():
+        got = out[k].to_numpy(dtype=float)
+        want = r.to_numpy()
+        assert (np.isnan(got) == np.isnan(want)).all(), k
+        m = ~np.isnan(got)
+        assert np.allclose(got[m], want[m], rtol=1e-9, atol=1e-9), k
