@@ -86,3 +86,37 @@ def test_wallet_round_trip(spark):
                                 "symbol string, buy_price double, qty double, peak_price double")
     back = po.wallet_positions(po.wallet_json(pos, 0.0)).collect()[0]
     assert (back.symbol, back.buy_price, back.qty, back.cash_usdt) == ("BIOUSDT", 0.1617, 618.43, 0.0)
+
+
+def test_equity_curve_brute_force(spark):
+    import datetime as dt2
+    closes = [100, 104, 90, 84, 80, 88, 95, 91, 99, 120, 118, 70, 75]
+    sig = [1, 1, 1, 1, 1, 1, 0, 1, 1, 1, 0, 1, 1]
+    t0 = dt2.datetime(2024, 1, 28)          # crosses a month boundary
+    rows = [("s", t0 + dt2.timedelta(days=i), float(c), s == 1, s == 0) for i, (c, s) in enumerate(zip(closes, sig))]
+    flags = spark.createDataFrame(rows, "symbol string, open_time timestamp_ntz, close double, entry boolean, exit boolean")
+    led = tr.trade_ledger(flags)
+    got = {r.open_time: r.equity for r in tr.equity_curve(flags, led).collect()}
+    # brute force
+    f = 0.001
+    cash, held, e = 200.0, False, None
+    want = {}
+    for (_, t, c, en, ex) in rows:
+        if held and (c <= e * 0.85 or ex):
+            cash *= (c / e) * (1 - f) / (1 + f)
+            held = False
+            want[t] = cash
+            continue
+        if not held and en:
+            held, e = True, c
+        want[t] = cash * (c / e / (1 + f)) if held else cash
+    assert set(got) == set(want)
+    for t in want:
+        assert abs(got[t] - want[t]) < 1e-9 * max(1, want[t]), (t, got[t], want[t])
+    dd = tr.equity_drawdown(tr.equity_curve(flags, led)).collect()[0]
+    vals = [want[t] for t in sorted(want)]
+    peak, mdd = vals[0], 0.0
+    for v in vals:
+        peak = max(peak, v)
+        mdd = min(mdd, v / peak - 1)
+    assert abs(dd.max_drawdown - mdd) < 1e-12 and abs(dd.final_equity - vals[-1]) < 1e-9

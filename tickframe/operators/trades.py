@@ -186,29 +186,40 @@ def compounded_return(ledger: DataFrame, start_cash: float = START_CASH, fee: fl
 def equity_curve(flags: DataFrame, ledger: DataFrame, start_cash: float = START_CASH, fee: float = FEE,
                  key: str = KEY, time: str = TIME) -> DataFrame:
     """Mark-to-market equity per bar: closed trades compounded, an open position
-    valued at close / entry / (1 + fee).  Joins on equal (key, time) only."""
+    valued at close / entry / (1 + fee).  Equi-joins with the ledger, then
+    month-local running windows plus prefixes from the month table."""
     bars = flags.select(key, time, "close")
-    ent = ledger.select(key, F.col("entry_time").alias(time), F.col("entry_price").alias("_e"),
-                        F.when(F.col("exit_reason") != "OPEN", F.col("exit_time")).alias("_x_t"))
+    ent = ledger.select(key, F.col("entry_time").alias(time), F.struct(
+        F.col("entry_price").alias("e"),
+        F.when(F.col("exit_reason") != "OPEN", F.col("exit_time")).alias("x")).alias("_tr"))
     ext = (ledger.filter(F.col("exit_reason") != "OPEN")
                  .select(key, F.col("exit_time").alias(time), F.log(trade_multiplier(fee)).alias("_lm")))
-    w = Window.partitionBy(key).orderBy(time)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    df = bars.join(ent, [key, time], "left").join(ext, [key, time], "left")
-    cur = F.last(F.when(F.col("_e").isNotNull(), F.struct(F.col("_e").alias("e"), F.col("_x_t").alias("x"))),
-                 True).over(run)
-    df = (df.withColumn("_cur", cur)
-            .withColumn("_p", F.exp(F.coalesce(F.sum("_lm").over(run), F.lit(0.0)))))
+    m = _monthly(bars.join(ent, [key, time], "left").join(ext, [key, time], "left"), key, time)
+    wk = Window.partitionBy(key).orderBy("_bk").rowsBetween(_UNB, -1)
+    tot = m.groupBy(key, "_bk").agg(F.max_by("_tr", F.when(F.col("_tr").isNotNull(), F.col(time))).alias("_lt"),
+                                    F.sum("_lm").alias("_s"))
+    pre = tot.select(key, "_bk", F.last("_lt", True).over(wk).alias("_ptr"),
+                     F.coalesce(F.sum("_s").over(wk), F.lit(0.0)).alias("_ps"))
+    wm = Window.partitionBy(key, "_bk").orderBy(time).rowsBetween(_UNB, 0)
+    df = m.join(pre, [key, "_bk"])
+    df = (df.withColumn("_cur", F.coalesce(F.last("_tr", True).over(wm), F.col("_ptr")))
+            .withColumn("_p", F.exp(F.col("_ps") + F.coalesce(F.sum("_lm").over(wm), F.lit(0.0)))))
     # held from the entry bar up to (not including) the exit bar; OPEN trades have no exit
     in_pos = F.col("_cur").isNotNull() & (F.col("_cur.x").isNull() | (F.col(time) < F.col("_cur.x")))
-    df = df.withColumn("_ce", F.col("_cur.e"))
     df = df.withColumn("equity", F.lit(start_cash) * F.col("_p") *
-                       F.when(in_pos, F.col("close") / F.col("_ce") / F.lit(1.0 + fee)).otherwise(F.lit(1.0)))
-    return df.select(key, time, "equity")
+                       F.when(in_pos, F.col("close") / F.col("_cur.e") / F.lit(1.0 + fee)).otherwise(F.lit(1.0)))
+    return df.select(key, time, "equity", "_bk")
 
 
 def equity_drawdown(curve: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:
-    """Per symbol: final equity and maximum drawdown of the equity curve."""
-    w = Window.partitionBy(key).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    dd = curve.withColumn("dd", F.col("equity") / F.max("equity").over(w) - F.lit(1.0))
+    """Per symbol: final equity and maximum drawdown of the equity curve
+    (running peak = month-local running max and the earlier months' maxima)."""
+    if "_bk" not in curve.columns:
+        curve = curve.withColumn("_bk", F.trunc(F.to_date(time), "month"))
+    wk = Window.partitionBy(key).orderBy("_bk").rowsBetween(_UNB, -1)
+    pre = (curve.groupBy(key, "_bk").agg(F.max("equity").alias("_mx"))
+                .select(key, "_bk", F.max("_mx").over(wk).alias("_pmx")))
+    wm = Window.partitionBy(key, "_bk").orderBy(time).rowsBetween(_UNB, 0)
+    peak = F.greatest(F.col("_pmx"), F.max("equity").over(wm))
+    dd = curve.join(pre, [key, "_bk"]).withColumn("dd", F.col("equity") / peak - F.lit(1.0))
     return dd.groupBy(key).agg(F.max_by("equity", time).alias("final_equity"), F.min("dd").alias("max_drawdown"))

@@ -312,5 +312,6 @@ _EQ = (", cl2 AS (SELECT symbol, exit_time, exp(sum(ln(" + _MULT + ")) OVER (PAR
 
 @register("equity_drawdown", finish_sql(LEDGER_SQL + _EQ, "dd", ["symbol", "final_equity", "max_drawdown"], D))
 def q_equity_drawdown(spark, sf):
-    fl = flags(spark, sf)
+    from tickframe.operators.blocked import cut_lineage
+    fl = cut_lineage(flags(spark, sf))      # read by the ledger and by the curve: compute once
     return finish(tr.equity_drawdown(tr.equity_curve(fl, tr.trade_ledger(fl))), D)
