@@ -120,3 +120,22 @@ def test_equity_curve_brute_force(spark):
         peak = max(peak, v)
         mdd = min(mdd, v / peak - 1)
     assert abs(dd.max_drawdown - mdd) < 1e-12 and abs(dd.final_equity - vals[-1]) < 1e-9
+
+
+def test_ledger_month_chunks_equal_segment_fold(spark):
+    """Force the bounded month-chunk path (segments longer than 3 rows) and compare."""
+    import datetime as dt2
+    import random
+    rnd = random.Random(3)
+    rows = []
+    t0 = dt2.datetime(2023, 12, 20)
+    for sym in ("a", "b"):
+        price = 100.0
+        for i in range(220):
+            price *= 1 + rnd.uniform(-0.09, 0.08)
+            sig = 0 if rnd.random() < 0.04 else 1
+            rows.append((sym, t0 + dt2.timedelta(days=i), price, sig == 1, sig == 0))
+    flags = spark.createDataFrame(rows, "symbol string, open_time timestamp_ntz, close double, entry boolean, exit boolean")
+    a = sorted(map(tuple, tr.trade_ledger(flags).collect()))
+    b = sorted(map(tuple, tr.trade_ledger(flags, max_segment_rows=3).collect()))
+    assert a == b and len(a) > 10

@@ -110,21 +110,32 @@ def _fold_segment(stop: float):
     return fold
 
 
-def trade_ledger(flags: DataFrame, stop: float = STOP_PCT, fee: float = FEE, key: str = KEY) -> DataFrame:
+MAX_SEGMENT_ROWS = 200_000   # longest segment folded as one group; longer ones go month by month
+
+
+def trade_ledger(flags: DataFrame, stop: float = STOP_PCT, fee: float = FEE, key: str = KEY,
+                 max_segment_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """Trade ledger from (key, open_time, close, entry, exit) rows.
 
-    Segments (split at exit-flag rows) are independent, so the state machine
-    runs per (key, segment) group, from the segment's first entry row on.
+    Segments (split at exit-flag rows) are independent.  A segment of at most
+    ``max_segment_rows`` rows is folded as one group from its first entry row;
+    a longer one runs as bounded symbol-month groups chained by summaries
+    (``ledger_chunks``), so no group grows with the data.
     """
+    from tickframe.operators.ledger_chunks import ledger_trades
     rows = segments(flags, key)
-    # rows from the segment's first entry on (a window, not a self-join: the
-    # upstream plan -- enrichment and scoring -- is evaluated once)
-    p0 = F.min(F.when(F.col("entry"), F.col("_i"))).over(Window.partitionBy(key, "seg"))
-    live = rows.withColumn("_p0", p0).filter(F.col("_i") >= F.col("_p0")).drop("_p0")
-    out = (live.select(F.col(key).alias("symbol"), "seg", "_i", TIME, "close", "entry", "exit")
-               .groupBy("symbol", "seg").applyInPandas(_fold_segment(stop), LEDGER_SCHEMA))
+    # segment length and first entry as windows over (key, segment): one pass, no self-join
+    seg = Window.partitionBy(key, "seg")
+    rows = (rows.withColumn("_len", F.count(F.lit(1)).over(seg))
+                .withColumn("_p0", F.min(F.when(F.col("entry"), F.col("_i"))).over(seg))
+                .filter(F.col("_i") >= F.col("_p0")).drop("_p0"))
+    short = rows.filter(F.col("_len") <= max_segment_rows)
+    out = (short.select(F.col(key).alias("symbol"), "seg", "_i", TIME, "close", "entry", "exit")
+                .groupBy("symbol", "seg").applyInPandas(_fold_segment(stop), LEDGER_SCHEMA))
     if key != "symbol":
         out = out.withColumnRenamed("symbol", key)
+    # long segments: bounded month groups chained through small summaries
+    out = out.unionByName(ledger_trades(rows.filter(F.col("_len") > max_segment_rows), stop, key))
     w = Window.partitionBy(key).orderBy("entry_time")
     e, x = F.col("entry_price"), F.col("exit_price")
     return out.select(key, F.row_number().over(w).alias("trade_no"), "entry_time", "entry_price",
