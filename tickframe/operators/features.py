@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.functions.expr import flag, ieee_div, inf_to_null
-from tickframe.functions.windows import KEY, diff, forward_max, positioned, rolling_mean, unpositioned
+from tickframe.functions.windows import KEY, diff, forward_max, positioned, rolling_mean
 from tickframe.operators import indicators as ind
 from tickframe.schemas import BAR_COLS, LIVE_FEATURES, RESEARCH_FEATURES
 

@@ -80,7 +80,6 @@ LEDGER_SCHEMA = ("symbol string, entry_time timestamp_ntz, entry_price double, "
 
 def _fold_segment(stop: float):
     """State machine over the rows of one segment (small numpy helper)."""
-    import numpy as np
     import pandas as pd
 
     def fold(pdf):
