@@ -49,3 +49,12 @@ def test_legacy_csv_scan(spark, tmp_path):
                       "close": [1.5], "volume": [9.0]}).to_csv(tmp_path / name, index=False)
     got = sorted(r.symbol for r in scan_bars_csv(spark, str(tmp_path / "*_4h.csv")).collect())
     assert got == ["AUSDT", "BUSDT"]
+
+
+def test_maturation_skew_safe_equal(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(s, t + dt.timedelta(days=d + o)) for s, o in (("a", 0), ("b", 17)) for d in range(0, 200, 3)]
+    df = spark.createDataFrame(rows, "symbol string, open_time timestamp_ntz")
+    a = sorted(map(tuple, ds.maturation(df).collect()))
+    b = sorted(map(tuple, ds.maturation(df, skew_safe=True).select("symbol", "open_time").collect()))
+    assert a == b and len(a) > 0

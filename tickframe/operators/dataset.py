@@ -18,9 +18,21 @@ def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame
     return df.dropna("any", subset=subset)
 
 
-def maturation(df: DataFrame, days: int = MATURATION_DAYS, key: str = KEY, time: str = TIME) -> DataFrame:
+def maturation(df: DataFrame, days: int = MATURATION_DAYS, key: str = KEY, time: str = TIME,
+               skew_safe: bool = False) -> DataFrame:
     """Keep bars at or after (first bar of the symbol + ``days``).  The first bar
-    is taken over the rows given, so apply after ``drop_incomplete``."""
+    is taken over the rows given, so apply after ``drop_incomplete``.
+
+    Default: a window over the symbol (free on symbol-clustered rows).
+    ``skew_safe``: minimum per (symbol, month), then per symbol on that small
+    table, joined back; both branches read one (symbol, month) exchange."""
+    if skew_safe:
+        m = df.withColumn("_bk", F.trunc(F.to_date(time), "month")).repartition(key, "_bk")
+        firsts = (m.groupBy(key, "_bk").agg(F.min(time).alias("_m"))
+                   .groupBy(key).agg(F.min("_m").alias("_first")))
+        return (m.join(firsts, key)
+                 .filter(F.col(time) >= F.col("_first") + F.make_interval(days=F.lit(days)))
+                 .drop("_first", "_bk"))
     first = F.min(time).over(Window.partitionBy(key))
     return (df.withColumn("_first", first)
               .filter(F.col(time) >= F.col("_first") + F.make_interval(days=F.lit(days)))
