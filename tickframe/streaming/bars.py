@@ -20,6 +20,14 @@ from tickframe.sources.files import parse_klines
 LANDING = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("payload", T.StringType())])
 
 
+def default_checkpoint(spark: SparkSession, job: str, out: str) -> str:
+    """Checkpoint location of a job writing to ``out``: stable for the same
+    output (a restart resumes), distinct for every other output."""
+    import hashlib
+    tag = hashlib.sha1(os.path.abspath(out).encode()).hexdigest()[:20]
+    return os.path.join(checkpoint_dir(spark), f"{job}-{tag}")
+
+
 def _run(df: DataFrame, out: str, ckpt: str, mode: str = "append") -> None:
     q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
            .outputMode(mode).trigger(availableNow=True).start())
@@ -33,7 +41,7 @@ def stream_dedup(spark: SparkSession, landing: str, out: str, ckpt: str | None =
     """Re-sent bars are dropped: first arrival per (symbol, open_time) within
     the watermark.  The watermark column must be ``timestamp``, so the NTZ bar
     time is viewed as UTC for it; output keeps ``open_time`` as NTZ."""
-    ckpt = ckpt or os.path.join(checkpoint_dir(spark), "stream-dedup-" + os.path.basename(out))
+    ckpt = ckpt or default_checkpoint(spark, "stream-dedup", out)
     src = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", 1).json(landing)
     bars = parse_klines(src).withColumn("_wm", F.to_utc_timestamp(F.col("open_time").cast("timestamp"), "UTC"))
     dedup = (bars.withWatermark("_wm", delay).dropDuplicatesWithinWatermark(["symbol", "open_time"]).drop("_wm"))
@@ -102,7 +110,7 @@ def stream_exits(spark: SparkSession, landing: str, out: str, ckpt: str | None =
     the peak is keyed state per symbol and the first exit per position is emitted."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     from tickframe.operators import positions as po
-    ckpt = ckpt or os.path.join(checkpoint_dir(spark), "stream-exits-" + os.path.basename(out))
+    ckpt = ckpt or default_checkpoint(spark, "stream-exits", out)
     schema = ("symbol string, open_time timestamp_ntz, close double, high double, prob_buy double, roc double, "
               "buy_price double, qty double, peak_price double")
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
