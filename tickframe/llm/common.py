@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,13 @@ def stage_table(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of unsigned 64-bit words that spreads every bit."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ (x >> np.uint64(32))
+
+
 def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.Table]:
     """Regroups record batches into tables of about ``limit`` bytes of ``column`` (one row may be larger)."""
     held: list[pa.RecordBatch] = []
@@ -79,7 +87,6 @@ def payload(column: pa.Array) -> int:
 
 def rows_within(column: pa.Array, limit: int) -> int:
     """Number of leading rows whose values fit into ``limit`` bytes together."""
-    import numpy as np
     import pyarrow.compute as pc
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     return int(np.searchsorted(np.cumsum(sizes), limit, side="right"))

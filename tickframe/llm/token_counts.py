@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from tickframe.llm.common import by_bytes
 
 BLOCK_BYTES = 4 << 20
-BATCH_BYTES = 256 << 10
+BATCH_CHARS = 256 << 10
+BATCH_ITEMS = 4096
 LONG_PIECE = 64
 #: Marks that may end a piece.
 MARKS = tuple(".,;:!?")
@@ -61,18 +62,14 @@ def pieces(text: str) -> list[str]:
     return out
 
 
-def encode_in_batches(tokenizer, items: list[str], batch_bytes: int = BATCH_BYTES) -> Iterator[tuple[str, object]]:
-    """(item, encoding) of every item, encoded in batches of about equal bytes."""
-    batch: list[str] = []
-    held = 0
-    for item in items:
-        batch.append(item)
-        held += len(item.encode())
-        if held >= batch_bytes:
-            yield from zip(batch, tokenizer.encode_batch_fast(batch, add_special_tokens=False))
-            batch, held = [], 0
-    if batch:
-        yield from zip(batch, tokenizer.encode_batch_fast(batch, add_special_tokens=False))
+def encode_in_batches(tokenizer, items: list[str], batch_chars: int = BATCH_CHARS) -> Iterator[object]:
+    """The encodings of ``items``, which are sorted by length, in batches of about equal size."""
+    at = 0
+    while at < len(items):
+        longest = len(items[min(at + BATCH_ITEMS, len(items)) - 1])
+        count = max(1, min(BATCH_ITEMS, batch_chars // max(longest, 1)))
+        yield from tokenizer.encode_batch_fast(items[at:at + count], add_special_tokens=False)
+        at += count
 
 
 class PieceMemory:
@@ -97,16 +94,16 @@ class PieceMemory:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = wanted - known.keys()
-        again = missing & older.keys()
+        missing = {p for p in wanted if p not in known}
+        again = {p for p in missing if p in older}
         known.update((p, older[p]) for p in again)
         missing -= again
         stems = {p: self.same(p[:-1] if p[-1:] in MARKS and p[-2:-1].isalpha() else p) for p in missing}
-        new = set(stems.values()).union(MARKS) - known.keys()
-        again = new & older.keys()
+        new = {q for q in chain(stems.values(), MARKS) if q not in known}
+        again = {q for q in new if q in older}
         known.update((p, older[p]) for p in again)
-        value = self.value
-        known.update((p, value(e)) for p, e in encode_in_batches(self.tokenizer, sorted(new - again, key=len)))
+        fresh = sorted(new - again, key=len)
+        known.update(zip(fresh, map(self.value, encode_in_batches(self.tokenizer, fresh))))
         known.update((p, known[q] if len(p) == len(q) else known[q] + known[p[-1]]) for p, q in stems.items())
         self.once = [p for p in missing | new if len(p) > LONG_PIECE]
         return known
