@@ -9,10 +9,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from tickframe.plans import load_all
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-NAMES = sorted(E.queries())
+NAMES = sorted(load_all())  # the corpus operators have tests of their own
 ORACLE = E.oracle_sql()
 
 
