@@ -12,68 +12,71 @@ by one; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import by_bytes, rank_within, stage_table
-from tickframe.llm.token_counts import BLOCK_BYTES, PieceMemory
+from tickframe.llm.token_counts import BLOCK_BYTES, PieceMemory, gather
 
 CAPACITY = 4096
 END_ID = 1
 ROWS_PER_TASK = 200_000
 
 
-def _id_bytes(encoding) -> bytes:
-    return struct.pack(f"<{len(encoding.ids)}I", *encoding.ids)
-
-
-def _lower(word: str) -> str:
-    """The tokenizer lower-cases what is not a special token; ASCII words without ``<`` can be before it."""
-    return word.lower() if word.isascii() and "<" not in word else word
+def _lower(words: pa.Array) -> pa.Array:
+    """The tokenizer lower-cases what is not a special token, so words without ``<`` can be before it."""
+    return pc.if_else(pc.match_substring(words, "<"), words, pc.ascii_lower(words))
 
 
 class WordIds:
-    """Token ids, as little-endian unsigned 32-bit bytes, of texts whose tokenizer drops white space.
+    """Token ids of texts whose tokenizer drops white space.
 
-    Its patterns never match across a space or line feed, so the words between them are encoded once each."""
+    Its patterns never match across a space or line feed, so the words between them are encoded once each; Arrow
+    splits the texts and numbers their distinct words, and the ids are gathered by those numbers."""
 
     def __init__(self, path: str):
-        self.memory = PieceMemory(path, _id_bytes, _lower)
+        self.memory = PieceMemory(path, " \x01 ", _lower)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.memory(set(chain.from_iterable(split)))
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by ``end_id``; number of ids of each)."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        numbered = split.flatten().dictionary_encode()
+        source, start, size = self.memory(numbered.dictionary)
+        word = numbered.indices.to_numpy()
+        upto = np.r_[0, np.cumsum(size[word])]
+        own = np.diff(upto[np.r_[0, np.cumsum(split.value_lengths().to_numpy())]])
+        out = np.full(upto[-1] + len(own), end_id, "<u4")
+        out[np.arange(upto[-1]) + np.repeat(np.arange(len(own)), own)] = gather(source, start[word], size[word])
+        return out, own + 1
 
 
 def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer_path)
-        step = 4 * capacity
         for block in by_bytes(batches, "text", BLOCK_BYTES):
-            ids = [x + end for x in words.encode(block.column("text").combine_chunks().fill_null("").to_pylist())]
-            rows = [(k, p, x[p * step:(p + 1) * step]) for k, x in enumerate(ids) for p in range(-(-len(x) // step))]
-            if not rows:
-                continue
-            k, p, part = zip(*rows)
-            piece = np.array(p, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").combine_chunks().take(pa.array(k)), pa.array(piece), pa.array(piece.astype(np.int64) * capacity),
-                 pa.array([len(x) // 4 for x in part], pa.int64()), pa.array([zlib.crc32(x) for x in part], pa.int64())],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+            ids, count = words.encode(block.column("text").combine_chunks().fill_null(""), end_id)
+            pieces = -(-count // capacity)
+            row = np.repeat(np.arange(len(count)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(count[row] - start, capacity)
+            at = 4 * ((np.cumsum(count) - count)[row] + start)
+            raw = memoryview(ids.tobytes())
+            crc = [zlib.crc32(raw[lo:hi]) for lo, hi in zip(at.tolist(), (at + 4 * length).tolist())]
+            yield pa.RecordBatch.from_arrays([block.column("doc_id").combine_chunks().take(pa.array(row)), pa.array(piece.astype(np.int32)),
+                                              pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
+                                             ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"))

@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +25,16 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import by_bytes
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 12 << 20
 BATCH_CHARS = 256 << 10
-BATCH_ITEMS = 4096
-LONG_PIECE = 64
+BATCH_PIECES = 2048
+KEPT_PIECES = 400_000
 #: Marks that may end a piece.
-MARKS = tuple(".,;:!?")
-KEPT_PIECES = 250_000
-_ODD_SPACE = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|[\x1c-\x1f\x85]")
+MARKS = ".,;:!?"
+_SPACES = r" \n\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: RE2: two spaces in a row, white space at either end or other than space and line feed.
+_ODD_SPACE = rf"[ \n][ \n]|^[ \n]|[ \n]$|[{_SPACES[3:]}]"
+_MARKED = rf"\p{{L}}[{MARKS}]$"
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -47,78 +48,138 @@ def load_tokenizer(path: str):
 
 
 def pieces(text: str) -> list[str]:
-    """Parts of a text, cut at safe boundaries, whose token counts add up to that of the text."""
-    if not text:
-        return []
-    if _ODD_SPACE.search(text):
-        return _SAFE.split(text)
-    out = []
-    for k, line in enumerate(text.split("\n")):
-        if k:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        out.append(first)
-        out.extend([" " + w for w in rest])
-    return out
-
-
-def encode_in_batches(tokenizer, items: list[str], batch_chars: int = BATCH_CHARS) -> Iterator[object]:
-    """The encodings of ``items``, which are sorted by length, in batches of about equal size."""
-    at = 0
-    while at < len(items):
-        longest = len(items[min(at + BATCH_ITEMS, len(items)) - 1])
-        count = max(1, min(BATCH_ITEMS, batch_chars // max(longest, 1)))
-        yield from tokenizer.encode_batch_fast(items[at:at + count], add_special_tokens=False)
-        at += count
+    """Parts of a text, cut before single spaces, whose token counts add up to that of the text."""
+    return _SAFE.split(text) if text else []
+
+
+def gather(source: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``source[start:start + size]`` of every row, one after the other."""
+    upto = np.cumsum(size)
+    return source[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
 
 
 class PieceMemory:
-    """What a tokenizer makes of pieces of text, encoding each distinct piece of a block once.
+    """Token ids of pieces of text; each distinct piece of a block is encoded once.
 
-    A final mark after a letter is a token of its own for these tokenizers, so ``piece + mark`` is put together
-    from the two.  ``value`` reads an encoding; values of consecutive parts must add up with ``+``.  Pieces of
-    the last blocks are remembered in two generations of about ``KEPT_PIECES`` each: when the newer one is full
-    it becomes the older one, and an older piece that is met again moves up."""
+    Pieces without inner white space are encoded many at a time, joined by ``separator``, whose one token ends
+    what belongs to a piece; all others alone.  A final mark after a letter is a token of its own, so a marked
+    piece is put together from its stem and the mark.  At most about ``KEPT_PIECES`` pieces, or those of one
+    block, are remembered."""
 
-    def __init__(self, path: str, value: Callable[[object], object], same: Callable[[str], str] = str):
+    def __init__(self, path: str, separator: str, same: Callable[[pa.Array], pa.Array] = lambda words: words):
         self.tokenizer = load_tokenizer(path)
-        self.value, self.same = value, same
-        self.known: dict[str, object] = {}
-        self.older: dict[str, object] = {}
-        self.once: list[str] = []
-
-    def __call__(self, wanted: set[str]) -> dict[str, object]:
-        """A dict with at least the wanted pieces; valid until the next call."""
-        for piece in self.once:  # long pieces are not kept
-            del self.known[piece]
-        if len(self.known) > KEPT_PIECES:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        missing = {p for p in wanted if p not in known}
-        again = {p for p in missing if p in older}
-        known.update((p, older[p]) for p in again)
-        missing -= again
-        stems = {p: self.same(p[:-1] if p[-1:] in MARKS and p[-2:-1].isalpha() else p) for p in missing}
-        new = {q for q in chain(stems.values(), MARKS) if q not in known}
-        again = {q for q in new if q in older}
-        known.update((p, older[p]) for p in again)
-        fresh = sorted(new - again, key=len)
-        known.update(zip(fresh, map(self.value, encode_in_batches(self.tokenizer, fresh))))
-        known.update((p, known[q] if len(p) == len(q) else known[q] + known[p[-1]]) for p, q in stems.items())
-        self.once = [p for p in missing | new if len(p) > LONG_PIECE]
-        return known
+        self.separator, self.same = separator, same
+        self.divider, = self._alone(separator.strip(" "))
+        self.joinable = rf"^ ?[^{_SPACES}<{separator.strip(' ')}]+$"
+        self.words = pa.array(list(MARKS), pa.string())
+        self.size = np.ones(len(MARKS), np.int64)
+        self.start = np.arange(len(MARKS))
+        self.ids = np.array([self._alone(m)[0] for m in MARKS], np.uint32)
+
+    def _alone(self, piece: str) -> list[int]:
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size): the ids of word k are ``ids[start[k]:start[k] + size[k]]``.  Words are distinct."""
+        if len(self.words) + len(words) > 2 * KEPT_PIECES:
+            self._forget(words)
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        marked = pc.match_substring_regex(new, _MARKED)
+        cut = pc.utf8_slice_codeunits(new, 0, -1)
+        stems = self.same(pc.if_else(marked, cut, new))
+        numbered = stems.dictionary_encode()
+        first = self._add(numbered.dictionary)
+        own = first[numbered.indices.to_numpy()]
+        mark = pc.index_in(pc.utf8_slice_codeunits(new, -1), value_set=self.words.slice(0, len(MARKS))).fill_null(0).to_numpy()
+        more = marked.to_numpy(zero_copy_only=False).astype(np.int64)
+        there = pc.index_in(new, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        put = np.flatnonzero(there < 0)
+        # a marked piece: the ids of its stem, then that of the mark
+        size = self.size[own[put]]
+        ids = np.empty(int(size.sum() + more[put].sum()), np.uint32)
+        start = np.cumsum(size + more[put]) - (size + more[put])
+        ids[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())] = gather(self.ids, self.start[own[put]], size)
+        with_mark = more[put] == 1
+        ids[(start + size)[with_mark]] = self.ids[mark[put][with_mark]]
+        there[put] = self._append(new.take(pa.array(put)), size + more[put], ids)
+        at[at < 0] = there
+        return self.ids, self.start[at], self.size[at]
+
+    def _append(self, words: pa.Array, size: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        begin = len(self.words)
+        self.words = pa.concat_arrays([self.words, words])
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
+        return np.arange(begin, len(self.words))
+
+    def _add(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words, encoding those not known."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        new = new.take(pc.sort_indices(pc.utf8_length(new)))
+        together = pc.match_substring_regex(new, self.joinable)
+        parts = [self._joined(new.filter(together).to_pylist()), *[(np.array([len(x)]), np.array(x, np.uint32))
+                                                                    for x in map(self._alone, new.filter(pc.invert(together)).to_pylist())]]
+        order = pa.concat_arrays([new.filter(together), new.filter(pc.invert(together))])
+        self._append(order, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        missing = at < 0
+        at[missing] = pc.index_in(words.filter(pa.array(missing)), value_set=self.words).to_numpy()
+        return at
+
+    def _joined(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of items sorted by length, in batches of about equal size."""
+        sizes, ids, at = [np.empty(0, np.int64)], [np.empty(0, np.uint32)], 0
+        while at < len(items):
+            longest = len(items[min(at + BATCH_PIECES, len(items)) - 1])
+            batch = items[at:at + max(1, min(BATCH_PIECES, BATCH_CHARS // longest))]
+            at += len(batch)
+            found = np.array(self.tokenizer.encode_batch_fast([self.separator.join(batch)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(found == self.divider)
+            if len(ends) != len(batch) - 1:
+                raise ValueError("the separator is part of a token")
+            sizes.append(np.diff(np.r_[-1, ends, len(found)]) - 1)
+            ids.append(found[found != self.divider])
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def _forget(self, words: pa.Array) -> None:
+        """Keeps the marks and the pieces met in ``words``."""
+        used = np.zeros(len(self.words), bool)
+        used[:len(MARKS)] = True
+        used[pc.index_in(words, value_set=self.words).drop_null().to_numpy()] = True
+        self.ids = gather(self.ids, self.start[used], self.size[used])
+        self.size = self.size[used]
+        self.start = np.cumsum(self.size) - self.size
+        self.words = self.words.filter(pa.array(used))
 
 
 class LengthCounter:
-    """Token counts of texts."""
+    """Token counts of texts.
+
+    Arrow splits texts without odd white space at their spaces; a piece is a word with the space or line feed
+    before it (a line feed set before the whole text counts one token).  Other texts go through ``pieces``."""
 
     def __init__(self, path: str):
-        self.memory = PieceMemory(path, len)
+        self.memory = PieceMemory(path, "\n")
+
+    def _sums(self, lists: pa.Array, before: Callable[[pa.Array], pa.Array] = lambda words: words) -> np.ndarray:
+        numbered = lists.flatten().dictionary_encode()
+        size = self.memory(before(numbered.dictionary))[2]
+        upto = np.r_[0, np.cumsum(size[numbered.indices.to_numpy()])]
+        return np.diff(upto[np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]])
 
-    def counts(self, texts: list[str]) -> np.ndarray:
-        split = [pieces(t) for t in texts]
-        known = self.memory(set(chain.from_iterable(split)))
-        return np.fromiter((sum(map(known.__getitem__, ps)) for ps in split), np.int64, len(split))
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        is_odd = odd.to_numpy(zero_copy_only=False)
+        out = np.empty(len(texts), np.int64)
+        plain = pc.binary_join_element_wise("\n", texts.filter(pc.invert(odd)), "")
+        split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        out[~is_odd] = self._sums(split, lambda w: pc.if_else(pc.or_(pc.equal(w, ""), pc.starts_with(w, "\n")), w, pc.binary_join_element_wise(" ", w, ""))) - 1
+        out[is_odd] = self._sums(pa.array([pieces(t) for t in texts.filter(odd).to_pylist()], pa.list_(pa.string())))
+        return out
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,7 +190,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
         counter = LengthCounter(tokenizer_path)
         for block in by_bytes(batches, "text", BLOCK_BYTES):
             text = block.column("text").combine_chunks().fill_null("")
-            n = counter.counts(text.to_pylist())
+            n = counter.counts(text)
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id").combine_chunks(), pc.binary_length(text).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
