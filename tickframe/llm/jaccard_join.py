@@ -10,8 +10,8 @@ component of every document.  The steps:
    equal sets have equal postings, which collapse.
 2. Each shard keeps the index lists of two or more sets.  Entries carry their position, and a pair is a
    candidate only if the shingles after both positions and the sizes allow the threshold.
-3. First answers: every list gives a number of pairs linear in its length (neighbours in three orders).  These
-   are verified and joined to classes.
+3. First answers: every list gives a number of pairs linear in its length: each entry with the list's first one,
+   then neighbours in two random orders that are not yet of one class.  These are verified and joined to classes.
 4. The other answers are derived: a set of a class shares the class's answers, so pairs within a class are
    skipped.  Lists are cut into blocks by class and position; a pair of blocks is skipped when it has one class
    only or when no position and size in it can reach the threshold.  What is left is verified and joined.
@@ -48,7 +48,10 @@ CHUNK = 4096
 BLOCK = 64
 BITS = 1024
 BLOOM_BITS = 1 << 23
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 20
+BITS_AT_ONCE = 1 << 16
+#: Added to the side of entries of lists longer than BLOCK.
+LONG = 4
 
 
 class Shingler:
@@ -89,10 +92,20 @@ def signature(s: np.ndarray) -> int:
 
 
 def parity(s: np.ndarray) -> bytes:
-    counts = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=BITS)
+    """Whether the number of elements in each of at least ``len(s)`` hash classes is odd, a bit a class."""
+    size = max(BITS, 1 << (len(s) - 1).bit_length())
+    counts = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """A parity bitmap as words, with pairs of classes joined until it has ``size`` bits."""
+    words = np.frombuffer(bits, np.uint64)
+    while len(words) * 64 > size:
+        words = words[:len(words) // 2] ^ words[len(words) // 2:]
+    return words
+
+
 def prefix_length(n, threshold=THRESHOLD):
     """Shingles of a set of size n >= 1 of which a linked set of any size has at least one."""
     return n - -(-threshold[0] * n // threshold[1]) + 1
@@ -178,30 +191,50 @@ def spread_lists(keys: np.ndarray, chunks: np.ndarray, rows: np.ndarray, sig: np
 
 
 def star_pairs(key, sig, n, pos, side, threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Of each list, the neighbours and the pairs with the first entry, in three orders of the list."""
+    """The pairs of each list's entries with its first one, by signature (so the lists of a group agree on it)."""
+    by = np.lexsort((sig, key))
+    k = key[by]
+    first = np.maximum.accumulate(np.where(np.r_[True, k[1:] != k[:-1]], np.arange(len(k)), 0))
+    here = np.flatnonzero(first != np.arange(len(k)))
+    return _unique_pairs(*_filtered(by[first[here]], by[here], sig, n, pos, side, threshold))
+
+
+def neighbour_pairs(key, sig, n, pos, side, label, threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Of each list, the neighbours in two random orders that are of different classes."""
     found = []
-    for salt in range(3):
-        second = n if salt == 0 else np.zeros_like(n)
-        third = sig if salt == 0 else mix(sig.view(np.uint64) + np.uint64(salt))
-        by = np.lexsort((third, second, key))
-        k, first = key[by], np.zeros(len(key), np.int64)
-        start = np.r_[True, k[1:] != k[:-1]]
-        first = np.maximum.accumulate(np.where(start, np.arange(len(k)), 0))
-        here = np.flatnonzero(~start)
-        for other in (here - 1, first[here]):
-            found.append(_filtered(by[other], by[here], sig, n, pos, side, threshold))
+    for salt in (1, 2):
+        by = np.lexsort((mix(sig.view(np.uint64) + np.uint64(salt)), key))
+        here = np.flatnonzero(key[by][1:] == key[by][:-1]) + 1
+        found.append(_filtered(by[here - 1], by[here], sig, n, pos, side, threshold, label))
     return _unique_pairs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
 
 
-def _filtered(i, j, sig, n, pos, side, threshold, label=None):
+def _filtered(i, j, sig, n, pos, side, threshold, label=None, bits=None):
+    """(smaller signature, larger) of the pairs of entries i, j that may link and are of different classes."""
     ok = may_link(n[i], n[i] - pos[i], n[j], n[j] - pos[j], threshold) & ((side[i] != side[j]) | (side[i] == 2))
     ok &= sig[i] != sig[j]
     if label is not None:
         ok &= label[i] != label[j]
     i, j = i[ok], j[ok]
+    if bits is not None:
+        close = np.ones(len(i), bool)
+        for lo in range(0, len(i), BITS_AT_ONCE):
+            x, y = i[lo:lo + BITS_AT_ONCE], j[lo:lo + BITS_AT_ONCE]
+            close[lo:lo + BITS_AT_ONCE] = within_bits(n[x], bits[x], n[y], bits[y], threshold)
+        i, j = i[close], j[close]
     return np.minimum(sig[i], sig[j]), np.maximum(sig[i], sig[j])
 
 
+def within_bits(n1, bits1, n2, bits2, threshold):
+    """Whether parity bitmaps allow a link: every differing bit is an element of one set only."""
+    return enough(n1, n2, np.bitwise_count(bits1 ^ bits2).sum(axis=1, dtype=np.int64), threshold)
+
+
+def enough(n1, n2, apart, threshold):
+    """Whether sets with at least ``apart`` elements in one of them only may link."""
+    return (n1 + n2 - apart) // 2 >= needed(n1 + n2, threshold)
+
+
 def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     by = np.lexsort((b, a))
     a, b = a[by], b[by]
@@ -210,12 +243,14 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return a[keep], b[keep]
 
 
-def cross_pairs(key, sig, n, pos, side, label, threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def cross_pairs(key, sig, n, pos, side, label, bits, threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All candidate pairs of each list whose entries differ in ``label``, in bounded portions.
 
-    Short lists are paired in full, long ones block by block."""
+    Short lists are paired in full, long ones block by block and with a look at the parity bitmaps ``bits``
+    (a row per entry; only those of long lists are filled)."""
     by = np.lexsort((pos, label, key))
     key, sig, n, pos, side, label = (x[by] for x in (key, sig, n, pos, side, label))
+    bits = bits[by]
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
     length = np.diff(np.r_[start, len(key)])
     for size in np.unique(length[(length > 1) & (length <= BLOCK)]):
@@ -243,7 +278,7 @@ def cross_pairs(key, sig, n, pos, side, label, threshold) -> Iterator[tuple[np.n
                 i = np.arange(edge[a], end[a])
                 ii, jj = np.repeat(i, len(j)), np.tile(j, len(i))
                 keep = ii < jj
-                yield _unique_pairs(*_filtered(ii[keep], jj[keep], sig, n, pos, side, threshold, label))
+                yield _unique_pairs(*_filtered(ii[keep], jj[keep], sig, n, pos, side, threshold, label, bits))
 
 
 def _sample_order(texts: DataFrame, total: int, width: int, threshold, chunk: int, sample_docs: int) -> tuple[Order, float]:
@@ -342,14 +377,14 @@ def _index(docs: DataFrame, order: Order, shards: int, width: int, threshold) ->
         same = np.r_[False, (key[1:] == key[:-1]) & (sig[1:] == sig[:-1])]  # copies of one set
         key, sig, n, pos, side = (x[~same] for x in (key, sig, n, pos, side))
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        live = np.repeat(np.diff(np.r_[start, len(key)]), np.diff(np.r_[start, len(key)])) > 1
-        key, sig, n, pos, side = (x[live] for x in (key, sig, n, pos, side))
+        length = np.repeat(np.diff(np.r_[start, len(key)]), np.diff(np.r_[start, len(key)]))
+        key, sig, n, pos, side, length = (x[length > 1] for x in (key, sig, n, pos, side, length))
         if not len(key):
             return
         a, b = star_pairs(key, sig, n, pos, side, threshold)
         for k in range(0, len(key), 500_000):
             s = slice(k, k + 500_000)
-            yield rows(1, None, n[s], sig[s], None, key[s].view(np.int64), pos[s], side[s].astype(np.int32))
+            yield rows(1, None, n[s], sig[s], None, key[s].view(np.int64), pos[s], (side[s] + LONG * (length[s] > BLOCK)).astype(np.int32))
         for k in range(0, len(a), 500_000):
             yield rows(2, sig=b[k:k + 500_000], key=a[k:k + 500_000])
 
@@ -368,9 +403,9 @@ def _bloom(hashes: DataFrame) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(sig, set) for the sets ``wanted`` (sig, h: hash of the id of one document that has it).
+    """(sig, set) of the sets ``wanted`` (sig, h: hash of the id of one document that has it) and a few more.
 
-    A Bloom filter picks the documents (and a few more), so only their sets are built and moved."""
+    A Bloom filter picks the documents, so only their sets are built and moved."""
     bits = _bloom(wanted.select("h"))
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,19 +420,21 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 sets = [s for s in map(shingler, block.column("text").to_pylist()) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "set"])
 
-    made = docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(build, "sig long, set binary")
-    return stage_table(made.join(wanted.select("sig"), "sig", "left_semi"), "jaccard-sets")
+    return stage_table(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(build, "sig long, set binary"), "jaccard-sets")
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, sets: DataFrame, width: int, threshold) -> DataFrame:
-    """The linked ones of ``pairs`` (u, v)."""
+def _verify(docs: DataFrame, pairs: DataFrame, known: DataFrame, fetched: DataFrame | None, width: int, threshold) -> tuple[DataFrame, DataFrame]:
+    """The linked ones of ``pairs`` (u, v), and ``fetched`` (sig, set) with the sets this took.
+
+    ``known``: (sig, n, bits, h) of all distinct sets."""
     def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nu, nv = b.column("nu").to_numpy(), b.column("nv").to_numpy()
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("bu", "bv"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            overlap = (nu + nv - apart) // 2
-            yield b.filter(pa.array(overlap >= needed(nu + nv, threshold))).select(["u", "v", "hu", "hv"])
+            apart = np.empty(len(nu), np.int64)
+            for k, (x, y) in enumerate(zip(b.column("bu").to_pylist(), b.column("bv").to_pylist())):
+                size = 8 * min(len(x), len(y))
+                apart[k] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)
+            yield b.filter(pa.array(enough(nu, nv, apart, threshold))).select(["u", "v", "hu", "hv"])
 
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -411,32 +448,46 @@ def _verify(docs: DataFrame, pairs: DataFrame, sets: DataFrame, width: int, thre
                 ok.append(threshold[1] * both >= threshold[0] * (len(x) + len(y) - both))
             yield b.filter(pa.array(ok, pa.bool_())).select(["u", "v"])
 
-    side = lambda s: sets.select(F.col("sig").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"b{s}"), F.col("h").alias(f"h{s}"))
+    side = lambda s: known.select(F.col("sig").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"b{s}"), F.col("h").alias(f"h{s}"))
     close = stage_table(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "nu", "nv", "bu", "bv", "hu", "hv")
                         .mapInArrow(bounded, "u long, v long, hu long, hv long"), "jaccard-close")
-    wanted = close.select(F.col("u").alias("sig"), F.col("hu").alias("h")).union(close.select("v", "hv")).distinct()
-    full = _sets_of(docs, stage_table(wanted, "jaccard-wanted"), width).dropDuplicates(["sig"])
-    both = (close.select("u", "v").join(full.select(F.col("sig").alias("u"), F.col("set").alias("su")), "u")
-            .join(full.select(F.col("sig").alias("v"), F.col("set").alias("sv")), "v"))
-    return stage_table(both.select("u", "v", "su", "sv").mapInArrow(exact, "u long, v long"), "jaccard-links")
-
-
-def _cross(live: DataFrame, classes: DataFrame, shards: int, threshold) -> DataFrame:
-    """Distinct candidate pairs (u, v) of different classes from all lists."""
+    wanted = stage_table(close.select(F.col("u").alias("sig"), F.col("hu").alias("h")).union(close.select("v", "hv")).distinct(), "jaccard-wanted")
+    if fetched is None:
+        full = own = _sets_of(docs, wanted, width)
+    else:
+        full = fetched.union(_sets_of(docs, wanted.join(fetched.select("sig"), "sig", "left_anti"), width))
+        own = full.join(wanted.select("sig"), "sig", "left_semi")
+    both = (close.select("u", "v").join(own.select(F.col("sig").alias("u"), F.col("set").alias("su")), "u")
+            .join(own.select(F.col("sig").alias("v"), F.col("set").alias("sv")), "v"))
+    return stage_table(both.select("u", "v", "su", "sv").mapInArrow(exact, "u long, v long"), "jaccard-links"), full
+
+
+def _cross(live: DataFrame, classes: DataFrame, known: DataFrame, shards: int, threshold, every: bool) -> DataFrame:
+    """Distinct candidate pairs (u, v) of different classes: all of them, or the neighbours in each list."""
     def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
             return
         t = pa.Table.from_batches(held)
-        col = lambda c: t.column(c).to_numpy()
-        for a, b in cross_pairs(col("key"), col("sig"), col("n"), col("pos"), col("side"), col("label"), threshold):
+        key, sig, n, pos, side, label = (t.column(c).to_numpy() for c in ("key", "sig", "n", "pos", "side", "label"))
+        if every:
+            bits = np.zeros((len(key), BITS // 64), np.uint64)
+            filled = t.column("bits").is_valid().to_numpy()
+            bits[filled] = np.array([folded(x, BITS) for x in t.column("bits").drop_null().to_pylist()], np.uint64).reshape(-1, BITS // 64)
+            found = cross_pairs(key, sig, n, pos, side % LONG, label, bits, threshold)
+        else:
+            found = [neighbour_pairs(key, sig, n, pos, side % LONG, label, threshold)]
+        for a, b in found:
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["u", "v"])
 
     labelled = (live.join(classes.select(F.col("node").alias("sig"), "component"), "sig", "left")
                 .select("key", "sig", "n", "pos", "side", F.coalesce("component", "sig").alias("label")))
-    mixed = labelled.repartition(shards, "key").mapInArrow(pair, "u long, v long")
-    return mixed.distinct()
+    none = F.lit(None).cast("binary").alias("bits")
+    if every:
+        labelled = labelled.filter(F.col("side") < LONG).select("*", none).union(
+            labelled.filter(F.col("side") >= LONG).join(known.select("sig", "bits"), "sig").select("key", "sig", "n", "pos", "side", "label", "bits"))
+    return labelled.repartition(shards, "key").mapInArrow(pair, "u long, v long").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -451,12 +502,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = stage_table(rows.filter("n > 0").groupBy("sig").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("copies"))
         .withColumn("h", F.xxhash64("id")), "jaccard-distinct")
+    live = index.filter("kind = 1").select("key", "sig", "n", "pos", "side")
     first = index.filter("kind = 2").select(F.col("key").alias("u"), F.col("sig").alias("v")).distinct()
-    links = _verify(docs, first, sets, width, threshold)
+    links, fetched = _verify(docs, first, sets, None, width, threshold)
     classes = components(links)
-    rest = _cross(index.filter("kind = 1").select("key", "sig", "n", "pos", "side"), classes, shards, threshold)
-    more = _verify(docs, rest, sets, width, threshold)
-    classes = components(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+    for every in (False, True):
+        rest = _cross(live, classes, sets, shards, threshold, every)
+        links, fetched = _verify(docs, rest, sets, fetched, width, threshold)
+        classes = components(classes.select(F.col("node").alias("u"), F.col("component").alias("v")).union(links))
     named = classes.join(sets.select(F.col("sig").alias("node"), "id"), "node")
     least = named.groupBy("component").agg(F.min("id").alias("least"))
     own = named.join(least, "component").select(F.col("node").alias("sig"), "least")
