@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +36,9 @@ from tickframe.llm.jaccard_join import Shingler
 FOLDS, HELD_OUT = 7, 2
 PRIOR = 1000.0
 HOT_PART = 4096
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 BLOCK_DOCS = 1 << 15
-TOKENS_PER_TASK = 4_000_000
+TOKENS_PER_TASK = 2_500_000
 NEIGHBOUR_BITS = 40
 BEGIN = np.uint64(0x1D8AF066BE64A7C5)
 END = np.uint64(0xA3EC647659359ACD)
@@ -187,7 +188,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             is_doc = batch.column("doc").is_valid()
             own = batch.filter(is_doc)
             if own.num_rows and not tries:
-                yield pa.RecordBatch.from_arrays([own.column(i) for i in back], scored)
+                yield pa.RecordBatch.from_arrays([*[own.column(i) for i in back], pa.nulls(own.num_rows, pa.binary())], scored)
             rest = batch.filter(pa.array(~is_doc.to_numpy(zero_copy_only=False)))
             for r in rest.select(["shard", "block", *[f"b{i}" for i in range(9)]]).to_pylist():
                 shard = r["shard"]
@@ -233,20 +234,46 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             found = trie.pair(at[i], near[lo:lo + step])
             value[lo:lo + step] = np.where(found >= 0, trie.pair_value(found), alone[i]) + down[i]
         document, back_to = np.unique((block << 15) | (code & 0x7FFF).astype(np.int64), return_inverse=True)
-        add = lambda x: np.bincount(back_to, x)
-        k = len(document)
+        sums = [np.bincount(back_to, x) for x in ((rare & (counts > 0))[index].astype(np.float64), base[index], value)]
+        edge = np.flatnonzero(np.r_[True, np.diff(document >> 15) != 0, True])
+        blobs = [b"".join([np.int64(hi - lo).tobytes(), (document[lo:hi] & 0x7FFF).astype(np.uint16).tobytes(), sums[0][lo:hi].astype(np.uint32).tobytes(),
+                           sums[1][lo:hi].tobytes(), sums[2][lo:hi].astype(np.float32).tobytes()]) for lo, hi in zip(edge[:-1], edge[1:])]
+        k = len(blobs)
+        yield pa.RecordBatch.from_arrays([pa.array(document[edge[:-1]] >> 15), *[pa.nulls(k, t) for t in (
+            pa.int32(), arrow_id, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())], pa.array(blobs, pa.binary())], scored)
+
+    def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, blobs = [], []
+        for b in batches:
+            is_doc = b.column("doc").is_valid()
+            rows.append(b.filter(is_doc))
+            rest = b.filter(pc.invert(is_doc))
+            blobs += zip(rest.column("block").to_pylist(), rest.column("sums").to_pylist())
+        if not rows:
+            return
+        docs = pa.Table.from_batches(rows)
+        code = (docs.column("block").to_numpy() << 15) | docs.column("doc").to_numpy().astype(np.int64)
+        by = np.argsort(code)
+        add = np.zeros((3, len(code)))
+        for block, blob in sorted(blobs):
+            m = int(np.frombuffer(blob, np.int64, 1)[0])
+            doc, known = np.frombuffer(blob, np.uint16, m, 8), np.frombuffer(blob[8 + 2 * m:8 + 6 * m], np.uint32)
+            at = by[np.searchsorted(code, (block << 15) | doc.astype(np.int64), sorter=by)]
+            add[0, at] += known
+            add[1, at] += np.frombuffer(blob[8 + 6 * m:8 + 14 * m], np.float64)
+            add[2, at] += np.frombuffer(blob[8 + 14 * m:], np.float32)
+        n = docs.column("n_tokens").to_numpy()
         yield pa.RecordBatch.from_arrays([
-            pa.array(document >> 15), pa.array((document & 0x7FFF).astype(np.int32)), pa.nulls(k, arrow_id), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
-            pa.array(add((rare & (counts > 0))[index].astype(np.float64)).astype(np.int64)), pa.array(add(base[index])), pa.array(add(value))], scored)
+            docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(), pa.array(n), pa.array(docs.column("n_known").to_numpy() + add[0].astype(np.int64)),
+            pa.array(np.full(len(n), n_all)), pa.array(docs.column("base").to_numpy() + add[1] - n * float(np.log10(whole))), pa.array(docs.column("value").to_numpy() + add[2])], result)
 
-    scored = ["block", "doc", "doc_id", "held_out", "n_tokens", "n_known", "base", "value"]
+    scored = ["block", "doc", "doc_id", "held_out", "n_tokens", "n_known", "base", "value", "sums"]
+    result = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     sent = docs.mapInArrow(emit, ", ".join(["shard int, block long", *[f"b{i} binary" for i in range(9)], "doc int", f"doc_id {id_type}",
                                            "held_out boolean, n_tokens long, n_known long, base double, value double"])).repartitionById(shards, F.col("shard"))
     if tries:
         return sent.mapInArrow(gather, "shard int, trie binary")
-    sums = sent.mapInArrow(gather, f"block long, doc int, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, value double")
-    total = sums.groupBy("block", "doc").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-                                             F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("value").alias("value"))
-    return total.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"),
-                        (F.col("base") - F.col("n_tokens") * float(np.log10(whole))).alias("base_score"), F.col("value").alias("score"))
+    sums = sent.mapInArrow(gather, f"block long, doc int, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, value double, sums binary")
+    return sums.repartition(shards, "block").mapInArrow(
+        total, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
