@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import by_bytes, stage_table
+from tickframe.llm.common import by_bytes, releasing, stage_table
 
 BLOCK_BYTES = 8 << 20
 FORMS_PER_GROUP = 100
@@ -314,7 +314,7 @@ def _figures(pages: DataFrame) -> DataFrame:
         yield from flush()
 
     names = ["host", "form", "form_key", "slot", "pages", "chars", "low", "high"]
-    return (pages.select("url", "html").mapInArrow(read, "host string, form string, form_key long, slot int, pages long, chars long, low long, high long")
+    return (pages.select("url", "html").mapInArrow(releasing(read), "host string, form string, form_key long, slot int, pages long, chars long, low long, high long")
             .groupBy("host", "form", "form_key", "slot").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high")))
 
 
@@ -414,7 +414,7 @@ def _kept_slots(figures: DataFrame) -> DataFrame:
         kept = [k for k, x in enumerate(keep) if x]
         return pa.table({"host": pa.array([keys[0].as_py()] * len(kept), pa.string()), "place": pa.array(kept, pa.int32())})
 
-    places = stage_table(forms.join(wrappers, "host").mapInArrow(place, "form_key long, slot int, place int"), "html-places")
+    places = stage_table(forms.join(wrappers, "host").mapInArrow(releasing(place), "form_key long, slot int, place int"), "html-places")
     evidence = (figures.join(places, ["form_key", "slot"]).groupBy("host", "place")
                 .agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), (F.min("low") == F.max("high")).alias("same")))
     good = evidence.join(wrappers, "host").groupBy("host").applyInArrow(decide, "host string, place int")
@@ -444,7 +444,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 block.column("page_id").combine_chunks(), block.column("url").combine_chunks(), pa.array(keys, pa.int64()),
                 pa.array(found, pa.list_(pa.struct([("slot", pa.int32()), ("text", pa.string())])))], ["page_id", "url", "form_key", "blocks"])
 
-    split = pages.mapInArrow(read, f"page_id {id_type}, url string, form_key long, blocks array<struct<slot:int,text:string>>")
+    split = pages.mapInArrow(releasing(read), f"page_id {id_type}, url string, form_key long, blocks array<struct<slot:int,text:string>>")
     main = F.filter("blocks", lambda b: F.array_contains(F.coalesce(F.col("kept"), F.array().cast("array<int>")), b["slot"]))
     return (split.join(kept, "form_key", "left")
             .select("page_id", "url", F.array_join(F.transform(main, lambda b: b["text"]), "\n\n").alias("text"))

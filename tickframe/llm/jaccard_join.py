@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import by_bytes, mix, stage_table
+from tickframe.llm.common import by_bytes, mix, releasing, stage_table
 from tickframe.llm.components import components
 
 WIDTH = 5
 THRESHOLD = (75, 100)
-BLOCK_BYTES = 8 << 20
-KEPT_WORDS = 400_000
+BLOCK_BYTES = 4 << 20
+KEPT_WORDS = 250_000
 ORDER_SAMPLE_DOCS = 20_000
 ORDER_LIST = 1 << 18
 POSTINGS_PER_TASK = 2_000_000
@@ -300,7 +300,7 @@ def _sample_order(texts: DataFrame, total: int, width: int, threshold, chunk: in
                 pa.array(np.r_[np.zeros(len(k), np.int64), prefix]), pa.array(np.r_[np.zeros(len(k), np.int64), len(sets)])],
                 ["key", "n", "prefix", "docs"])
 
-    counted = stage_table(sample.mapInArrow(tally, "key long, n long, prefix long, docs long")
+    counted = stage_table(sample.mapInArrow(releasing(tally), "key long, n long, prefix long, docs long")
                           .groupBy("key").agg(F.sum("n").alias("n"), F.sum("prefix").alias("prefix"), F.sum("docs").alias("docs"))
                           .filter("n >= 3 or docs > 0"), "jaccard-order")
     prefix, docs = counted.agg(F.sum("prefix"), F.sum("docs")).first()
@@ -388,9 +388,9 @@ def _index(docs: DataFrame, order: Order, shards: int, width: int, threshold) ->
         for k in range(0, len(a), 500_000):
             yield rows(2, sig=b[k:k + 500_000], key=a[k:k + 500_000])
 
-    sent = docs.select("doc_id", "text").mapInArrow(emit, f"shard int, doc_id {id_type}, n long, sig long, bits binary, blob binary")
+    sent = docs.select("doc_id", "text").mapInArrow(releasing(emit), f"shard int, doc_id {id_type}, n long, sig long, bits binary, blob binary")
     return stage_table(sent.repartitionById(shards, F.col("shard")).mapInArrow(
-        gather, f"kind int, doc_id {id_type}, n long, sig long, bits binary, key long, pos long, side int"), "jaccard-index", "kind")
+        releasing(gather), f"kind int, doc_id {id_type}, n long, sig long, bits binary, key long, pos long, side int"), "jaccard-index", "kind")
 
 
 def _bloom(hashes: DataFrame) -> np.ndarray:
@@ -420,7 +420,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 sets = [s for s in map(shingler, block.column("text").to_pylist()) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "set"])
 
-    return stage_table(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(build, "sig long, set binary"), "jaccard-sets")
+    return stage_table(docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(releasing(build), "sig long, set binary"), "jaccard-sets")
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, known: DataFrame, fetched: DataFrame | None, width: int, threshold) -> tuple[DataFrame, DataFrame]:
@@ -450,7 +450,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, known: DataFrame, fetched: DataFr
 
     side = lambda s: known.select(F.col("sig").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"b{s}"), F.col("h").alias(f"h{s}"))
     close = stage_table(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "nu", "nv", "bu", "bv", "hu", "hv")
-                        .mapInArrow(bounded, "u long, v long, hu long, hv long"), "jaccard-close")
+                        .mapInArrow(releasing(bounded), "u long, v long, hu long, hv long"), "jaccard-close")
     wanted = stage_table(close.select(F.col("u").alias("sig"), F.col("hu").alias("h")).union(close.select("v", "hv")).distinct(), "jaccard-wanted")
     if fetched is None:
         full = own = _sets_of(docs, wanted, width)
@@ -459,7 +459,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, known: DataFrame, fetched: DataFr
         own = full.join(wanted.select("sig"), "sig", "left_semi")
     both = (close.select("u", "v").join(own.select(F.col("sig").alias("u"), F.col("set").alias("su")), "u")
             .join(own.select(F.col("sig").alias("v"), F.col("set").alias("sv")), "v"))
-    return stage_table(both.select("u", "v", "su", "sv").mapInArrow(exact, "u long, v long"), "jaccard-links"), full
+    return stage_table(both.select("u", "v", "su", "sv").mapInArrow(releasing(exact), "u long, v long"), "jaccard-links"), full
 
 
 def _cross(live: DataFrame, classes: DataFrame, known: DataFrame, shards: int, threshold, every: bool) -> DataFrame:
@@ -487,7 +487,7 @@ def _cross(live: DataFrame, classes: DataFrame, known: DataFrame, shards: int, t
     if every:
         labelled = labelled.filter(F.col("side") < LONG).select("*", none).union(
             labelled.filter(F.col("side") >= LONG).join(known.select("sig", "bits"), "sig").select("key", "sig", "n", "pos", "side", "label", "bits"))
-    return labelled.repartition(shards, "key").mapInArrow(pair, "u long, v long").distinct()
+    return labelled.repartition(shards, "key").mapInArrow(releasing(pair), "u long, v long").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -523,7 +523,7 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` with one document of each component, the one whose id names it, once."""
     found = jaccard_components(docs, id_col, text_col, **kw)
     others = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    repeated = docs.groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_id"))
-    kept = docs.join(others, docs[id_col] == F.col("_id"), "left_anti")
-    again = kept.join(repeated, kept[id_col].eqNullSafe(F.col("_id")), "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, kept[id_col].eqNullSafe(F.col("_id")), "left_anti").unionByName(again)
+    repeated = docs.groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col(id_col).alias("_id"))
+    kept = docs.join(others, docs[id_col] == others["_id"], "left_anti")
+    again = kept.join(repeated, kept[id_col].eqNullSafe(repeated["_id"]), "left_semi").dropDuplicates([id_col])
+    return kept.join(repeated, kept[id_col].eqNullSafe(repeated["_id"]), "left_anti").unionByName(again)

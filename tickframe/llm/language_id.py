@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import by_bytes, mix, stage_table
+from tickframe.llm.common import by_bytes, mix, releasing, stage_table
 
 MIN_SHARE = 1e-5
 MIN_COUNT = 3
@@ -34,7 +34,7 @@ MIN_COUNT = 3
 MIN_PART = 0.2
 HASHES = 3
 ROOM = 12
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 FLUSH = 1_000_000
 MIN_SCORE = 0.35
 UNKNOWN = "und"
@@ -127,7 +127,7 @@ def _counts(rows: DataFrame) -> DataFrame:
                 size = 0
         yield from flush()
 
-    return rows.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(releasing(count), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             lang, score = model.predict(block.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([block.column("doc_id").combine_chunks(), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(predict, f"doc_id {id_type}, lang_pred string, score double")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(releasing(predict), f"doc_id {id_type}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
@@ -171,4 +171,4 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_s
             lang, score = model.predict(block.column(text_col).to_pylist())
             yield from block.filter(pa.array((np.array(lang) != UNKNOWN) & (score >= min_score))).to_batches()
 
-    return docs.mapInArrow(select, docs.schema)
+    return docs.mapInArrow(releasing(select), docs.schema)

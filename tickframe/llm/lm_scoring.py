@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import by_bytes, fold_of, mix, stage_table
+from tickframe.llm.common import by_bytes, fold_of, mix, releasing, stage_table
 from tickframe.llm.elias_fano import Trie
 from tickframe.llm.jaccard_join import Shingler
 
@@ -94,8 +94,8 @@ def corpus_counts(docs: DataFrame, shards: int) -> tuple[int, int, int, np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[0, distinct[hot].view(np.int64)]), pa.array(np.r_[counts.sum(), counts[hot]]),
                                           pa.array(np.r_[len(distinct), np.zeros(hot.sum(), np.int64)])], ["word", "n", "distinct"])
 
-    rows = stage_table(docs.filter("train").select("text").mapInArrow(count, "shard int, words binary, n binary")
-                       .repartitionById(shards, F.col("shard")).mapInArrow(total, "word long, n long, distinct long"), "lm-counts")
+    rows = stage_table(docs.filter("train").select("text").mapInArrow(releasing(count), "shard int, words binary, n binary")
+                       .repartitionById(shards, F.col("shard")).mapInArrow(releasing(total), "word long, n long, distinct long"), "lm-counts")
     n, v = rows.filter("distinct > 0").agg(F.sum("n"), F.sum("distinct")).first()
     n, v = n or 0, v or 0
     end = int(END.view(np.int64))
@@ -232,7 +232,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         for lo in range(0, len(index), step):
             i = index[lo:lo + step]
             found = trie.pair(at[i], near[lo:lo + step])
-            value[lo:lo + step] = np.where(found >= 0, trie.pair_value(found), alone[i]) + down[i]
+            hit = found >= 0
+            up = alone[i]
+            up[hit] = trie.pair_value(found[hit])
+            value[lo:lo + step] = up + down[i]
         document, back_to = np.unique((block << 15) | (code & 0x7FFF).astype(np.int64), return_inverse=True)
         sums = [np.bincount(back_to, x) for x in ((rare & (counts > 0))[index].astype(np.float64), base[index], value)]
         edge = np.flatnonzero(np.r_[True, np.diff(document >> 15) != 0, True])
@@ -270,10 +273,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     scored = ["block", "doc", "doc_id", "held_out", "n_tokens", "n_known", "base", "value", "sums"]
     result = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
-    sent = docs.mapInArrow(emit, ", ".join(["shard int, block long", *[f"b{i} binary" for i in range(9)], "doc int", f"doc_id {id_type}",
+    sent = docs.mapInArrow(releasing(emit), ", ".join(["shard int, block long", *[f"b{i} binary" for i in range(9)], "doc int", f"doc_id {id_type}",
                                            "held_out boolean, n_tokens long, n_known long, base double, value double"])).repartitionById(shards, F.col("shard"))
     if tries:
-        return sent.mapInArrow(gather, "shard int, trie binary")
-    sums = sent.mapInArrow(gather, f"block long, doc int, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, value double, sums binary")
+        return sent.mapInArrow(releasing(gather), "shard int, trie binary")
+    sums = sent.mapInArrow(releasing(gather), f"block long, doc int, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, value double, sums binary")
     return sums.repartition(shards, "block").mapInArrow(
-        total, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        releasing(total), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -16,6 +16,8 @@ has target 0 and rate 1; rows with equal ids are told apart as rows in ``plan``
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,5 +150,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .agg(F.round(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
              .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies"))
     own = F.size(words(docs[text_col])).cast("long")
-    return (docs.join(drawn, docs[id_col].eqNullSafe(F.col("_id")) & docs[source_col].eqNullSafe(F.col("_source")) & (own == F.col("_size")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns]))
+    copy = f"copy_{uuid.uuid4().hex}"  # no column of the documents has this name
+    return (docs.join(drawn, docs[id_col].eqNullSafe(drawn["_id"]) & docs[source_col].eqNullSafe(drawn["_source"]) & (own == drawn["_size"]))
+            .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), drawn["_copies"])).alias(copy)).drop(copy))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import by_bytes, rank_within, stage_table
+from tickframe.llm.common import by_bytes, rank_within, releasing, stage_table
 from tickframe.llm.token_counts import BLOCK_BYTES, PieceMemory, gather
 
 CAPACITY = 4096
@@ -79,7 +79,7 @@ def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"))
+            .mapInArrow(releasing(cut), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"))
 
 
 def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
@@ -151,7 +151,7 @@ def place(ranked: DataFrame, spans: np.ndarray) -> DataFrame:
                 + [pa.array(s[:, 2] + k // s[:, 3]), pa.array(s[:, 4] + k % s[:, 3] * length)],
                 [n for n in batch.schema.names if n != "rank"] + ["sequence_id", "offset"])
 
-    return ranked.mapInArrow(look_up, f"{fields}, sequence_id long, offset long")
+    return ranked.mapInArrow(releasing(look_up), f"{fields}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id",

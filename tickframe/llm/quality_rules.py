@@ -1,18 +1,19 @@
 """Quality rules as a short-circuit cascade: cheap, selective rules run first, later rules see only the rest.
 
-Every rule is a SQL expression that is true for a document to reject.  Their cost (seconds a row) and
+Every rule is a condition over measures that is true for a document to reject.  Their cost (seconds a row) and
 selectivity (share rejected) are estimated on a sample; ``order_rules`` sorts them by rejections per second.
 ``cascade`` turns the ordered list into one CASE expression, whose branches Spark evaluates only as far as
 needed.  The order changes the cost of a run and never its verdicts.  Only DataFrame functions are used.
 
 Defined cases: NULL or empty text has no words, all measures are 0 and the document fails; rules that
-divide by a count use ``greatest(count, 1)``; repeated rows are judged one by one; an empty table gives an
+divide by a count use at least 1; repeated rows are judged one by one; an empty table gives an
 empty result; extra columns are kept by ``keep_good`` and ignored by ``judge``.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,39 +28,30 @@ SAMPLE_ROWS = 1000
 
 @dataclass(frozen=True)
 class Rule:
-    """``reject`` is an expression over the measure columns of ``MEASURES`` and over ``text``."""
+    """``reject`` takes the measures by name and returns a condition; it reads only those it needs."""
 
     name: str
-    reject: Column
+    reject: Callable[[Mapping[str, Column]], Column]
 
 
-def _array(text: Column) -> Column:
-    return words(text)
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _word_chars(text: Column) -> Column:
-    return F.length(F.array_join(words(text), "")).cast("long")
-
-
-def _n_symbols(text: Column) -> Column:
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), f"[^{SYMBOLS}]+", "")).cast("long")
-
-
-def _n_dup_lines(text: Column) -> Column:
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+def _n_dup_lines(text: Column, w: Column) -> Column:
+    lines = F.filter(_lines(text), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
 
 
-def _n_repeat_words(text: Column) -> Column:
+def _n_repeat_words(text: Column, w: Column) -> Column:
     """Words that lie in a window of five words found at least twice.
 
     Windows are compared by a 64-bit hash of their words.  Only a text that has a repeated window pays for
     sorting its windows; the covered words are then counted from the sorted start positions.
     """
-    def windows(w: Column) -> Column:
-        return F.when(F.size(w) < WINDOW, F.array().cast("array<bigint>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
-                        lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WINDOW)])))
+    windows = F.when(F.size(w) < WINDOW, F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)),
+                    lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WINDOW)])))
 
     def covered(h: Column) -> Column:
         ranked = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -70,46 +62,46 @@ def _n_repeat_words(text: Column) -> Column:
                 F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))),
                 F.lit(0).cast("long"), lambda a, x: a + x)))
 
-    return let(words(text), lambda w: let(windows(w), lambda h: F.when(
-        F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h))))
+    return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h)))
 
 
-#: Measures of a text, as functions of its column.
-MEASURES = {
-    "n_words": lambda t: F.size(_array(t)).cast("long"),
-    "word_chars": _word_chars,
-    "n_symbols": _n_symbols,
+#: Measures of a text and its words.
+MEASURES: dict[str, Callable[[Column, Column], Column]] = {
+    "n_words": lambda t, w: F.size(w).cast("long"),
+    "word_chars": lambda t, w: F.length(F.array_join(w, "")).cast("long"),
+    "n_symbols": lambda t, w: F.length(F.regexp_replace(F.coalesce(t, F.lit("")), f"[^{SYMBOLS}]+", "")).cast("long"),
+    "n_lines": lambda t, w: F.size(_lines(t)).cast("long"),
     "n_dup_lines": _n_dup_lines,
     "n_repeat_words": _n_repeat_words,
 }
 
+RULES = [
+    Rule("too_few_words", lambda m: m["n_words"] < 10),
+    Rule("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 20 * m["n_words"]),
+    Rule("symbols", lambda m: 10 * m["n_symbols"] > 3 * F.greatest(m["n_words"], F.lit(1))),
+    Rule("word_length", lambda m: (m["word_chars"] < 2 * F.greatest(m["n_words"], F.lit(1))) | (m["word_chars"] > 14 * F.greatest(m["n_words"], F.lit(1)))),
+    Rule("repeated_lines", lambda m: (m["n_dup_lines"] >= 3) & (10 * m["n_dup_lines"] > 3 * m["n_lines"])),
+]
+
 
-def rules(text: Column | None = None) -> list[Rule]:
-    """The rule set.  With ``text`` the measures are computed where a rule needs them (the cascade skips
-    those of later rules); without it they are read from columns of the same names."""
-    m = {k: (f(text) if text is not None else F.col(k)) for k, f in MEASURES.items()}
-    n = F.greatest(m["n_words"], F.lit(1))
-    return [
-        Rule("too_few_words", m["n_words"] < 10),
-        Rule("repeated_windows", 100 * m["n_repeat_words"] > 20 * m["n_words"]),
-        Rule("symbols", 10 * m["n_symbols"] > 3 * n),
-        Rule("word_length", (m["word_chars"] < 2 * n) | (m["word_chars"] > 14 * n)),
-        Rule("repeated_lines", (m["n_dup_lines"] >= 3) & (10 * m["n_dup_lines"] > 3 * F.size(
-            F.split(F.coalesce(text if text is not None else F.col("text"), F.lit("")), "\n")))),
-    ]
+def _over(text: Column, body: Callable[[dict[str, Column]], Column]) -> Column:
+    """``body`` of the measures of a text, whose words are split once."""
+    return let(words(text), lambda w: body({k: f(text, w) for k, f in MEASURES.items()}))
 
 
-def estimate(docs: DataFrame, candidates: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 17) -> dict[str, tuple[float, float]]:
+def estimate(docs: DataFrame, text_col: str, candidates: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 17) -> dict[str, tuple[float, float]]:
     """(seconds a row, share rejected) of each rule on about ``sample_rows`` random rows.
 
     The sample only decides the order of the rules; every document is judged by every rule it reaches."""
     total = docs.count()
     share = min(1.0, sample_rows / total) if total else 1.0
-    sample = stage_table(docs.sample(share, seed) if share < 1 else docs, "quality-sample")
+    slim = docs.select(F.col(text_col).alias("text"))
+    sample = stage_table(slim.sample(share, seed) if share < 1 else slim, "quality-sample")
     out = {}
     for rule in candidates:
         began = time.perf_counter()
-        n, hits = sample.agg(F.count("*"), F.sum(F.coalesce(rule.reject, F.lit(False)).cast("int"))).first()
+        hit = F.coalesce(_over(F.col("text"), rule.reject), F.lit(False)).cast("int")
+        n, hits = sample.agg(F.count("*"), F.sum(hit)).first()
         spent = time.perf_counter() - began
         out[rule.name] = (spent / max(n, 1), (hits or 0) / max(n, 1))
     return out
@@ -120,30 +112,26 @@ def order_rules(candidates: list[Rule], figures: dict[str, tuple[float, float]])
     return sorted(candidates, key=lambda r: -figures[r.name][1] / max(figures[r.name][0], 1e-9))
 
 
-def cascade(ordered: list[Rule]) -> Column:
+def cascade(ordered: list[Rule], measures: Mapping[str, Column]) -> Column:
     """True if no rule rejects.  CASE stops at the first rule that does; a NULL verdict does not reject."""
-    out = F.when(ordered[0].reject, F.lit(False))
+    out = F.when(ordered[0].reject(measures), F.lit(False))
     for rule in ordered[1:]:
-        out = out.when(rule.reject, F.lit(False))
+        out = out.when(rule.reject(measures), F.lit(False))
     return out.otherwise(F.lit(True))
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", candidates: list[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Documents that pass every rule, with all their columns; measures are computed only as far as needed."""
-    candidates = rules(F.col(text_col))
-    ordered = order_rules(candidates, estimate(docs.select(text_col), candidates, sample_rows))
-    return docs.filter(cascade(ordered))
+    ordered = order_rules(candidates, estimate(docs, text_col, candidates, sample_rows))
+    return docs.filter(_over(docs[text_col], lambda m: cascade(ordered, m)))
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", candidates: list[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """All measures, ``base_failed`` and the cascade's verdict ``kept`` of every document.
 
     Asking for all measures leaves nothing to skip, so the cascade here runs over the finished columns."""
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    candidates = rules(F.col("text"))
-    ordered = order_rules(candidates, estimate(slim.select("text"), candidates, sample_rows))
-    by_name = {r.name: r for r in rules()}
-    measured = slim.select("doc_id", "text", *[f(F.col("text")).alias(k) for k, f in MEASURES.items()])
+    ordered = order_rules(candidates, estimate(docs, text_col, candidates, sample_rows))
+    measured = docs.select(F.col(id_col).alias("doc_id"), _over(F.col(text_col), lambda m: F.struct(*[c.alias(k) for k, c in m.items()])).alias("m"))
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measured.select("doc_id", *MEASURES, base_failed.alias("base_failed"),
-                           (~base_failed & cascade([by_name[r.name] for r in ordered])).alias("kept"))
+    return measured.select("doc_id", "m.*").select("doc_id", *MEASURES, base_failed.alias("base_failed"),
+                                                   (~base_failed & cascade(ordered, {k: F.col(k) for k in MEASURES})).alias("kept"))

@@ -23,12 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import by_bytes
+from tickframe.llm.common import by_bytes, releasing
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 BATCH_CHARS = 256 << 10
 BATCH_PIECES = 2048
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 #: Marks that may end a piece.
 MARKS = ".,;:!?"
 _SPACES = r" \n\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -196,4 +196,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(count, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean"))
+            .mapInArrow(releasing(count), f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean"))

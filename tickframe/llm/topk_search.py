@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import stage_table
+from tickframe.llm.common import releasing, stage_table
 
 SCALE = 256
 K = 5
@@ -123,7 +123,7 @@ def top_k(rows: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "e
 
     asked = base.filter(queries)
     parts = max(1, -(-asked.count() // query_rows))
-    asked = stage_table(asked.mapInArrow(bound, "vec_id long, vec array<double>, norm double, bound double")
+    asked = stage_table(asked.mapInArrow(releasing(bound), "vec_id long, vec array<double>, norm double, bound double")
                         .select(F.col("vec_id").alias("query_id"), "vec", "norm", "bound", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")), "topk-queries")
     band = F.lit(0)
     for c in cuts:
