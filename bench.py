@@ -24,6 +24,7 @@ from tickframe.operators import trades as tr  # noqa: E402
 from tickframe.operators.upsert import upsert  # noqa: E402
 from tickframe.plans.data_queries import upsert_inputs  # noqa: E402
 from tickframe.plans.trading_queries import scored_latest, symbol_universe  # noqa: E402
+from tickframe.plans.stub import stub_probability  # noqa: E402
 from tickframe.session import get_spark  # noqa: E402
 from tickframe.sources.fixtures import bars_s  # noqa: E402
 
@@ -43,7 +44,7 @@ def upsert_bars(spark, sf):
 
 def trade_ledger(spark, sf):
     df = ds.drop_incomplete(feat.enrich_research(bars_s(spark, sf)))
-    s = sg.signal_flag(sg.score(df), 0.49)
+    s = sg.signal_flag(sg.score(df, stub_probability), 0.49)
     flags = s.select("symbol", "open_time", "close", (F.col("signal") != 0).alias("entry"),
                      (F.col("signal") == 0).alias("exit"))
     return tr.trade_ledger(flags)

@@ -32,3 +32,27 @@ def test_stream_upsert_new_values_win(spark):
         .write.json(landing, mode="append")
     out = {r.open_time: (r.close, r.volume) for r in st.stream_upsert(spark, existing, landing, staging).collect()}
     assert out == {t0: (1.5, 10.0), t0 + dt.timedelta(hours=1): (2.2, 7.0), t0 + dt.timedelta(hours=2): (2.9, 5.0)}
+
+
+def test_late_and_changed_bars(spark):
+    """A back-fill far behind the newest bar is kept, a re-sent bar takes its newest value, and only touched symbols are written."""
+    base = os.path.join(checkpoint_dir(spark), f"t-{uuid.uuid4().hex}")
+    landing, staging, table = base + "/landing", base + "/staging", base + "/table"
+    t0 = dt.datetime(2024, 1, 1)
+    day = dt.timedelta(days=1)
+    pages = [[(t0 + 200 * day, 1, 1, 1, 9.0, 1)], [(t0 + 201 * day, 1, 1, 1, 5.0, 1)], [(t0 + 200 * day, 1, 1, 1, 4.0, 2)], [(t0, 1, 1, 1, 3.0, 1)]]
+    for page in pages:
+        spark.createDataFrame([("X", _payload(page))], "symbol string, payload string").coalesce(1).write.json(landing, mode="append")
+    columns = "symbol string, open_time timestamp_ntz, open double, high double, low double, close double, volume double"
+    existing = spark.createDataFrame([("X", t0 - day, 1.0, 1.0, 1.0, 1.0, 1.0), ("Y", t0, 2.0, 2.0, 2.0, 2.0, 2.0)], columns)
+    existing.write.partitionBy("symbol").parquet(table)
+    first = {r.open_time: r.close for r in st.stream_dedup(spark, landing, base + "/first").collect()}
+    assert first == {t0 + 200 * day: 9.0, t0 + 201 * day: 5.0, t0: 3.0}
+    old = spark.read.parquet(table).select(*existing.columns)
+    updated = st.stream_upsert(spark, old, landing, staging)
+    names = {f for _, _, fs in os.walk(table + "/symbol=Y") for f in fs}
+    st.write_back(spark, updated, spark.read.parquet(staging), table, lambda df: df.withColumn("close", df["close"] + 0))
+    assert names == {f for _, _, fs in os.walk(table + "/symbol=Y") for f in fs}
+    back = {(r.symbol, r.open_time): (r.close, r.volume) for r in spark.read.parquet(table).collect()}
+    assert back == {("X", t0 - day): (1.0, 1.0), ("X", t0): (3.0, 1.0), ("X", t0 + 200 * day): (4.0, 2.0), ("X", t0 + 201 * day): (5.0, 1.0),
+                    ("Y", t0): (2.0, 2.0)}

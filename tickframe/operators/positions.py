@@ -109,6 +109,11 @@ def wallet_after_cycle(kept: DataFrame, bought: DataFrame, cash_after_sells: flo
     return rows.withColumn("cash_usdt", F.lit(cash_after_sells - spent))
 
 
+def wallet_cash(bought: DataFrame, cash_after_sells: float) -> DataFrame:
+    """The wallet's remaining cash as a one-row table, also when no position is left."""
+    return bought.agg((F.lit(cash_after_sells) - F.coalesce(F.sum("value"), F.lit(0.0))).alias("cash_usdt"))
+
+
 def wallet_json(positions: DataFrame, cash: float) -> DataFrame:
     """The wallet document (reference field names), positions sorted by token."""
     pos = F.struct(F.col(KEY).alias("token"), F.col("buy_price").alias("preco_compra"),
@@ -118,10 +123,11 @@ def wallet_json(positions: DataFrame, cash: float) -> DataFrame:
 
 
 def wallet_positions(wallet_docs: DataFrame, col: str = "wallet") -> DataFrame:
-    """Flatten wallet JSON documents to position rows (order kept as ``pos``)."""
+    """Flatten wallet JSON documents to position rows (order kept as ``pos``).
+    A wallet without positions is one row with its cash and NULL position."""
     from tickframe.schemas import WALLET
     w = wallet_docs.select(F.from_json(F.col(col), WALLET).alias("w"))
     return w.select(F.col("w.cash_usdt").alias("cash_usdt"),
-                    F.posexplode("w.positions").alias("pos", "p")).select(
+                    F.posexplode_outer("w.positions").alias("pos", "p")).select(
         "cash_usdt", "pos", F.col("p.token").alias("symbol"), F.col("p.preco_compra").alias("buy_price"),
         F.col("p.quantidade").alias("qty"), F.col("p.peak_price").alias("peak_price"))

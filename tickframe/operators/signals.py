@@ -23,19 +23,7 @@ def align_features(df: DataFrame, columns: list[str] = MODEL_FEATURES, keep=("sy
                               for c in columns])
 
 
-def stub_probability(df: DataFrame) -> Column:
-    """Fixed logistic expression used as a deterministic test scorer (our own
-    stub, so scoring operators have an exact SQL oracle)."""
-    z = (F.lit(0.05) * (F.lit(50.0) - F.col("rsi_14")) + F.lit(0.03) * (F.lit(50.0) - F.col("stoch_k"))
-         + F.lit(8.0) * F.col("bb_width") - F.lit(0.3))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-
-
-STUB_SQL = ("1.0 / (1.0 + exp(-(0.05 * (50.0 - rsi_14) + 0.03 * (50.0 - stoch_k) "
-            "+ 8.0 * bb_width - 0.3)))")
-
-
-def score(df: DataFrame, scorer=stub_probability, out: str = "prob_buy",
+def score(df: DataFrame, scorer, out: str = "prob_buy",
           features: list[str] = MODEL_FEATURES) -> DataFrame:
     """Add the class-1 probability.  Rows the model cannot score (NULL
     features) are skipped, as a failed prediction skips a symbol."""
@@ -104,32 +92,30 @@ def confusion(df: DataFrame, label: str = "target", pred: str = "pred") -> DataF
 
 def classification_report(df: DataFrame, label: str = "target", pred: str = "pred") -> DataFrame:
     """Per class precision / recall / F1 / support, then macro and weighted
-    averages (0 where a ratio is 0/0).  Works from the 4-cell confusion table."""
-    cm = confusion(df, label, pred)
-    rows = []
+    averages (0 where a ratio is 0/0), from one pass over the rows.  Labels and
+    predictions other than 0 and 1 are an error."""
+    l, p = F.col(label), F.col(pred)
+    cell = lambda a, b: F.sum(F.when((l == a) & (p == b), 1).otherwise(0))
+    binary = l.isin(0, 1) & p.isin(0, 1)
+    n = df.agg(*[cell(a, b).alias(f"n{a}{b}") for a in (0, 1) for b in (0, 1)],
+               F.max(F.when(binary | l.isNull() | p.isNull(), 0).otherwise(1)).alias("odd"))
+    ratio = lambda x, y: F.when(y > 0, x / y).otherwise(F.lit(0.0))
+    classes = []
     for k in (0, 1):
-        tp = F.sum(F.when((F.col("label") == k) & (F.col("pred") == k), F.col("n")).otherwise(0))
-        fp = F.sum(F.when((F.col("label") != k) & (F.col("pred") == k), F.col("n")).otherwise(0))
-        fn = F.sum(F.when((F.col("label") == k) & (F.col("pred") != k), F.col("n")).otherwise(0))
-        rows.append(cm.agg(F.lit(str(k)).alias("class"), tp.alias("tp"), fp.alias("fp"), fn.alias("fn")))
-    per = rows[0].unionByName(rows[1])
-    z = F.lit(0.0)
-    prec = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(z)
-    rec = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(z)
-    per = per.select("class", prec.alias("precision"), rec.alias("recall"),
-                     (F.col("tp") + F.col("fn")).alias("support"))
-    per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
-                                      F.lit(2.0) * F.col("precision") * F.col("recall")
-                                      / (F.col("precision") + F.col("recall"))).otherwise(z))
-    tot = F.sum("support")
-    macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), tot.alias("support"), F.avg("f1").alias("f1"))
-    weighted = per.agg(F.lit("weighted avg").alias("class"),
-                       (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
-                       (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
-                       tot.alias("support"),
-                       (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"))
-    return per.unionByName(macro).unionByName(weighted)
+        hit = F.col(f"n{k}{k}")
+        precision = ratio(hit, hit + F.col(f"n{1 - k}{k}"))
+        recall = ratio(hit, hit + F.col(f"n{k}{1 - k}"))
+        classes.append((precision, recall, hit + F.col(f"n{k}{1 - k}"),
+                        ratio(F.lit(2.0) * precision * recall, precision + recall)))
+    (p0, r0, s0, f0), (p1, r1, s1, f1) = classes
+    row = lambda name, prec, rec, sup, f: F.struct(F.lit(name).alias("class"), prec.alias("precision"), rec.alias("recall"),
+                                                   sup.alias("support"), f.alias("f1"))
+    mean = lambda a, b: (a + b) / 2
+    weighted = lambda a, b: (a * s0 + b * s1) / (s0 + s1)
+    rows = F.array(row("0", *classes[0]), row("1", *classes[1]), row("macro avg", mean(p0, p1), mean(r0, r1), s0 + s1, mean(f0, f1)),
+                   row("weighted avg", weighted(p0, p1), weighted(r0, r1), s0 + s1, weighted(f0, f1)))
+    checked = F.when(F.col("odd") > 0, F.raise_error(F.lit("labels other than 0 and 1"))).otherwise(rows)
+    return n.select(F.explode(checked).alias("r")).select("r.*")
 
 
 def accuracy(df: DataFrame, label: str = "target", pred: str = "pred") -> DataFrame:

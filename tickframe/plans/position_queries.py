@@ -10,6 +10,7 @@ from tickframe.operators import features as feat
 from tickframe.operators import positions as po
 from tickframe.operators import signals as sg
 from tickframe.plans.catalog import finish, finish_sql, register
+from tickframe.plans.stub import STUB_SQL, stub_probability
 from tickframe.plans.oracle_enrich import live_sql
 from tickframe.plans.sqlkit import div
 from tickframe.plans.trading_queries import symbol_universe
@@ -30,7 +31,7 @@ _BASE = live_sql(_LAST300, 250) + (
     f", comp AS (SELECT * FROM enl WHERE {NN_L}), "
     f"rocs AS (SELECT *, CASE WHEN row_number() OVER ({W}) >= 4 THEN "
     f"{div('close', f'lag(close, 2) OVER ({W})')} - 1.0 END AS roc FROM comp), "
-    f"lat AS (SELECT *, {sg.STUB_SQL} AS prob_buy FROM rocs "
+    f"lat AS (SELECT *, {STUB_SQL} AS prob_buy FROM rocs "
     "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1), "
     "rawl AS (SELECT symbol, high AS raw_high, close AS raw_close FROM bars "
     "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1), "
@@ -65,7 +66,7 @@ def market(spark, sf):
     """(latest complete scored row with roc, latest raw bar) per symbol."""
     b = bars_s(spark, sf)
     comp = feat.enrich_live(ds.last_n_bars(b, 300))
-    latest = sg.score(ds.latest_bar(po.rocket_roc(comp)))
+    latest = sg.score(ds.latest_bar(po.rocket_roc(comp)), stub_probability)
     return latest, ds.latest_bar(b)
 
 
@@ -139,7 +140,8 @@ def q_wallet_json(spark, sf):
 @register("wallet_positions", finish_sql(_BASE, "posn", ["symbol", "buy_price", "qty", "peak_price"], D))
 def q_wallet_positions(spark, sf):
     doc = po.wallet_json(positions(spark, sf), CASH)
-    return finish(po.wallet_positions(doc).select("symbol", "buy_price", "qty", "peak_price"), D)
+    rows = po.wallet_positions(doc).filter(F.col("symbol").isNotNull())
+    return finish(rows.select("symbol", "buy_price", "qty", "peak_price"), D)
 
 
 _ROC_SQL = (live_sql(_LAST300, 250) + f", comp AS (SELECT * FROM enl WHERE {NN_L}), "

@@ -17,6 +17,7 @@ from tickframe.plans import position_queries as pq
 from tickframe.plans.catalog import DIGITS, finish, finish_sql, register
 from tickframe.plans.source_queries import kline_payloads
 from tickframe.plans.sqlkit import rnd
+from tickframe.plans.stub import STUB_SQL, stub_probability
 from tickframe.schemas import BAR_COLS, MODEL_FEATURES
 from tickframe.session import checkpoint_dir
 from tickframe.sources.fixtures import BARS_H_SQL, bars_d, bars_h
@@ -31,11 +32,13 @@ def _scratch(spark, name):
 
 
 def _land_payloads(spark, sf, landing):
-    """Two landed pages: days up to 2024-01-20, then days from 2024-01-15 (re-sent overlap)."""
+    """Four landed pages: days up to 2024-01-20 without the first week, days from
+    2024-01-15 (re-sent overlap), one re-sent day, and the first week as a back-fill, last."""
     p = kline_payloads(spark, sf).filter(F.col("d").isNotNull())
-    cut1, cut2 = F.lit("2024-01-20").cast("date"), F.lit("2024-01-15").cast("date")
-    p.filter(F.col("d") <= cut1).select("symbol", "payload").write.mode("append").json(landing)
-    p.filter(F.col("d") >= cut2).select("symbol", "payload").write.mode("append").json(landing)
+    day = lambda text: F.lit(text).cast("date")
+    for page in ((F.col("d") > day("2024-01-07")) & (F.col("d") <= day("2024-01-20")), F.col("d") >= day("2024-01-15"),
+                 F.col("d") == day("2024-01-18"), F.col("d") <= day("2024-01-07")):
+        p.filter(page).select("symbol", "payload").write.mode("append").json(landing)
 
 
 _BARS_H_OUT = (f"WITH bars AS ({BARS_H_SQL}) SELECT symbol, open_time, "
@@ -64,7 +67,7 @@ def q_stream_upsert(spark, sf):
 def exit_feed(spark, sf):
     """Scored complete bars of held symbols after their purchase bar."""
     comp = feat.enrich_live(ds.last_n_bars(pq.bars_s(spark, sf), 300))
-    scored = sg.score(po.rocket_roc(comp))
+    scored = sg.score(po.rocket_roc(comp), stub_probability)
     pos = pq.positions(spark, sf)
     feed = scored.join(pos, "symbol").filter(F.col("open_time") > F.col("buy_time"))
     return feed.select("symbol", "open_time", "close", "high", "prob_buy", "roc", "buy_price", "qty", "peak_price")
@@ -72,7 +75,7 @@ def exit_feed(spark, sf):
 
 _EXIT_SQL = (pq._BASE.replace("WITH RECURSIVE ", "") + ", "
              "feed0 AS (SELECT r.symbol, r.open_time, r.close, r.high, "
-             f"{sg.STUB_SQL} AS prob_buy, r.roc, p.buy_price, p.qty, p.peak_price FROM rocs r JOIN posn p "
+             f"{STUB_SQL} AS prob_buy, r.roc, p.buy_price, p.qty, p.peak_price FROM rocs r JOIN posn p "
              "ON p.symbol = r.symbol WHERE r.open_time > p.buy_time), "
              "feed AS (SELECT *, greatest(peak_price, max(high) OVER (PARTITION BY symbol ORDER BY open_time "
              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS peak FROM feed0), "

@@ -9,6 +9,7 @@ from tickframe.operators import features as feat
 from tickframe.operators import signals as sg
 from tickframe.operators import trades as tr
 from tickframe.plans.catalog import finish, finish_sql, register
+from tickframe.plans.stub import STUB_SQL, stub_probability
 from tickframe.plans.oracle_enrich import live_sql, research_sql
 from tickframe.schemas import BAR_COLS, LIVE_FEATURES, MODEL_FEATURES, RESEARCH_FEATURES
 from tickframe.sources.fixtures import BARS_D_SQL, BARS_S_SQL, bars_d, bars_s, table
@@ -25,16 +26,16 @@ NN_L = " AND ".join(f"{c} IS NOT NULL" for c in K + BAR_COLS + LIVE_FEATURES)
 
 def research_signals(spark, sf):
     df = ds.drop_incomplete(feat.enrich_research(bars_d(spark, sf)))
-    return sg.signal_flag(sg.score(df), THR)
+    return sg.signal_flag(sg.score(df, stub_probability), THR)
 
 
 def live_signals(spark, sf):
     df = feat.enrich_live(bars_d(spark, sf))
-    return sg.signal_flag(sg.score(df), THR)
+    return sg.signal_flag(sg.score(df, stub_probability), THR)
 
 
-_SIG = (f"sig AS (SELECT *, {sg.STUB_SQL} AS prob_buy, "
-        f"CAST({sg.STUB_SQL} >= {THR} AS INTEGER) AS signal FROM enr WHERE {NN_R})")
+_SIG = (f"sig AS (SELECT *, {STUB_SQL} AS prob_buy, "
+        f"CAST({STUB_SQL} >= {THR} AS INTEGER) AS signal FROM enr WHERE {NN_R})")
 R_SIG = research_sql(BARS_D_SQL) + ", " + _SIG
 
 
@@ -55,7 +56,7 @@ def q_align_features(spark, sf):
 
 _LAST300 = (f"SELECT * FROM ({BARS_S_SQL}) "
             "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 300")
-_LATEST = (f"lat AS (SELECT *, {sg.STUB_SQL} AS prob_buy FROM enl WHERE {NN_L} "
+_LATEST = (f"lat AS (SELECT *, {STUB_SQL} AS prob_buy FROM enl WHERE {NN_L} "
            "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1), "
            "univ AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, CAST(s_suppkey AS INTEGER) AS pos FROM supplier)")
 L_LATEST = live_sql(_LAST300, 250) + ", " + _LATEST
@@ -70,7 +71,7 @@ def symbol_universe(spark, sf):
 
 def scored_latest(spark, sf):
     df = feat.enrich_live(ds.last_n_bars(bars_s(spark, sf), 300))
-    return sg.score(ds.latest_bar(df))
+    return sg.score(ds.latest_bar(df), stub_probability)
 
 
 @register("score_latest", finish_sql(L_LATEST, "lat", K + ["close", "prob_buy"], D))
@@ -159,7 +160,7 @@ def q_accuracy(spark, sf):
 def _ee_sql():
     lv = live_sql(BARS_D_SQL)
     both = (f"both_ AS ((WITH RECURSIVE {R_SIG} SELECT symbol, open_time, signal FROM sig) UNION ALL "
-            f"(WITH RECURSIVE {lv} SELECT symbol, open_time, CAST({sg.STUB_SQL} >= {THR} AS INTEGER) AS signal "
+            f"(WITH RECURSIVE {lv} SELECT symbol, open_time, CAST({STUB_SQL} >= {THR} AS INTEGER) AS signal "
             f"FROM enl WHERE {NN_L})), "
             "ee AS (SELECT open_time, symbol, avg(signal) AS mean_signal, coalesce(avg(signal) <> 0, false) AS entry, "
             "coalesce(avg(signal) = 0, false) AS exit FROM both_ GROUP BY open_time, symbol)")

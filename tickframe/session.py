@@ -37,18 +37,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and streaming state.
+    """Shared folder for checkpoints and streaming state: ``spark.checkpoint.dir``, on shared storage.
 
-    On a cluster this is ``spark.checkpoint.dir`` (set by the operator of the
-    cluster, on shared storage).  Only when it is unset -- local tests -- a
-    fresh scratch folder is created.
+    Only a session on a local master may leave it unset (tests); a fresh scratch folder is made then.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tickframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # core conf may be read-only at run time
-            pass
+        spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system and absolute folder, whatever the working directory."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickframe.functions.text import from_epoch_ms, symbol_from_file_name
 from tickframe.schemas import BAR_COLS, BARS, KLINE_FIELDS, KLINE_PAYLOAD, RAW_BAR_CSV
@@ -21,7 +22,7 @@ def write_bars(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
 
 def read_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read our bar layout back (symbol from the partition folder)."""
-    schema = RAW_BAR_CSV.add("symbol", "string")
+    schema = StructType([*RAW_BAR_CSV.fields, StructField("symbol", StringType())])
     df = spark.read.format(fmt).schema(schema).option("header", True).load(path)
     return df.select("symbol", "open_time", *BAR_COLS)
 
@@ -59,12 +60,13 @@ def scan_bars_csv(spark: SparkSession, glob: str, prefix: str = "analise_v2_") -
                      "open_time", *BAR_COLS)
 
 
-def parse_klines(payloads: DataFrame, symbol: str = "symbol", payload: str = "payload") -> DataFrame:
+def parse_klines(payloads: DataFrame, symbol: str = "symbol", payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
     """Exchange kline payload text (JSON array of 12-element arrays) -> typed
-    bar rows.  Numbers arrive as text and are cast (ANSI: bad text raises);
+    bar rows with all fields, the place in the payload (``pos``) and the columns
+    ``keep``.  Numbers arrive as text and are cast (ANSI: bad text raises);
     an empty array yields no rows."""
     arr = F.from_json(F.col(payload), KLINE_PAYLOAD)
-    rows = payloads.select(F.col(symbol).alias("symbol"), F.explode(arr).alias("k"))
+    rows = payloads.select(F.col(symbol).alias("symbol"), *keep, F.posexplode(arr).alias("pos", "k"))
     k = F.col("k")
     return rows.select(
         "symbol",
@@ -72,7 +74,10 @@ def parse_klines(payloads: DataFrame, symbol: str = "symbol", payload: str = "pa
         *[k[i].cast("double").alias(n) for i, n in enumerate(KLINE_FIELDS) if n in BAR_COLS],
         from_epoch_ms(k[6].cast("long")).alias("close_time"),
         k[7].cast("double").alias("quote_volume"),
-        k[8].cast("long").alias("trades"))
+        k[8].cast("long").alias("trades"),
+        k[9].cast("double").alias("taker_base"),
+        k[10].cast("double").alias("taker_quote"),
+        k[11].alias("ignore"), "pos", *keep)
 
 
 def symbol_list(docs: DataFrame, text: str = "symbols", key: str = "list_id") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.session import checkpoint_dir
+from tickframe.session import checkpoint_dir, qualified
 from tickframe.sources.files import parse_klines
 
 LANDING = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("payload", T.StringType())])
@@ -24,7 +24,7 @@ def default_checkpoint(spark: SparkSession, job: str, out: str) -> str:
     """Checkpoint location of a job writing to ``out``: stable for the same
     output (a restart resumes), distinct for every other output."""
     import hashlib
-    tag = hashlib.sha1(os.path.abspath(out).encode()).hexdigest()[:20]
+    tag = hashlib.sha1(qualified(spark, out).encode()).hexdigest()[:20]
     return os.path.join(checkpoint_dir(spark), f"{job}-{tag}")
 
 
@@ -36,27 +36,63 @@ def _run(df: DataFrame, out: str, ckpt: str, mode: str = "append") -> None:
         raise q.exception()
 
 
-def stream_dedup(spark: SparkSession, landing: str, out: str, ckpt: str | None = None,
-                 delay: str = "2 days") -> DataFrame:
-    """Re-sent bars are dropped: first arrival per (symbol, open_time) within
-    the watermark.  The watermark column must be ``timestamp``, so the NTZ bar
-    time is viewed as UTC for it; output keeps ``open_time`` as NTZ."""
-    ckpt = ckpt or default_checkpoint(spark, "stream-dedup", out)
-    src = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", 1).json(landing)
-    bars = parse_klines(src).withColumn("_wm", F.to_utc_timestamp(F.col("open_time").cast("timestamp"), "UTC"))
-    dedup = (bars.withWatermark("_wm", delay).dropDuplicatesWithinWatermark(["symbol", "open_time"]).drop("_wm"))
-    _run(dedup, out, ckpt)
-    return spark.read.parquet(out)
+ARRIVAL = ["landed", "landed_file", "pos"]
+
+
+def stage_bars(spark: SparkSession, landing: str, staging: str, ckpt: str | None = None,
+               files_per_trigger: int | None = None) -> DataFrame:
+    """Appends every landed bar to ``staging`` with its arrival order: the
+    file's modification time, its name and the place in the payload.  Nothing
+    is dropped, however late it lands, and no state is kept."""
+    ckpt = ckpt or default_checkpoint(spark, "stage-bars", staging)
+    reader = spark.readStream.schema(LANDING)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = reader.json(landing).select("symbol", "payload", F.col("_metadata.file_modification_time").alias("landed"),
+                                      F.col("_metadata.file_name").alias("landed_file"))
+    _run(parse_klines(src, keep=("landed", "landed_file")), staging, ckpt)
+    return spark.read.parquet(staging)
+
+
+def first_arrival(staged: DataFrame) -> DataFrame:
+    """One row per (symbol, open_time): the first that landed."""
+    values = [c for c in staged.columns if c not in ("symbol", "open_time", *ARRIVAL)]
+    best = F.min_by(F.struct(*values), F.struct(*ARRIVAL)).alias("b")
+    return staged.groupBy("symbol", "open_time").agg(best).select("symbol", "open_time", "b.*")
+
+
+def newest_cells(staged: DataFrame) -> DataFrame:
+    """One row per (symbol, open_time): per column the newest value that is not NULL."""
+    values = [c for c in staged.columns if c not in ("symbol", "open_time", *ARRIVAL)]
+    newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*ARRIVAL))).alias(c) for c in values]
+    return staged.groupBy("symbol", "open_time").agg(*newest)
+
+
+def stream_dedup(spark: SparkSession, landing: str, out: str, ckpt: str | None = None) -> DataFrame:
+    """Re-sent bars are dropped: the first arrival per (symbol, open_time) stays, whatever lands later."""
+    return first_arrival(stage_bars(spark, landing, out, ckpt))
 
 
 def stream_upsert(spark: SparkSession, existing: DataFrame, landing: str, staging: str,
                   ckpt: str | None = None) -> DataFrame:
-    """Incremental bar update: stage de-duplicated new bars with a streaming job,
-    then upsert them into the existing table (new non-NULL cells win)."""
+    """Incremental bar update: stage all landed bars with a streaming job, then
+    upsert the newest non-NULL cells into the existing table."""
     from tickframe.operators.upsert import upsert
-    staged = stream_dedup(spark, landing, staging, ckpt)
-    new = staged.select("symbol", "open_time", "open", "high", "low", "close", "volume")
-    return upsert(existing, new)
+    new = newest_cells(stage_bars(spark, landing, staging, ckpt))
+    return upsert(existing, new.select("symbol", "open_time", "open", "high", "low", "close", "volume"))
+
+
+def write_back(spark: SparkSession, updated: DataFrame, touched: DataFrame, path: str, enrich=None) -> None:
+    """Overwrites the partitions of the ``touched`` symbols of the table at
+    ``path`` (one folder per symbol) with their ``updated`` bars, enriched
+    again by ``enrich`` if given.  Other symbols' files stay as they are."""
+    import uuid
+    rows = updated.join(touched.select("symbol").distinct(), "symbol", "left_semi")
+    rows = enrich(rows) if enrich else rows
+    held = os.path.join(checkpoint_dir(spark), f"write-back-{uuid.uuid4().hex}")
+    rows.write.parquet(held)  # the table itself may be an input of ``updated``
+    (spark.read.schema(rows.schema).parquet(held).repartition("symbol").sortWithinPartitions("symbol", "open_time")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol").parquet(path))
 
 
 EXIT_OUT = ("symbol string, buy_price double, qty double, peak_price double, exit_time timestamp_ntz, "
@@ -104,7 +140,7 @@ def _monitor(threshold: float, sl: float, tp: float, trail: float, roc_thresh: f
 
 
 def stream_exits(spark: SparkSession, landing: str, out: str, ckpt: str | None = None,
-                 threshold: float = 0.49) -> DataFrame:
+                 threshold: float = 0.49, files_per_trigger: int = 1) -> DataFrame:
     """Position monitor: scored bars of held symbols arrive (parquet files with
     symbol, open_time, close, high, prob_buy, roc, buy_price, qty, peak_price);
     the peak is keyed state per symbol and the first exit per position is emitted."""
@@ -113,7 +149,7 @@ def stream_exits(spark: SparkSession, landing: str, out: str, ckpt: str | None =
     ckpt = ckpt or default_checkpoint(spark, "stream-exits", out)
     schema = ("symbol string, open_time timestamp_ntz, close double, high double, prob_buy double, roc double, "
               "buy_price double, qty double, peak_price double")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     res = src.groupBy("symbol").applyInPandasWithState(
         _monitor(threshold, po.SL_PCT, po.TP_PCT, po.TRAIL_PCT, po.ROC_THRESH),
         EXIT_OUT, EXIT_STATE, "append", GroupStateTimeout.NoTimeout)
