@@ -94,8 +94,8 @@ class PieceMemory:
         own = first[numbered.indices.to_numpy()]
         mark = pc.index_in(pc.utf8_slice_codeunits(new, -1), value_set=self.words.slice(0, len(MARKS))).fill_null(0).to_numpy()
         more = marked.to_numpy(zero_copy_only=False).astype(np.int64)
-        there = pc.index_in(new, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
-        put = np.flatnonzero(there < 0)
+        there = own.copy()  # a piece that is its own stem has its place already
+        put = np.flatnonzero(pc.not_equal(new, stems).to_numpy(zero_copy_only=False))
         # a marked piece: the ids of its stem, then that of the mark
         size = self.size[own[put]]
         ids = np.empty(int(size.sum() + more[put].sum()), np.uint32)
@@ -118,16 +118,17 @@ class PieceMemory:
     def _add(self, words: pa.Array) -> np.ndarray:
         """Places of distinct words, encoding those not known."""
         at = pc.index_in(words, value_set=self.words)
-        new = words.filter(at.is_null())
         at = at.fill_null(-1).to_numpy().astype(np.int64)
-        new = new.take(pc.sort_indices(pc.utf8_length(new)))
-        together = pc.match_substring_regex(new, self.joinable)
-        parts = [self._joined(new.filter(together).to_pylist()), *[(np.array([len(x)]), np.array(x, np.uint32))
-                                                                    for x in map(self._alone, new.filter(pc.invert(together)).to_pylist())]]
-        order = pa.concat_arrays([new.filter(together), new.filter(pc.invert(together))])
-        self._append(order, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        missing = at < 0
-        at[missing] = pc.index_in(words.filter(pa.array(missing)), value_set=self.words).to_numpy()
+        missing = np.flatnonzero(at < 0)
+        new = words.take(pa.array(missing))
+        by_length = pc.sort_indices(pc.utf8_length(new)).to_numpy()
+        together = pc.match_substring_regex(new, self.joinable).to_numpy(zero_copy_only=False)[by_length]
+        joined, alone = by_length[together], by_length[~together]
+        parts = [self._joined(new.take(pa.array(joined)).to_pylist())]
+        for ids in map(self._alone, new.take(pa.array(alone)).to_pylist()):
+            parts.append((np.array([len(ids)]), np.array(ids, np.uint32)))
+        order = np.concatenate([joined, alone]).astype(np.int64)
+        at[missing[order]] = self._append(new.take(pa.array(order)), np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
         return at
 
     def _joined(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
