@@ -60,3 +60,30 @@ def test_blocked_ewm_with_gaps_across_blocks(spark):
         assert (np.isnan(got) == np.isnan(want)).all(), k
         m = ~np.isnan(got)
         assert np.allclose(got[m], want[m], rtol=1e-9, atol=1e-9), k
+
+
+def test_blocks_follow_the_parameters(spark):
+    """Longer blocks serve a slow decay and a long window; a window longer than the halo raises."""
+    import numpy as np
+    import pandas as pd
+    import pytest
+    from conftest import series_df
+    from tickframe.functions import windows as wf
+    from tickframe.operators import blocked as bl
+    from tickframe.operators.ewm import block_rows, ewm
+    x = np.random.default_rng(8).normal(0, 1, 4000).cumsum() + 50
+    blocks = wf.Blocks(block_rows(2 / 51), back=299)
+    ext = bl.extend(bl.positions_distributed(series_df(spark, list(x)), blocks=blocks).drop("_n_series"), blocks=blocks)
+    df = bl.with_ewm_blocked(ext, [ewm("x", "a", span=50, adjust=False)], blocks=blocks)
+    with wf.blocked_layout(blocks):
+        df = df.withColumn("m", wf.rolling_mean("x", 300))
+        with pytest.raises(ValueError):
+            wf.rolling_mean("x", 301)
+        with pytest.raises(ValueError):
+            wf.lead("x", 1)
+    out = bl.own_rows(df).orderBy("open_time").toPandas()
+    s = pd.Series(x)
+    assert np.allclose(out["a"], s.ewm(span=50, adjust=False).mean(), rtol=1e-9)
+    assert np.allclose(out["m"], s.rolling(300).mean(), rtol=1e-9, equal_nan=True)
+    with pytest.raises(ValueError):
+        bl.with_ewm_blocked(ext, [ewm("x", "a", alpha=0.001, adjust=False)], blocks=blocks)

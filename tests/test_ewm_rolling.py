@@ -51,6 +51,40 @@ def test_ewm_matches_pandas(spark, n, pnull):
         assert np.allclose(got[m], r.to_numpy()[m], rtol=1e-12, atol=1e-12)
 
 
+@pytest.mark.parametrize("pnull", [0.0, 0.1])
+def test_ewm_any_alpha(spark, pnull):
+    """Decays slower and faster than the default block serves, in one call."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(0, 1, 4000).cumsum() + 100
+    x[rng.random(4000) < pnull] = np.nan
+    df = series_df(spark, [None if np.isnan(v) else v for v in x])
+    s = pd.Series(x)
+    for adjust in (True, False):
+        alphas = {"a": 2 / 51, "b": 1 / 400, "c": 1 / 14, "d": 0.9, "e": 0.9999, "f": 1.0}
+        out = with_ewm(df, [ewm("x", k, alpha=a, adjust=adjust) for k, a in alphas.items()]).orderBy("open_time").toPandas()
+        for k, a in alphas.items():
+            assert np.allclose(out[k].to_numpy(dtype=float), s.ewm(alpha=a, adjust=adjust).mean(), rtol=1e-9, equal_nan=True), (k, adjust)
+
+
+def test_indicator_periods(spark):
+    """Periods other than the default ones equal pandas."""
+    rng = np.random.default_rng(12)
+    c = rng.normal(0, 1, 1500).cumsum() + 200
+    df = bars_df(spark, [(v, v + 1, v - 1, v, 10) for v in c])
+    out = ind.macd(ind.rsi(df, 21, out="rsi"), 12, 50, 9)
+    out = wf.positioned(ind.adx(out, 28)).withColumn("mean_300", wf.rolling_mean("close", 300)).orderBy("open_time").toPandas()
+    s = pd.Series(c)
+    d = s.diff()
+    gain, loss = d.clip(lower=0).fillna(0), (-d).clip(lower=0).fillna(0)
+    rs = gain.ewm(com=20, min_periods=21).mean() / loss.ewm(com=20, min_periods=21).mean()
+    macd = s.ewm(span=12, adjust=False).mean() - s.ewm(span=50, adjust=False).mean()
+    tr = pd.concat([pd.Series(2.0, s.index), (s + 1 - s.shift()).abs(), (s - 1 - s.shift()).abs()], axis=1).max(axis=1)
+    want = {"rsi": 100 - 100 / (1 + rs), "macd_signal": macd.ewm(span=9, adjust=False).mean(),
+            "atr": tr.ewm(alpha=1 / 28, adjust=False, min_periods=28).mean(), "mean_300": s.rolling(300).mean()}
+    for k, w in want.items():
+        assert np.allclose(out[k].to_numpy(dtype=float), w, rtol=1e-8, atol=1e-8, equal_nan=True), k
+
+
 def test_rolling_sum_full_window(spark):
     df = wf.positioned(series_df(spark, [1, 2, None, 4, 5]))
     _close(_col(df.withColumn("y", wf.rolling_sum("x", 2)), "y"), [None, 3, None, None, 9])

@@ -56,3 +56,18 @@ def test_late_and_changed_bars(spark):
     back = {(r.symbol, r.open_time): (r.close, r.volume) for r in spark.read.parquet(table).collect()}
     assert back == {("X", t0 - day): (1.0, 1.0), ("X", t0): (3.0, 1.0), ("X", t0 + 200 * day): (4.0, 2.0), ("X", t0 + 201 * day): (5.0, 1.0),
                     ("Y", t0): (2.0, 2.0)}
+
+
+def test_monitor_watches_a_position_bought_again(spark, tmp_path):
+    import datetime as dt
+    day = lambda d: dt.datetime(2024, 1, d)
+    schema = ("symbol string, open_time timestamp_ntz, close double, high double, prob_buy double, roc double, "
+              "buy_time timestamp_ntz, buy_price double, qty double, peak_price double")
+    bar = lambda d, close, bought, buy: ("s", day(d), close, close, 0.9, None, day(bought), buy, 1.0, None)
+    landing = str(tmp_path / "feed")
+    for rows in ([bar(2, 100.0, 1, 100.0), bar(3, 84.0, 1, 100.0), bar(4, 80.0, 1, 100.0)],
+                 [bar(6, 50.0, 1, 100.0), bar(6, 81.0, 5, 80.0)], [bar(8, 70.0, 5, 80.0), bar(7, 88.5, 5, 80.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+    got = st.stream_exits(spark, landing, str(tmp_path / "out"), str(tmp_path / "ckpt")).collect()
+    assert sorted((r.buy_price, r.exit_time, r.exit_reason, r.peak_price) for r in got) == [
+        (80.0, day(7), "TAKE_PROFIT", 88.5), (100.0, day(3), "STOP_LOSS", 100.0)]

@@ -11,6 +11,10 @@ whole chain of indicators instead of a re-sort at every spec change.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -20,7 +24,7 @@ KEY = "symbol"
 TIME = "open_time"
 POS = "_i"
 BLK = "_blk"
-BLOCK_ROWS = 640  # EWM blocks: 640 rows decay 1e-20 at alpha 1/14, exp() finite to alpha 0.66
+BLOCK_ROWS = 640  # default block; EWMs whose decay needs other blocks take multiples or fractions of it
 
 
 def positioned(df: DataFrame, key: str = KEY, order: str = TIME) -> DataFrame:
@@ -35,38 +39,55 @@ def unpositioned(df: DataFrame) -> DataFrame:
     return df.drop(POS, BLK)
 
 
-_LAYOUT = {"blocked": False}
+@dataclass(frozen=True)
+class Blocks:
+    """A layout of (key, block) partitions: rows per block and the rows copied from its neighbours."""
+    rows: int = BLOCK_ROWS
+    back: int = 0
+    fwd: int = 0
+
+
+#: The layout of the plan being built; a context variable, so threads building plans don't see each other's.
+_LAYOUT: ContextVar[Blocks | None] = ContextVar("tickframe_layout", default=None)
 
 
-class blocked_layout:
+@contextmanager
+def blocked_layout(blocks: Blocks):
     """Within this context series windows run per (key, block) on halo-extended
     blocks (see ``operators.blocked``) instead of per key."""
+    token = _LAYOUT.set(blocks)
+    try:
+        yield blocks
+    finally:
+        _LAYOUT.reset(token)
 
-    def __enter__(self):
-        self._old = _LAYOUT["blocked"]
-        _LAYOUT["blocked"] = True
-        return self
 
-    def __exit__(self, *exc):
-        _LAYOUT["blocked"] = self._old
+def current_blocks() -> Blocks | None:
+    return _LAYOUT.get()
 
 
-def is_blocked() -> bool:
-    return _LAYOUT["blocked"]
+def _reach(back: int = 0, fwd: int = 0) -> None:
+    """A window that looks past the copied neighbour rows would be cut short without notice."""
+    b = _LAYOUT.get()
+    if b is not None and (back > b.back or fwd > b.fwd):
+        raise ValueError(f"window needs {back} rows back and {fwd} ahead; the blocked frame has {b.back} and {b.fwd}")
 
 
 def series(key: str = KEY, order: str = TIME) -> WindowSpec:
     """Series window; needs ``positioned`` columns (order is by position)."""
-    if _LAYOUT["blocked"]:
+    if _LAYOUT.get() is not None:
         return Window.partitionBy(key, BLK).orderBy(POS)
     return Window.partitionBy(key).orderBy(BLK, POS)
 
 
 def running(key: str = KEY, order: str = TIME) -> WindowSpec:
+    if _LAYOUT.get() is not None:
+        raise ValueError("a running window spans blocks")
     return series(key, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def trailing(n: int, key: str = KEY, order: str = TIME) -> WindowSpec:
+    _reach(back=n - 1)
     return series(key, order).rowsBetween(-(n - 1), Window.currentRow)
 
 
@@ -104,10 +125,12 @@ def rolling_std(c, n, **kw) -> Column:
 
 
 def lag(c, n: int = 1, key: str = KEY, order: str = TIME) -> Column:
+    _reach(back=n)
     return F.lag(col_or(c), n).over(series(key, order))
 
 
 def lead(c, n: int = 1, key: str = KEY, order: str = TIME) -> Column:
+    _reach(fwd=n)
     return F.lead(col_or(c), n).over(series(key, order))
 
 
@@ -118,6 +141,7 @@ def diff(c, n: int = 1, key: str = KEY, order: str = TIME) -> Column:
 def forward_max(c, n: int, key: str = KEY, order: str = TIME) -> Column:
     """max of the next ``n`` rows; NULL unless all ``n`` exist and are non-null,
     and NULL on the first ``n-1`` rows (pandas ``shift(-n).rolling(n).max()``)."""
+    _reach(fwd=n)
     c = col_or(c)
     frame = series(key, order).rowsBetween(1, n)
     return F.when((F.col(POS) >= n - 1) & (F.count(c).over(frame) == n), F.max(c).over(frame))

@@ -6,11 +6,12 @@ hot symbol -- say a third of all bars -- into one task.  Here:
 1. Row numbers are distributed: bars are counted per (symbol, month), the
    month offsets are prefix sums on that small table, and rows are numbered
    inside their (symbol, month) group only.
-2. Rows are cut into ``BLOCK_ROWS`` blocks; every block gets a copy of the
-   last ``HALO_BACK`` rows of the block before it and the first ``HALO_FWD``
-   rows of the block after it (``_own`` = False), then the data is
-   hash-partitioned by (symbol, block).  All rolling / lag / lead windows run
-   per (symbol, block): the halo gives them their full context.
+2. Rows are cut into blocks; every block gets a copy of the last ``back``
+   rows of the block before it and the first ``fwd`` rows of the block after
+   it (``_own`` = False), then the data is hash-partitioned by (symbol,
+   block).  All rolling / lag / lead windows run per (symbol, block): the halo
+   gives them their full context.  ``Blocks`` holds the three numbers; a window
+   that looks further than the halo raises.
 3. EWMs need history older than a halo; it arrives through small per-block
    tables (obs counts, last observed position, log-corrections, block sums,
    last value) whose prefixes are computed on the block table and joined back.
@@ -27,16 +28,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.expr import col_or
-from tickframe.functions.windows import BLK, BLOCK_ROWS, KEY, POS, TIME, blocked_layout
+from tickframe.functions.windows import BLK, KEY, POS, TIME, Blocks, blocked_layout
 from tickframe.operators.ewm import Ewm, check_block
 
-HALO_BACK = 210   # deepest look-back of the feature chain: 200-row SMA, then a 3-row difference
-HALO_FWD = 5      # label look-ahead
+#: deepest look-back of the feature chain: 200-row SMA, then a 3-row difference; label look-ahead
+ENRICH = Blocks(back=199 + 3, fwd=5)
 OWN = "_own"
 _UNB = Window.unboundedPreceding
 
 
-def positions_distributed(df: DataFrame, key: str = KEY, time: str = TIME, bucket: str = "month") -> DataFrame:
+def positions_distributed(df: DataFrame, key: str = KEY, time: str = TIME, bucket: str = "month",
+                          blocks: Blocks = ENRICH) -> DataFrame:
     """Add ``_i`` / ``_blk`` and the series length ``_n_series`` without a per-series window."""
     df = df.withColumn("_bk", F.trunc(F.to_date(time), bucket))
     counts = df.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -47,16 +49,18 @@ def positions_distributed(df: DataFrame, key: str = KEY, time: str = TIME, bucke
     df = df.join(offs, [key, "_bk"])
     rn = F.row_number().over(Window.partitionBy(key, "_bk").orderBy(time))
     df = df.withColumn(POS, (F.col("_off") + rn - 1).cast("long"))
-    df = df.withColumn(BLK, F.floor(F.col(POS) / F.lit(BLOCK_ROWS)).cast("long"))
+    df = df.withColumn(BLK, F.floor(F.col(POS) / F.lit(blocks.rows)).cast("long"))
     return df.drop("_bk", "_off")
 
 
-def extend(df: DataFrame, key: str = KEY, back: int = HALO_BACK, fwd: int = HALO_FWD) -> DataFrame:
+def extend(df: DataFrame, key: str = KEY, blocks: Blocks = ENRICH) -> DataFrame:
     """Own rows plus halo copies, hash-partitioned by (key, block)."""
-    off = F.col(POS) - F.col(BLK) * F.lit(BLOCK_ROWS)
+    if max(blocks.back, blocks.fwd) > blocks.rows:
+        raise ValueError(f"a halo comes from one neighbour: {blocks} needs longer blocks")
+    off = F.col(POS) - F.col(BLK) * F.lit(blocks.rows)
     own = df.withColumn(OWN, F.lit(True))
-    hb = df.filter(off >= BLOCK_ROWS - back).withColumn(BLK, F.col(BLK) + 1).withColumn(OWN, F.lit(False))
-    hf = (df.filter((off < fwd) & (F.col(BLK) > 0)).withColumn(BLK, F.col(BLK) - 1)
+    hb = df.filter(off >= blocks.rows - blocks.back).withColumn(BLK, F.col(BLK) + 1).withColumn(OWN, F.lit(False))
+    hf = (df.filter((off < blocks.fwd) & (F.col(BLK) > 0)).withColumn(BLK, F.col(BLK) - 1)
             .withColumn(OWN, F.lit(False)))
     return own.unionByName(hb).unionByName(hf).repartition(key, BLK)
 
@@ -74,11 +78,11 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(OWN)).drop(OWN)
 
 
-def with_ewm_blocked(df: DataFrame, specs: list[Ewm], key: str = KEY) -> DataFrame:
+def with_ewm_blocked(df: DataFrame, specs: list[Ewm], key: str = KEY, blocks: Blocks = ENRICH) -> DataFrame:
     """EWM means on an extended, (key, block)-partitioned frame; values on own rows."""
     if not specs:
         return df
-    B = BLOCK_ROWS
+    B = blocks.rows
     check_block([s.alpha for s in specs], B)
     wb = Window.partitionBy(key, BLK).orderBy(POS)
     run = wb.rowsBetween(_UNB, 0)
@@ -184,12 +188,12 @@ def with_ewm_blocked(df: DataFrame, specs: list[Ewm], key: str = KEY) -> DataFra
     return df.select(*dict.fromkeys(base + [s.out for s in specs]))
 
 
-def blocked_frame(bars: DataFrame, min_bars: int | None, key: str = KEY) -> DataFrame:
+def blocked_frame(bars: DataFrame, min_bars: int | None, key: str = KEY, blocks: Blocks = ENRICH) -> DataFrame:
     """Bars -> distributed positions -> history rule -> halo-extended blocks."""
-    df = positions_distributed(bars, key)
+    df = positions_distributed(bars, key, blocks=blocks)
     if min_bars:
         df = df.filter(F.col("_n_series") >= min_bars)
-    return cut_lineage(extend(df.drop("_n_series"), key))
+    return cut_lineage(extend(df.drop("_n_series"), key, blocks))
 
 
 def _prev_block_last(df: DataFrame, cols: list[str], key: str = KEY) -> DataFrame:
@@ -206,7 +210,7 @@ def enrich_research_blocked(bars: DataFrame, min_bars: int = 250) -> DataFrame:
     from tickframe.operators import indicators as ind
     from tickframe.schemas import BAR_COLS, RESEARCH_FEATURES
     df = blocked_frame(feat._bars(bars), min_bars)
-    with blocked_layout():
+    with blocked_layout(ENRICH):
         df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="research")])
         df = _prev_block_last(df, ["macd", "macd_signal"])
         df = ind.stochastic(df)
@@ -224,7 +228,7 @@ def enrich_live_blocked(bars: DataFrame, min_bars: int | None = 250, fill_flat:
     from tickframe.operators import indicators as ind
     from tickframe.schemas import BAR_COLS, LIVE_FEATURES
     df = blocked_frame(feat._bars(bars), min_bars)
-    with blocked_layout():
+    with blocked_layout(ENRICH):
         df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="live")])
         df = ind.stochastic(df)
         df = ind.cmf(df, fill_flat=fill_flat)

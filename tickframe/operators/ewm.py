@@ -29,7 +29,7 @@ from tickframe.functions.expr import col_or
 from tickframe.functions.windows import BLK, BLOCK_ROWS, KEY, POS, TIME, positioned
 
 _CARRY_LOG = math.log(1e20)  # older blocks weigh < 1e-20
-_MAX_EXP = 700.0             # exp() stays finite below ~709
+_MAX_EXP = 600.0             # exp() is finite below ~709; the rest is room for the values
 
 
 def alpha_from(span=None, com=None, alpha=None, halflife=None) -> float:
@@ -66,30 +66,55 @@ def ewm(src, out, *, span=None, com=None, alpha=None, halflife=None,
     return Ewm(src, out, alpha_from(span, com, alpha, halflife), adjust, min_periods)
 
 
-def check_block(alphas, rows: int = BLOCK_ROWS) -> None:
+def block_rows(alpha: float) -> int:
+    """Rows a block needs for ``alpha``: ``BLOCK_ROWS`` doubled until older blocks weigh < 1e-20, or halved
+    until the growth inside a block stays finite.  It depends on the parameter alone, never on the data."""
+    lam = -math.log1p(-alpha) if alpha < 1 else 0.0
+    rows = BLOCK_ROWS
+    while 0 < rows * lam < _CARRY_LOG:
+        rows *= 2
+    while rows > 1 and rows * lam > _MAX_EXP:
+        rows //= 2
+    return rows
+
+
+def check_block(alphas, rows: int) -> None:
+    """A blocked frame has one block size for all its EWMs."""
     lams = [-math.log1p(-a) for a in alphas if a < 1]
     if lams and (rows * min(lams) < _CARRY_LOG or rows * max(lams) > _MAX_EXP):
-        raise ValueError(f"alpha outside the range served by {rows}-row blocks: {sorted(alphas)}")
+        raise ValueError(f"{rows}-row blocks don't serve alphas {sorted(alphas)}: cut the frame by "
+                         f"{sorted({block_rows(a) for a in alphas})} rows")
 
 
 def with_ewm(df: DataFrame, specs: list[Ewm], key: str = KEY, order: str = TIME,
              keep_helpers: bool = False) -> DataFrame:
-    """Add one column per spec.  Input rows must be unique per (key, order)."""
+    """Add one column per spec.  Input rows must be unique per (key, order).
+    Specs of one block size share one pass of windows over the same clustering."""
     if not specs:
         return df
-    B = BLOCK_ROWS
-    check_block([s.alpha for s in specs], B)
     base = list(df.columns)
     df = positioned(df, key, order)
-    # one sort order (key, _blk, _i) serves all three specs
-    w = Window.partitionBy(key).orderBy(BLK, POS)
+    for rows in sorted({block_rows(s.alpha) for s in specs}):
+        df = _ewm_pass(df, [s for s in specs if block_rows(s.alpha) == rows], rows, key)
+    keep = base + ([POS, BLK] if keep_helpers or POS in base else []) + [s.out for s in specs]
+    return df.select(*dict.fromkeys(keep))
+
+
+def _ewm_pass(df: DataFrame, specs: list[Ewm], B: int, key: str) -> DataFrame:
+    base = list(df.columns)
+    block = BLK
+    if B != BLOCK_ROWS:
+        block = "_ewm_blk"
+        df = df.withColumn(block, F.floor(F.col(POS) / F.lit(B)).cast("long"))
+    # one sort order (key, block, _i) serves all three specs
+    w = Window.partitionBy(key).orderBy(block, POS)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    wb = Window.partitionBy(key, BLK).orderBy(POS)
+    wb = Window.partitionBy(key, block).orderBy(POS)
     wb_run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wc = Window.partitionBy(key).orderBy(BLK).rangeBetween(-1, -1)
-    i, blk = F.col(POS), F.col(BLK)
+    wc = Window.partitionBy(key).orderBy(block).rangeBetween(-1, -1)
+    i, blk = F.col(POS), F.col(block)
     offs = (i - blk * F.lit(B)).cast("double")          # row offset inside the block
 
     # layer 1: previous observed position (adjust=False only needs it)
@@ -171,6 +196,4 @@ def with_ewm(df: DataFrame, specs: list[Ewm], key: str = KEY, order: str = TIME,
         x = col_or(s.src)
         v = F.last(f"_y{n}", True).over(run)
         outs.append(F.when(F.count(x).over(run) >= max(s.min_periods, 1), v).alias(s.out))
-    df = df.select("*", *outs)
-    keep = base + ([POS, BLK] if keep_helpers or POS in base else []) + [s.out for s in specs]
-    return df.select(*dict.fromkeys(keep))
+    return df.select(*base, *outs)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.expr import flag, ieee_div
 from tickframe.functions.windows import (
-    diff, lag, positioned, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum,
+    current_blocks, diff, lag, positioned, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum,
 )
 from tickframe.operators.ewm import ewm, with_ewm
 
@@ -45,10 +45,13 @@ class Indicator:
 
 
 def fused(df: DataFrame, indicators: list[Indicator]) -> DataFrame:
-    from tickframe.functions.windows import is_blocked
-    if is_blocked():
+    blocks = current_blocks()
+    if blocks is not None:
+        from functools import partial
+
         from tickframe.operators.blocked import cut_lineage as cut
-        from tickframe.operators.blocked import with_ewm_blocked as run_ewm
+        from tickframe.operators.blocked import with_ewm_blocked
+        run_ewm = partial(with_ewm_blocked, blocks=blocks)
     else:
         df = positioned(df)
         run_ewm, cut = with_ewm, (lambda d: d)
@@ -205,8 +208,8 @@ def macd_cross_event(df: DataFrame, prev_block: bool = False) -> DataFrame:
     m, s = F.col("macd"), F.col("macd_signal")
     pm, ps = lag("macd"), lag("macd_signal")
     if prev_block:
-        from tickframe.functions.windows import BLK, BLOCK_ROWS, POS
-        first = F.col(POS) == F.col(BLK) * F.lit(BLOCK_ROWS)
+        from tickframe.functions.windows import BLK, POS
+        first = F.col(POS) == F.col(BLK) * F.lit(current_blocks().rows)
         pm = F.when(first, F.col("_pb_macd")).otherwise(pm)
         ps = F.when(first, F.col("_pb_macd_signal")).otherwise(ps)
     bull = F.coalesce((m > s) & (pm < ps), F.lit(False))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickframe.schemas import MODEL_FEATURES, MODEL_THRESHOLD
 
+BUCKETS = 256
 BUY, NOT_BUY = "BUY", "NEUTRAL/SELL"  # fixed values: the two signal labels
 
 
@@ -50,16 +51,20 @@ def signal_label(prob: str = "prob_buy", threshold: float = MODEL_THRESHOLD) ->
 def top_signals(scored_latest: DataFrame, symbols: DataFrame, n: int = 20,
                 threshold: float = MODEL_THRESHOLD) -> DataFrame:
     """Top ``n`` (at least 1) by probability, list order (``pos``) on ties,
-    numbered 1..n, with the number of analysed symbols.  The top-n is a
-    distributed TakeOrdered; only n rows are ranked."""
+    numbered 1..n, with the number of analysed symbols.  Hash buckets keep their
+    own count and top ``n``; only these (``BUCKETS * n`` rows at most) meet in one task."""
     n = max(1, n)
-    cand = scored_latest.join(symbols.select("symbol", "pos"), "symbol")
-    # one row per symbol: the global count window is bounded by the universe size
-    cand = cand.withColumn("n_analyzed", F.count(F.lit(1)).over(Window.partitionBy()))
-    top = cand.orderBy(F.col("prob_buy").desc(), F.col("pos")).limit(n)
-    rank = F.row_number().over(Window.orderBy(F.col("prob_buy").desc(), F.col("pos")))
-    return top.select(rank.alias("rank"), "symbol", "prob_buy",
-                      signal_label("prob_buy", threshold).alias("signal"), "n_analyzed")
+    order = [F.col("prob_buy").desc(), F.col("pos"), F.col("symbol")]
+    bucket = F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).alias("_b")
+    cand = scored_latest.join(symbols.select("symbol", "pos"), "symbol").select("symbol", "pos", "prob_buy", bucket)
+    w = Window.partitionBy("_b")
+    best = cand.select("*", F.row_number().over(w.orderBy(*order)).alias("_r"),
+                       F.count(F.lit(1)).over(w).alias("_n")).filter(F.col("_r") <= n)
+    every = Window.partitionBy()
+    top = best.select("symbol", "prob_buy", F.row_number().over(Window.orderBy(*order)).alias("rank"),
+                      F.sum(F.when(F.col("_r") == 1, F.col("_n"))).over(every).alias("n_analyzed"))
+    return top.filter(F.col("rank") <= n).select(
+        "rank", "symbol", "prob_buy", signal_label("prob_buy", threshold).alias("signal"), "n_analyzed")
 
 
 def consult(scored_latest: DataFrame, symbol: str, threshold: float = MODEL_THRESHOLD,

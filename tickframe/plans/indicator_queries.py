@@ -134,6 +134,21 @@ def q_ewm_recursive(spark, sf):
     return finish(df.select(*K, "ema_9", "ema_12", "ema_26", "ewm_a14"), D4)
 
 
+_EWM_PERIODS = [("close", "ema_50", 2 / 51, False, 0), ("close", "wilder_28", 1 / 28, False, 28),
+                ("close", "ewm_com20", 1 / 21, True, 21), ("close", "ema_fast", 0.9, False, 0)]
+
+
+@register("ewm_periods", _ewm_sql(_EWM_PERIODS))
+def q_ewm_periods(spark, sf):
+    """Slow and fast decays, which need longer and shorter blocks than the default."""
+    b = bars_d(spark, sf).repartition("symbol")
+    df = with_ewm(b, [ewm("close", "ema_50", span=50, adjust=False),
+                      ewm("close", "wilder_28", alpha=1 / 28, adjust=False, min_periods=28),
+                      ewm("close", "ewm_com20", com=20, adjust=True, min_periods=21),
+                      ewm("close", "ema_fast", alpha=0.9, adjust=False)])
+    return finish(df.select(*K, *[s[1] for s in _EWM_PERIODS]), D4)
+
+
 @register("rsi", _research_q(None, ["rsi_14"]))
 def q_rsi(spark, sf):
     return finish(ind.rsi(bars_d(spark, sf).repartition("symbol")).select(*K, "rsi_14"), D4)

@@ -70,7 +70,7 @@ def exit_feed(spark, sf):
     scored = sg.score(po.rocket_roc(comp), stub_probability)
     pos = pq.positions(spark, sf)
     feed = scored.join(pos, "symbol").filter(F.col("open_time") > F.col("buy_time"))
-    return feed.select("symbol", "open_time", "close", "high", "prob_buy", "roc", "buy_price", "qty", "peak_price")
+    return feed.select("symbol", "open_time", "close", "high", "prob_buy", "roc", "buy_time", "buy_price", "qty", "peak_price")
 
 
 _EXIT_SQL = (pq._BASE.replace("WITH RECURSIVE ", "") + ", "

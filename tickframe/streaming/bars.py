@@ -97,43 +97,38 @@ def write_back(spark: SparkSession, updated: DataFrame, touched: DataFrame, path
 
 EXIT_OUT = ("symbol string, buy_price double, qty double, peak_price double, exit_time timestamp_ntz, "
             "close double, exit_reason string")
-EXIT_STATE = "buy_price double, qty double, peak_price double, done boolean"
+EXIT_STATE = "bought_ns long, buy_price double, qty double, peak_price double, done boolean"
 
 
 def _monitor(threshold: float, sl: float, tp: float, trail: float, roc_thresh: float):
     import pandas as pd
 
+    def reason(close, buy, peak, prob, roc):
+        if close <= buy * (1 - sl):
+            return "STOP_LOSS"
+        if prob is not None and prob < threshold:
+            return "SIGNAL_OFF"
+        if roc is not None and roc >= roc_thresh:
+            return "TRAILING_ROCKET" if close <= peak * (1 - trail) else None
+        return "TAKE_PROFIT" if close >= buy * (1 + tp) else None
+
     def fn(key, pdfs, state):
-        if state.exists:
-            buy, qty, peak, done = state.get
-        else:
-            buy = qty = peak = None
-            done = False
+        bought, buy, qty, peak, done = state.get if state.exists else (None, None, None, None, True)
         out = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values("open_time")
-            for r in pdf.itertuples(index=False):
-                if done:
-                    break
-                if buy is None:
-                    buy, qty, peak = r.buy_price, r.qty, r.peak_price
-                peak = max(peak if peak is not None else buy, r.high)
-                c = r.close
-                reason = None
-                if c <= buy * (1 - sl):
-                    reason = "STOP_LOSS"
-                elif r.prob_buy is not None and r.prob_buy < threshold:
-                    reason = "SIGNAL_OFF"
-                elif r.roc is not None and r.roc >= roc_thresh:
-                    if c <= peak * (1 - trail):
-                        reason = "TRAILING_ROCKET"
-                elif c >= buy * (1 + tp):
-                    reason = "TAKE_PROFIT"
-                if reason:
-                    out.append((key[0], buy, qty, peak, r.open_time, c, reason))
-                    done = True
-        if buy is not None:
-            state.update((buy, qty, peak, done))
+        bars = pd.concat(list(pdfs), ignore_index=True).dropna(subset=["buy_time"])
+        for r in bars.sort_values(["buy_time", "open_time"], kind="stable").itertuples(index=False):
+            at = r.buy_time.value
+            if bought is None or at > bought:      # bought again: a new position
+                bought, buy, qty, peak, done = at, r.buy_price, r.qty, r.peak_price, False
+            if done or at < bought:
+                continue
+            peak = max(buy if pd.isna(peak) else peak, r.high)
+            why = reason(r.close, buy, peak, r.prob_buy, r.roc)
+            if why:
+                out.append((key[0], buy, qty, peak, r.open_time, r.close, why))
+                done = True
+        if bought is not None:
+            state.update((bought, buy, qty, peak, done))
         yield pd.DataFrame(out, columns=["symbol", "buy_price", "qty", "peak_price", "exit_time", "close",
                                          "exit_reason"])
     return fn
@@ -142,13 +137,14 @@ def _monitor(threshold: float, sl: float, tp: float, trail: float, roc_thresh: f
 def stream_exits(spark: SparkSession, landing: str, out: str, ckpt: str | None = None,
                  threshold: float = 0.49, files_per_trigger: int = 1) -> DataFrame:
     """Position monitor: scored bars of held symbols arrive (parquet files with
-    symbol, open_time, close, high, prob_buy, roc, buy_price, qty, peak_price);
-    the peak is keyed state per symbol and the first exit per position is emitted."""
+    symbol, open_time, close, high, prob_buy, roc, buy_time, buy_price, qty, peak_price).
+    The state per symbol is its newest position (by ``buy_time``) with its peak; the first
+    exit per position is emitted, and a symbol bought again is watched again."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     from tickframe.operators import positions as po
     ckpt = ckpt or default_checkpoint(spark, "stream-exits", out)
     schema = ("symbol string, open_time timestamp_ntz, close double, high double, prob_buy double, roc double, "
-              "buy_price double, qty double, peak_price double")
+              "buy_time timestamp_ntz, buy_price double, qty double, peak_price double")
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     res = src.groupBy("symbol").applyInPandasWithState(
         _monitor(threshold, po.SL_PCT, po.TP_PCT, po.TRAIL_PCT, po.ROC_THRESH),
