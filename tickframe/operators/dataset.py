@@ -64,29 +64,37 @@ def date_range(df: DataFrame, start=None, end=None, time: str = TIME) -> DataFra
 
 def chrono_split(df: DataFrame, train_frac: float = 0.8, time: str = TIME, key: str = KEY,
                  out: str = "is_train") -> DataFrame:
-    """Mark the first floor(frac * n) rows of the global (time, key) order.
+    """Mark the first floor(frac * n) rows of the global (time, key) order, unique per (time, key); rows
+    without a time are 0.
 
-    No global window over the rows: rows are counted per timestamp (a small
-    table, one row per distinct time), the boundary time is found on that
-    table, and only the rows of that one timestamp are ranked by key.
+    The boundary row is found in steps on ever smaller tables: counts per day, then per timestamp of the
+    boundary day, then the keys of the boundary timestamp.  It enters the one comparison that marks the rows
+    as a scalar subquery: nothing is read by the driver.
     """
-    # one row per distinct timestamp; cached because two scalars are read from it
-    per_time = df.groupBy(time).agg(F.count(F.lit(1)).alias("_n")).persist()
-    w = Window.orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = per_time.withColumn("_cum", F.sum("_n").over(w))
-    total = cum.agg(F.sum("_n").alias("n")).first()["n"] or 0
-    cut = int(total * train_frac)
-    b = (cum.filter(F.col("_cum") >= F.lit(cut)).orderBy(time).limit(1)
-            .select(time, (F.col("_cum") - F.col("_n")).alias("_before")).first())
-    if b is None or cut == 0:
-        return df.withColumn(out, F.lit(1 if cut >= total and total > 0 else 0))
-    t_b, before = b[time], b["_before"]
-    rank_b = F.row_number().over(Window.partitionBy(time).orderBy(key))
-    tb = ntz_lit(t_b)
-    at_b = (df.filter(F.col(time) == tb)
-              .withColumn(out, (rank_b <= F.lit(cut - before)).cast("int")))
-    rest = df.filter(F.col(time) != tb).withColumn(out, (F.col(time) < tb).cast("int"))
-    return rest.unionByName(at_b)
+    stamp, n = F.col(time), F.col("_n")
+    per_time = df.filter(stamp.isNotNull()).groupBy(time).agg(F.count(F.lit(1)).alias("_n"))
+    days = per_time.groupBy(F.to_date(stamp).alias("_day")).agg(F.sum("_n").alias("_n"))
+    days = days.select("_day", n, F.sum("_n").over(_to_here("_day")).alias("_cum"),
+                       F.floor(F.sum("_n").over(Window.partitionBy()) * F.lit(float(train_frac))).alias("_cut"))
+
+    def boundary(counts: DataFrame, col: str) -> DataFrame:
+        """The row in which the running count reaches the cut, with what is left of the cut there: one row or none."""
+        before = F.col("_cum") - n
+        return counts.filter((F.col("_cum") >= F.col("_cut")) & (before < F.col("_cut"))).select(
+            col, (F.col("_cut") - before).alias("_cut"))
+
+    day = per_time.withColumn("_day", F.to_date(stamp)).join(F.broadcast(boundary(days, "_day")), "_day")
+    times = day.select(time, n, "_cut", F.sum("_n").over(_to_here(time)).alias("_cum"))
+    at = df.select(time, key).join(F.broadcast(boundary(times, time)), time)
+    last = at.withColumn("_rank", F.row_number().over(Window.partitionBy(time).orderBy(key))).filter(F.col("_rank") == F.col("_cut"))
+    b = last.select(F.struct(stamp.alias("time"), F.col(key).alias("key"))).scalar()
+    marked = df.withColumn("_b", b)
+    train = (stamp < F.col("_b.time")) | ((stamp == F.col("_b.time")) & (F.col(key) <= F.col("_b.key")))
+    return marked.withColumn(out, F.coalesce(train, F.lit(False)).cast("int")).drop("_b")
+
+
+def _to_here(order: str):
+    return Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def latest_bar(df: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:
@@ -102,15 +110,17 @@ def last_n_bars(df: DataFrame, n: int, key: str = KEY, time: str = TIME) -> Data
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def dedup_bars(pages: list[DataFrame], key: str = KEY, time: str = TIME) -> DataFrame:
+def dedup_bars(pages: list[DataFrame], key: str = KEY, time: str = TIME, arrival: str | None = None) -> DataFrame:
     """Stitch pages of bars (older page first) and keep, per (key, time), the row
-    of the earliest page.  An aggregate, so duplicates collapse map side."""
+    of the earliest page.  An aggregate, so duplicates collapse map side.  Rows of
+    one page: the smallest ``arrival`` (a column, not returned), then the smallest values."""
     tagged = None
     for n, p in enumerate(pages):
         p = p.withColumn("_page", F.lit(n))
         tagged = p if tagged is None else tagged.unionByName(p)
-    cols = [c for c in pages[0].columns if c not in (key, time)]
-    return (tagged.groupBy(key, time).agg(F.min_by(F.struct(*cols), F.col("_page")).alias("_r"))
+    cols = [c for c in pages[0].columns if c not in (key, time, arrival)]
+    first = F.struct("_page", *([arrival] if arrival else []), *cols)
+    return (tagged.groupBy(key, time).agg(F.min_by(F.struct(*cols), first).alias("_r"))
                   .select(key, time, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
