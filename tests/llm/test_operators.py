@@ -102,6 +102,22 @@ def test_jaccard_components(spark, rows, odd, none, kw):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 8, 9, 11, 12]
 
 
+def test_one_per_component_judges_rows(spark):
+    docs = ([(None, f"text {k} of its own with words like a{k} b{k} c{k}") for k in range(5)]
+            + [(3, "first text of a component with enough words"), (7, "first text of a component with enough words"), (7, "another text of id seven with enough words"),
+               (9, "a text that a row without id repeats"), (None, "a text that a row without id repeats"), (None, "a text that a row without id repeats"),
+               (None, "only rows without id say this here"), (None, "only rows without id say this here"),
+               (8, ""), (8, None), (None, " "), (None, " ")])
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("extra", F.lit(1))
+    kept = jaccard_join.one_per_component(df)
+    assert kept.columns == df.columns
+    assert as_sorted((r.doc_id, r.text) for r in kept.collect()) == as_sorted(
+        [*docs[:5], docs[5], docs[7], docs[8], docs[11], *docs[13:]])
+    near = near_copies()
+    kept = jaccard_join.one_per_component(spark.createDataFrame(near, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in components_by_hand(near)})
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (5, 5), (101, 100), (300, 7), (200, 100)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

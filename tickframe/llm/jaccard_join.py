@@ -27,6 +27,7 @@ an empty table gives an empty result; extra columns are ignored.  Sets and shing
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -520,10 +521,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with one document of each component, the one whose id names it, once."""
-    found = jaccard_components(docs, id_col, text_col, **kw)
-    others = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    repeated = docs.groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col(id_col).alias("_id"))
-    kept = docs.join(others, docs[id_col] == others["_id"], "left_anti")
-    again = kept.join(repeated, kept[id_col].eqNullSafe(repeated["_id"]), "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, kept[id_col].eqNullSafe(repeated["_id"]), "left_anti").unionByName(again)
+    """``docs`` with one row of each component: the one with the smallest id (NULL last), then the smallest hash
+    of its columns.  Rows are told apart by id and hash, so rows of one id with different texts are judged one by
+    one; rows without a word are no copies and stay."""
+    names = ("copy", "id", "hash", "lost", "component")
+    copy, row_id, row_hash, lost, component = (f"{c}_{uuid.uuid4().hex}" for c in names)  # no columns of the documents have these names
+    own = F.xxhash64(*[docs[c] for c in docs.columns])
+    found = (jaccard_components(docs.select(own.alias("doc_id"), docs[text_col].alias("text")), **kw).filter("n_shingles > 0")
+             .groupBy("doc_id").agg(F.max("component_id").alias(component), (F.count("*") > 1).alias(copy)))
+    ids = docs.select(docs[id_col].alias(row_id), own.alias(row_hash)).distinct()
+    rows = stage_table(ids.join(found, ids[row_hash] == found["doc_id"]).select(row_id, row_hash, component, copy), "jaccard-rows")
+    best = rows.groupBy(component).agg(F.min(F.struct(F.col(row_id).isNull().alias("none"), F.col(row_id).alias("id"), F.col(row_hash).alias("hash"))).alias("best"))
+    first = F.col(row_id).eqNullSafe(F.col("best.id")) & (F.col(row_hash) == F.col("best.hash"))
+    marks = rows.join(best, component).select(row_id, row_hash, (~first).alias(lost), copy).filter(F.col(lost) | F.col(copy))
+    kept = (docs.join(marks, (own == marks[row_hash]) & docs[id_col].eqNullSafe(marks[row_id]), "left")
+            .filter(~F.coalesce(marks[lost], F.lit(False))))
+    once = kept.filter(F.col(copy).isNull()).select(*[docs[c] for c in docs.columns])
+    return once.unionByName(kept.filter(F.col(copy)).dropDuplicates([row_id, row_hash]).select(*[F.col(c) for c in docs.columns]))
