@@ -216,6 +216,22 @@ def test_mixing(spark, rows, odd, none):
     assert mixing.plan(none).count() == 0 and mixing.mix(none).count() == 0
 
 
+def test_mix_tells_rows_of_one_id_apart(spark):
+    docs = [(i, f"text {k} of " + "w " * 17, "a") for i in (None, 4) for k in range(100)]
+    docs += [(1000 + k, f"other {k} of " + "w " * 17, "b") for k in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    planned, mixed = Counter(), Counter()
+    for r in mixing.plan(df).collect():
+        planned[r.doc_id if r.source == "a" else -1] += r.copies
+    for r in mixing.mix(df).collect():
+        mixed[r.doc_id if r.source == "a" else -1] += 1
+    assert sum(mixed.values()) == sum(planned.values()) == 600
+    weights = dict(weights=(1, 5))
+    planned = sum(r.copies for r in mixing.plan(df, **weights, share=0.75).collect() if r.source == "a")
+    assert 0 < planned < 100  # of 200 rows
+    assert sum(r.source == "a" for r in mixing.mix(df, **weights, share=0.75).collect()) == planned
+
+
 def test_min_cost_transfers():
     flow = resharding.min_cost_transfers({0: 10, 1: 2, 2: 6}, {0: 6, 1: 6, 2: 6})
     assert flow == {(0, 0): 6, (0, 1): 4, (1, 1): 2, (2, 2): 6}

@@ -10,8 +10,8 @@ missing are settled on one cell per power-of-two size class.  Sums are taken ove
 does not depend on partitioning or order and reruns agree.  Only DataFrame functions are used.
 
 Defined cases: NULL text has size 0; NULL source is a source of its own, the last one; a source without words
-has target 0 and rate 1; rows with equal ids are told apart as rows in ``plan`` and get equal copies in
-``mix``; an empty table gives an empty result.
+has target 0 and rate 1; rows with equal ids are told apart as rows in ``plan`` and, if they differ in any column, in
+``mix``, where only rows equal in all columns get equal copies; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -124,10 +124,13 @@ def round_cells(cells: DataFrame, solved: DataFrame, cap: int = CAP) -> DataFram
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per document."""
+         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, carried: tuple[Column, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken), one row per document.
+
+    ``carried``: named columns that tell rows of one id apart; they break ties of the draw and come last."""
     sized = stage_table(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                                    F.size(words(F.col(text_col))).cast("long").alias("size")), "mix-sizes")
+                                    F.size(words(F.col(text_col))).cast("long").alias("size"), *carried), "mix-sizes")
+    extra = sized.columns[3:]
     counts = stage_table(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     sources = stage_table(targets(counts.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size"), F.max("size").alias("max_size")), weights, share, cap), "mix-sources")
@@ -135,21 +138,21 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     cells = stage_table(counts.join(named, counts["source"].eqNullSafe(F.col("named"))).select("sid", "size", "n"), "mix-cells-in")
     copies = round_cells(cells, solve(cells, sources, cap), cap)
     cell = copies.join(named, "sid").select("named", F.col("size").alias("cell_size"), "n", "copies", "source_size", "target")
-    ranked = rank_within(sized.withColumn("draw", F.xxhash64("doc_id", "size")), ["source", "size"], ["draw", "doc_id"], ROWS_PER_TASK)
+    ranked = rank_within(sized.withColumn("draw", F.xxhash64("doc_id", "size")), ["source", "size"], ["draw", "doc_id", *extra], ROWS_PER_TASK)
     own = F.floor(F.col("copies") / F.col("n")) + (F.col("rank") < F.col("copies") % F.col("n")).cast("long")
     return (ranked.join(cell, ranked["source"].eqNullSafe(F.col("named")) & (F.col("size") == F.col("cell_size")))
-            .select("doc_id", "source", "size", "source_size", "target", own.cast("long").alias("copies"))
-            .withColumn("taken", F.col("copies") * F.col("size")))
+            .select("doc_id", "source", "size", "source_size", "target", own.cast("long").alias("copies"),
+                    (own * F.col("size")).cast("long").alias("taken"), *extra))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
-    """The mixed corpus: every document as often as its copies, with its columns.
+    """The mixed corpus: every row as often as its copies, with its columns.
 
-    Rows that agree in id, source and size are one document in several rows and get the same copies."""
-    drawn = (plan(docs, id_col, text_col, source_col, **kw).groupBy("doc_id", "source", "size")
+    Rows are told apart by id and the hash of their columns; rows equal in all columns get equal copies."""
+    copy, row = (f"{c}_{uuid.uuid4().hex}" for c in ("copy", "row"))  # no columns of the documents have these names
+    own = F.xxhash64(*[docs[c] for c in docs.columns])
+    drawn = (plan(docs, id_col, text_col, source_col, **kw, carried=(own.alias(row),)).groupBy("doc_id", row)
              .agg(F.round(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
-             .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies"))
-    own = F.size(words(docs[text_col])).cast("long")
-    copy = f"copy_{uuid.uuid4().hex}"  # no column of the documents has this name
-    return (docs.join(drawn, docs[id_col].eqNullSafe(drawn["_id"]) & docs[source_col].eqNullSafe(drawn["_source"]) & (own == drawn["_size"]))
+             .select(F.col("doc_id").alias("_id"), row, "_copies"))
+    return (docs.join(drawn, docs[id_col].eqNullSafe(drawn["_id"]) & (own == drawn[row]))
             .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), drawn["_copies"])).alias(copy)).drop(copy))
