@@ -279,6 +279,20 @@ def test_language_id(spark, odd, none):
     assert kept.columns == odd.columns and not {1, 2, 3, 11} & {r.doc_id for r in kept.collect()}
 
 
+def test_many_languages_and_a_rare_one_are_kept(spark):
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    make = lambda n: ["".join(rng.choice(letters, 9)) for _ in range(n)]
+    shared, own = make(6), [make(14) for _ in range(20)]
+    docs = [(100 * k + i, " ".join(rng.permutation(own[k] + shared)), f"l{k:02}") for k in range(20) for i in range(4)]
+    docs += [(5000, "αβγ δεζηθ ικλμν ξοπρ στυφχ ψω", "el"), (5001, "привет большой мир и все люди", None), (5002, " ".join(own[3]), None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language_id.train(df, F.lit(True))
+    assert {r.lang_pred for r in language_id.identify(df.filter("doc_id = 5000"), model).collect()} == {"el"}
+    assert max(r.score for r in language_id.identify(df.filter("doc_id < 5000"), model).collect()) < 0.35
+    assert {r.doc_id for r in language_id.keep_identified(df, model).collect()} == {i for i, *_ in docs} - {5001}
+
+
 def test_bloom_false_positives_are_estimated():
     keys = np.random.default_rng(1).integers(0, 1 << 60, 3000)
     masks = np.zeros((1 << 14, 1), np.uint64)

@@ -6,8 +6,9 @@ whose every position holds a bit mask of languages: AND-ing the masks at a trigr
 languages that have it.  A text's hits per language (popcounts over its trigrams) are corrected for the
 filter's false positives, which follow from the share of set bits, and the language with most hits wins.
 
-Trigrams are taken over lower-cased letters; all else counts as one space.  Frequent enough means a share of at
-least ``MIN_SHARE`` of a language's trigrams, so a language keeps at most ``1 / MIN_SHARE`` of them and the
+Trigrams are taken over lower-cased letters; all else counts as one space.  Frequent enough means ``MIN_COUNT``
+times (or as often as the language's most frequent one, if that is less) and a share of at least ``MIN_SHARE``
+of a language's trigrams, so a language keeps at most ``1 / MIN_SHARE`` of them and the
 filter has a proven bound.
 
 Defined cases: NULL text, or one without a letter, gives ``und`` and score 0; a text none of whose trigrams is
@@ -36,7 +37,8 @@ HASHES = 3
 ROOM = 12
 BLOCK_BYTES = 1 << 20
 FLUSH = 1_000_000
-MIN_SCORE = 0.35
+#: Standard deviations of the false-positive hits that a known language must exceed.
+NOISE = 4
 UNKNOWN = "und"
 _letters: np.ndarray | None = None
 
@@ -78,8 +80,13 @@ class Model:
         return fill ** HASHES
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and whether some language has more hits than its false positives explain."""
+        known = np.zeros(len(texts), bool)
         if not self.langs:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), known
         keys, text, n_letters = trigrams(texts)
         found = None
         for p in self.positions(keys):
@@ -88,12 +95,14 @@ class Model:
         rates = np.empty((len(texts), len(self.langs)))
         for k, wrong in enumerate(self.false_positive()):
             hit = (found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
-            rates[:, k] = np.maximum(np.bincount(text, hit, len(texts)) / total - wrong, 0) / max(1 - wrong, 1e-9)
+            hits = np.bincount(text, hit, len(texts))
+            known |= hits > total * wrong + NOISE * np.sqrt(total * wrong * (1 - wrong))
+            rates[:, k] = np.maximum(hits / total - wrong, 0) / max(1 - wrong, 1e-9)
         best = rates.argmax(axis=1)
         top, every = rates.max(axis=1), rates.sum(axis=1)
         best[every == 0] = self.common
         score = np.where(n_letters > 0, top / np.maximum(every, 1e-300), 0.0)
-        return [self.langs[b] if n else UNKNOWN for b, n in zip(best, n_letters)], score
+        return [self.langs[b] if n else UNKNOWN for b, n in zip(best, n_letters)], score, known
 
 
 def positions(keys: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -142,7 +151,8 @@ def train(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col:
     known = spark.createDataFrame([(x, k, float(totals[x])) for k, x in enumerate(langs)], "lang string, bit int, total double")
     shares = counts.join(F.broadcast(known), "lang").withColumn("share", F.col("n") / F.col("total"))
     most = shares.groupBy("key").agg(F.max("share").alias("most"))
-    own = shares.filter((F.col("n") >= MIN_COUNT) & (F.col("share") >= MIN_SHARE)).join(most, "key").filter(F.col("share") >= MIN_PART * F.col("most"))
+    often = counts.groupBy("lang").agg(F.least(F.max("n"), F.lit(MIN_COUNT)).alias("often"))  # a row per language
+    own = shares.join(F.broadcast(often), "lang").filter((F.col("n") >= F.col("often")) & (F.col("share") >= MIN_SHARE)).join(most, "key").filter(F.col("share") >= MIN_PART * F.col("most"))
     kept = own.select("key", "bit").toPandas()  # at most 1 / MIN_SHARE rows per language
     keys, bits = kept["key"].to_numpy(np.int64), kept["bit"].to_numpy(np.int64)
     size = 1 << max(10, int(ROOM * max(len(np.unique(keys)), 1) - 1).bit_length())
@@ -164,11 +174,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(releasing(predict), f"doc_id {id_type}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without those of undetermined language or with a score below ``min_score``."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` without those of undetermined language: no letter, or no language's trigrams beyond false positives.
+
+    Each language is judged by itself, so more languages do not make a document less certain."""
     def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in by_bytes(batches, text_col, BLOCK_BYTES):
-            lang, score = model.predict(block.column(text_col).to_pylist())
-            yield from block.filter(pa.array((np.array(lang) != UNKNOWN) & (score >= min_score))).to_batches()
+            lang, _, known = model.judge(block.column(text_col).to_pylist())
+            yield from block.filter(pa.array((np.array(lang) != UNKNOWN) & known)).to_batches()
 
     return docs.mapInArrow(releasing(select), docs.schema)
