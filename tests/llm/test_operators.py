@@ -394,6 +394,15 @@ def test_html_extraction(spark):
     assert '["p",1,1' in wrappers["h.org"] and '["blockquote",1,0' in wrappers["h.org"]  # repeated and optional groups
 
 
+def test_html_levels_of_mixed_templates(spark):
+    pages = {"article": "<nav><p>menu</p></nav><article><p>in article</p></article><p>around</p>", "main": "<main><p>in main</p></main><p>around</p>",
+             "named": "<div class=content><p>in content</p></div><p>around</p>", "plain": "<p>in plain"}
+    rows = [(f"{u}-{k}", u and f"{u}", h) for u in ("http://mixed.org/x", None, "odd") for k, h in pages.items()]
+    found = html_extract.extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    want = {"article": "in article", "main": "in main", "named": "in content", "plain": "in plain"}
+    assert {r.page_id: r.text for r in found} == {i: want[i.rsplit("-")[-1]] for i, *_ in rows}
+
+
 def test_html_wrappers_in_rounds(spark):
     forms = [html_extract.read_page("<div>" + "".join(f"<{t}>x</{t}>" for t in ("h1", "p", "h2", "table", "h3") if k >> "h1 p h2 table h3".split().index(t) & 1) + "</div>")[0]
              for k in range(1, 32)]

@@ -7,12 +7,13 @@
    one side has become optional groups, differing texts are slots.  Hosts with many forms align them in rounds
    of bounded groups, so no task holds a host's forms at once.
 3. Slots are judged per wrapper: by the tags, classes and ids around them, the links in them, and, outside an
-   article, by whether their text is the same on the host's pages.
+   article, by whether their text is the same on the host's pages.  Each form takes the best level (article, main,
+   named, page) that its own slots hold.
 4. Each page's blocks are kept or dropped by the slots they fall into.
 
 Only forms (with per-slot figures) are shuffled for inference, summed in each task beforehand.
 
-Defined cases: NULL and empty html gives an empty text; NULL or odd urls share one nameless host; a page whose
+Defined cases: NULL and empty html gives an empty text; pages of NULL or odd urls share a wrapper only within their form; a page whose
 blocks are all boilerplate gives an empty text; text outside tags is a block; unclosed tags end with their
 parent or where HTML closes them; repeated rows give repeated results; an empty table gives an empty result.
 """
@@ -67,6 +68,8 @@ _NAMES = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
 TEXT, LINK = "#text", "#link"
+#: Kinds of slots, best first.
+LEVELS = ["article", "main", "named", "page"]
 
 
 class Node:
@@ -107,6 +110,11 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def home_of(url: str | None, form: str) -> str:
+    """The page's host; without one, its form stands alone (no host has a # in its name)."""
+    return host_of(url) or f"#{key_of('', form)}"
+
+
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """A tag with the words of its class, id and role, and whether it is hidden."""
     if not attributes.strip():
@@ -298,7 +306,7 @@ def _figures(pages: DataFrame) -> DataFrame:
         for block in by_bytes(batches, "html", BLOCK_BYTES):
             for url, page in zip(block.column("url").to_pylist(), block.column("html").to_pylist()):
                 form, blocks, count = read_page(page)
-                entry = held.setdefault((host_of(url), form), [0, [[0, 1 << 62, -1] for _ in range(count)]])
+                entry = held.setdefault((home_of(url, form), form), [0, [[0, 1 << 62, -1] for _ in range(count)]])
                 entry[0] += 1
                 texts: dict[int, list[str]] = {}
                 for s, t in blocks:
@@ -382,14 +390,10 @@ def kind_of(path: tuple[str, ...]) -> str:
     return kind
 
 
-def judge(slots: list[tuple[tuple[str, ...], str, int, int, bool]], pages: int) -> list[bool]:
-    """Which slots of a wrapper hold main text.  A slot: (path, label, pages, characters, same on all pages)."""
+def judge(slots: list[tuple[tuple[str, ...], str, int, int, bool]], pages: int) -> list[tuple[str, bool]]:
+    """(kind, holds text) of each slot of a wrapper.  A slot: (path, label, pages, characters, same on all pages)."""
     kinds = [kind_of(path) for path, *_ in slots]
-    for wanted in ("article", "main", "named"):
-        chosen = [k == wanted or (wanted == "main" and k == "article") for k in kinds]
-        if any(c and label == TEXT for c, (_, label, *_rest) in zip(chosen, slots)):
-            return chosen
-    return [k == "page" and label == TEXT and not (same and n >= CONSTANT_PAGES and 2 * n >= pages)
+    return [("drop" if k == "page" and same and n >= CONSTANT_PAGES and 2 * n >= pages else k, label == TEXT)
             for k, (_, label, n, _chars, same) in zip(kinds, slots)]
 
 
@@ -410,16 +414,20 @@ def _kept_slots(figures: DataFrame) -> DataFrame:
         wrapper = Node.load(json.loads(table.column("wrapper")[0].as_py()))
         known = {p: (n, c, same) for p, n, c, same in zip(*(table.column(x).to_pylist() for x in ("place", "pages", "chars", "same")))}
         slots = [(path, node.label, *known.get(k, (0, 0, False))) for k, (node, path) in enumerate(wrapper.slots())]
-        keep = judge(slots, max((s[2] for s in slots), default=0))
-        kept = [k for k, x in enumerate(keep) if x]
-        return pa.table({"host": pa.array([keys[0].as_py()] * len(kept), pa.string()), "place": pa.array(kept, pa.int32())})
+        judged = judge(slots, max((s[2] for s in slots), default=0))
+        return pa.table({"host": pa.array([keys[0].as_py()] * len(judged), pa.string()), "place": pa.array(range(len(judged)), pa.int32()),
+                         "kind": pa.array([k for k, _ in judged], pa.string()), "holds": pa.array([x for _, x in judged], pa.bool_())})
 
     places = stage_table(forms.join(wrappers, "host").mapInArrow(releasing(place), "form_key long, slot int, place int"), "html-places")
     evidence = (figures.join(places, ["form_key", "slot"]).groupBy("host", "place")
                 .agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), (F.min("low") == F.max("high")).alias("same")))
-    good = evidence.join(wrappers, "host").groupBy("host").applyInArrow(decide, "host string, place int")
-    return (places.join(forms.select("form_key", "host"), "form_key").join(good, ["host", "place"]).groupBy("form_key")
-            .agg(F.collect_set("slot").alias("kept")))
+    judged = evidence.join(wrappers, "host").groupBy("host").applyInArrow(decide, "host string, place int, kind string, holds boolean")
+    return (places.join(forms.select("form_key", "host"), "form_key").join(judged, ["host", "place"])
+            .withColumn("level", F.array_position(F.lit(LEVELS), F.col("kind"))).filter("level > 0").groupBy("form_key")
+            .agg(F.min(F.when(F.col("holds"), F.col("level"))).alias("best"), F.collect_list(F.struct("slot", "level", "holds")).alias("slots"))
+            # the best level whose slots hold text in this form; main takes in the article's links, page only text
+            .select("form_key", F.expr(f"""transform(filter(slots, s -> (s.level = best or (best = 2 and s.level = 1))
+                                           and (best < {len(LEVELS)} or s.holds)), s -> s.slot)""").alias("kept")))
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -438,7 +446,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             keys, found = [], []
             for url, page in zip(block.column("url").to_pylist(), block.column("html").to_pylist()):
                 form, blocks, _ = read_page(page)
-                keys.append(key_of(host_of(url), form))
+                keys.append(key_of(home_of(url, form), form))
                 found.append([{"slot": s, "text": t} for s, t in blocks])
             yield pa.RecordBatch.from_arrays([
                 block.column("page_id").combine_chunks(), block.column("url").combine_chunks(), pa.array(keys, pa.int64()),
