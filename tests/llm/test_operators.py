@@ -403,6 +403,15 @@ def test_html_levels_of_mixed_templates(spark):
     assert {r.page_id: r.text for r in found} == {i: want[i.rsplit("-")[-1]] for i, *_ in rows}
 
 
+def test_html_copies_are_no_evidence(spark):
+    menu = "<div class=x><p>Menu of the site</p></div>"
+    rows = [(i, "http://copies.org/a", f"{menu}<p>The story in {7} copies</p>") for i in range(7)]
+    rows += [(100 + i, "http://site.org/a", f"{menu}<p>Story {i % 6}</p>") for i in range(12)]
+    found = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {**{i: "Menu of the site\n\nThe story in 7 copies" for i in range(7)},
+                                                  **{100 + i: f"Story {i % 6}" for i in range(12)}}
+
+
 def test_html_wrappers_in_rounds(spark):
     forms = [html_extract.read_page("<div>" + "".join(f"<{t}>x</{t}>" for t in ("h1", "p", "h2", "table", "h3") if k >> "h1 p h2 table h3".split().index(t) & 1) + "</div>")[0]
              for k in range(1, 32)]

@@ -7,7 +7,7 @@
    one side has become optional groups, differing texts are slots.  Hosts with many forms align them in rounds
    of bounded groups, so no task holds a host's forms at once.
 3. Slots are judged per wrapper: by the tags, classes and ids around them, the links in them, and, outside an
-   article, by whether their text is the same on the host's pages.  Each form takes the best level (article, main,
+   article, by whether their text is the same on the host's pages (distinct contents count, not copies).  Each form takes the best level (article, main,
    named, page) that its own slots hold.
 4. Each page's blocks are kept or dropped by the slots they fall into.
 
@@ -35,6 +35,7 @@ from tickframe.llm.common import by_bytes, releasing, stage_table
 BLOCK_BYTES = 8 << 20
 FORMS_PER_GROUP = 100
 FLUSH_FORMS = 20_000
+FLUSH_PAGES = 500_000
 CONSTANT_PAGES = 5
 #: Deeper tags are siblings in the tree instead of children; their text is kept.
 MAX_DEPTH = 150
@@ -290,14 +291,16 @@ def key_of(host: str, form: str) -> int:
 
 
 def _figures(pages: DataFrame) -> DataFrame:
-    """(host, form, form_key, slot, pages, chars, low, high): per host, form and slot; low and high are the least
-    and greatest hash of the slot's text on a page."""
+    """(host, form, form_key, slot, pages, chars, low, high): per host, form and slot; pages counts distinct contents,
+    so copies of a page are one; low and high are the least and greatest hash of the slot's text on a page."""
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
         held: dict[tuple[str, str], list] = {}
+        contents = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = [(h, f, key_of(h, f), s, e[0], *e[1][s]) for (h, f), e in held.items() for s in range(len(e[1]))]
+            rows = [(h, f, key_of(h, f), s, 0, *e[1][s]) for (h, f), e in held.items() for s in range(len(e[1]))]
+            rows += [(None, None, key_of(h, f), -1, c, 0, 0, 0) for (h, f), e in held.items() if e[1] for c in e[0]]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (
                     pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names)
@@ -306,8 +309,9 @@ def _figures(pages: DataFrame) -> DataFrame:
         for block in by_bytes(batches, "html", BLOCK_BYTES):
             for url, page in zip(block.column("url").to_pylist(), block.column("html").to_pylist()):
                 form, blocks, count = read_page(page)
-                entry = held.setdefault((home_of(url, form), form), [0, [[0, 1 << 62, -1] for _ in range(count)]])
-                entry[0] += 1
+                entry = held.setdefault((home_of(url, form), form), [set(), [[0, 1 << 62, -1] for _ in range(count)]])
+                entry[0].add(xxh3_64_intdigest(json.dumps(blocks).encode()) >> 2)
+                contents += 1
                 texts: dict[int, list[str]] = {}
                 for s, t in blocks:
                     texts.setdefault(s, []).append(t)
@@ -317,13 +321,18 @@ def _figures(pages: DataFrame) -> DataFrame:
                     figure = entry[1][s]
                     figure[0] += len(text)
                     figure[1], figure[2] = min(figure[1], h), max(figure[2], h)
-            if len(held) > FLUSH_FORMS:
+            if len(held) > FLUSH_FORMS or contents > FLUSH_PAGES:
                 yield from flush()
+                contents = 0
         yield from flush()
 
-    names = ["host", "form", "form_key", "slot", "pages", "chars", "low", "high"]
-    return (pages.select("url", "html").mapInArrow(releasing(read), "host string, form string, form_key long, slot int, pages long, chars long, low long, high long")
-            .groupBy("host", "form", "form_key", "slot").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high")))
+    names = ["host", "form", "form_key", "slot", "content", "chars", "low", "high"]
+    sums = (F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # a row per slot (content 0) and a row per distinct content (slot -1)
+    found = stage_table(pages.select("url", "html").mapInArrow(releasing(read), "host string, form string, form_key long, slot int, content long, chars long, low long, high long")
+                        .groupBy("host", "form", "form_key", "slot", "content").agg(*sums), "html-contents")
+    counts = found.filter("slot < 0").groupBy("form_key").agg(F.count("*").alias("pages"))
+    return found.filter("slot >= 0").join(counts, "form_key").select("host", "form", "form_key", "slot", "pages", "chars", "low", "high")
 
 
 def merge_forms(forms: list[str]) -> str:
