@@ -263,6 +263,24 @@ def test_resharding(spark, odd, none, tmp_path):
     assert sorted(r[0] for r in back.select("doc_id").collect()) == sorted(r.doc_id for r in placed.collect() if r.shard in moved)
 
 
+def test_resharding_splits_one_group_a_cut(spark, monkeypatch):
+    monkeypatch.setattr(resharding, "CELL_ROWS", 4)
+    docs = [(1000 * k + i, f"copies of text {k}") for k in range(80) for i in range(4)] + [(90_000 + i, "the hot text") for i in range(60)]
+    found = resharding.reshard(spark.createDataFrame(docs, "doc_id long, text string"), lambda c: F.pmod(c, F.lit(4)),
+                               lambda t: resharding.even_capacities(t, 6)).collect()
+    assert len(found) == len(docs)
+    homes, shards = defaultdict(set), defaultdict(set)
+    for r in found:
+        homes[r.old_shard].add(r.shard)
+        shards[r.old_shard, r.text_crc32].add(r.shard)
+    for old, new in homes.items():
+        assert sum(len(s) - 1 for (o, _), s in shards.items() if o == old) <= len(new) - 1
+    slots = defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_language_id(spark, odd, none):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = common.fold_of(F.col("doc_id"), 3) == 1
