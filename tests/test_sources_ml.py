@@ -46,3 +46,17 @@ def test_artifacts_round_trip(spark, tmp_path):
     os.makedirs(tmp_path / "bad", exist_ok=True)
     with pytest.raises(Exception):
         ml.load_artifacts(spark, str(tmp_path / "bad"))
+
+
+def test_registered_gbt_trains_the_reference_rounds(spark, monkeypatch):
+    from tickframe.operators import ml
+    from tickframe.plans import stream_queries
+    seen, train = {}, ml.train_gbt
+
+    def short(*args, **overrides):
+        seen.update({**ml.REFERENCE_GBT, **overrides})
+        return train(*args, **{**overrides, "maxIter": 1})
+
+    monkeypatch.setattr(ml, "train_gbt", short)
+    assert stream_queries.q_train_gbt(spark, SF_SMALL).columns[-1] == "pred"
+    assert seen == ml.REFERENCE_GBT

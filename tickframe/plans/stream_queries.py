@@ -107,11 +107,11 @@ def q_stream_exits(spark, sf):
 @register("train_gbt", None)
 def q_train_gbt(spark, sf):
     """Chronological 80/20 split of the complete research rows, Spark ML GBT
-    with the reference hyper-parameters except fewer boosting rounds (20
-    instead of 650: each round is a Spark job), scored on the test rows."""
+    with the reference hyper-parameters (650 boosting rounds, each a few Spark
+    jobs), scored on the test rows."""
     df = ds.drop_incomplete(feat.enrich_research(bars_d(spark, sf)))
     split = ds.chrono_split(df).persist()
-    model = ml.train_gbt(split.filter(F.col("is_train") == 1), MODEL_FEATURES, "target", maxIter=20)
+    model = ml.train_gbt(split.filter(F.col("is_train") == 1), MODEL_FEATURES, "target")
     test = split.filter(F.col("is_train") == 0)
     scored = sg.signal_flag(sg.score(test, model), 0.49, out="pred")
     return scored.select(*K, F.col("target").cast("int"), "prob_buy", F.col("pred").cast("int"))
