@@ -39,12 +39,14 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds, F.lit(0)).cast("int")
 
 
-def stage_table(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def stage_table(df: DataFrame, label: str, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
     """Writes ``df`` below the shared checkpoint folder and reads it back: lineage is cut, and lost executors
     cost nothing that was finished."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tickframe-llm/{label}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    if compression:
+        writer = writer.option("compression", compression)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
