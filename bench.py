@@ -21,6 +21,8 @@ from tickframe.operators import dataset as ds  # noqa: E402
 from tickframe.operators import features as feat  # noqa: E402
 from tickframe.operators import signals as sg  # noqa: E402
 from tickframe.operators import trades as tr  # noqa: E402
+from tickframe.functions.windows import Parts  # noqa: E402
+from tickframe.operators.parts import ENRICH  # noqa: E402
 from tickframe.operators.upsert import upsert  # noqa: E402
 from tickframe.plans.data_queries import upsert_inputs  # noqa: E402
 from tickframe.plans.trading_queries import scored_latest, symbol_universe  # noqa: E402
@@ -76,14 +78,14 @@ def main():
         fn(spark, sf).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
     total = round(sum(times.values()), 3)
-    # cost of the skew-safe layout on the same (balanced) data, reported apart from the total
+    # cost of parts so short that every series has two or more, reported apart from the total
     t0 = time.time()
-    feat.enrich_research(bars_s(spark, sf), layout="blocked").write.format("noop").mode("overwrite").save()
-    blocked = round(time.time() - t0, 3)
+    feat.enrich_research(bars_s(spark, sf), parts=Parts(rows=300, back=ENRICH.back, fwd=ENRICH.fwd)).write.format("noop").mode("overwrite").save()
+    short = round(time.time() - t0, 3)
     print(json.dumps({"metric": "bars_s_workload_total", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""), "bars": n_bars,
                       "enrich_research_bars_per_sec": round(n_bars / times["enrich_research"], 1),
-                      "enrich_research_blocked_layout_sec": blocked,
+                      "enrich_research_short_parts_sec": short,
                       "local_cpus": int(cpus), "spark": spark.version}))
 
 

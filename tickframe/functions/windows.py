@@ -1,12 +1,14 @@
 """Per-series window specs and pandas-style rolling aggregates.
 
-A bar series is the rows of one ``symbol`` ordered by ``open_time``.
-``positioned`` numbers the rows once (``_i``, 0-based) and cuts them into
-blocks of ``BLOCK_ROWS`` (``_blk``).  Every later window of the library orders
-by ``(_blk, _i)`` -- the same order as ``open_time`` -- so per-series windows,
-per-block windows (``partitionBy(key, _blk)``) and block-range frames all
-need the same sort ``(key, _blk, _i)``: one exchange and two sorts for a
-whole chain of indicators instead of a re-sort at every spec change.
+A bar series is the rows of one ``symbol`` ordered by ``open_time``.  Its rows
+are numbered once (``_i``, 0-based) and cut into stretches of ``BLOCK_ROWS``
+(``_blk``); a frame is dealt in parts (``_part``): one part a series
+(``positioned``), or parts of a fixed number of rows with copies of their
+neighbours' rows (``operators.parts``).  Every window of the library is
+partitioned by ``(symbol, _part)`` and ordered by ``(_blk, _i)`` -- the same
+order as ``open_time`` -- so part windows, stretch windows
+(``partitionBy(key, _part, _blk)``) and stretch-range frames all need the same
+sort: one exchange and two sorts for a whole chain of indicators.
 """
 
 from __future__ import annotations
@@ -23,66 +25,69 @@ from tickframe.functions.expr import col_or
 KEY = "symbol"
 TIME = "open_time"
 POS = "_i"
+PART = "_part"
 BLK = "_blk"
-BLOCK_ROWS = 640  # default block; EWMs whose decay needs other blocks take multiples or fractions of it
+OWN = "_own"      # in a frame of parts: whether the row is the part's own
+BLOCK_ROWS = 640  # default stretch; EWMs whose decay needs others take multiples or fractions of it
 
 
 def positioned(df: DataFrame, key: str = KEY, order: str = TIME) -> DataFrame:
-    """Add ``_i`` (row number - 1 in ``order``) and ``_blk`` once per series."""
+    """Add ``_i`` (row number - 1 in ``order``), ``_blk`` and one ``_part`` per series; frames that have them pass."""
     if POS in df.columns:
         return df
     df = df.withColumn(POS, F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
-    return df.withColumn(BLK, F.floor(F.col(POS) / F.lit(BLOCK_ROWS)).cast("long"))
+    return df.withColumns({PART: F.lit(0).cast("long"), BLK: stretch()})
+
+
+def stretch(rows: int = BLOCK_ROWS) -> Column:
+    return F.floor(F.col(POS) / F.lit(rows)).cast("long")
 
 
 def unpositioned(df: DataFrame) -> DataFrame:
-    return df.drop(POS, BLK)
+    return df.drop(POS, BLK, PART)
 
 
 @dataclass(frozen=True)
-class Blocks:
-    """A layout of (key, block) partitions: rows per block and the rows copied from its neighbours."""
-    rows: int = BLOCK_ROWS
+class Parts:
+    """Rows of a part, and the rows copied into it from the part before and the part after."""
+    rows: int = 65_536
     back: int = 0
     fwd: int = 0
 
 
-#: The layout of the plan being built; a context variable, so threads building plans don't see each other's.
-_LAYOUT: ContextVar[Blocks | None] = ContextVar("tickframe_layout", default=None)
+#: The parts of the plan being built; a context variable, so threads building plans don't see each other's.
+_PARTS: ContextVar[Parts | None] = ContextVar("tickframe_parts", default=None)
 
 
 @contextmanager
-def blocked_layout(blocks: Blocks):
-    """Within this context series windows run per (key, block) on halo-extended
-    blocks (see ``operators.blocked``) instead of per key."""
-    token = _LAYOUT.set(blocks)
+def in_parts(parts: Parts):
+    """Within this context a window that looks past the rows copied into a part raises."""
+    token = _PARTS.set(parts)
     try:
-        yield blocks
+        yield parts
     finally:
-        _LAYOUT.reset(token)
+        _PARTS.reset(token)
 
 
-def current_blocks() -> Blocks | None:
-    return _LAYOUT.get()
+def current_parts() -> Parts | None:
+    return _PARTS.get()
 
 
 def _reach(back: int = 0, fwd: int = 0) -> None:
     """A window that looks past the copied neighbour rows would be cut short without notice."""
-    b = _LAYOUT.get()
-    if b is not None and (back > b.back or fwd > b.fwd):
-        raise ValueError(f"window needs {back} rows back and {fwd} ahead; the blocked frame has {b.back} and {b.fwd}")
+    p = _PARTS.get()
+    if p is not None and (back > p.back or fwd > p.fwd):
+        raise ValueError(f"window needs {back} rows back and {fwd} ahead; the parts hold {p.back} and {p.fwd}")
 
 
 def series(key: str = KEY, order: str = TIME) -> WindowSpec:
     """Series window; needs ``positioned`` columns (order is by position)."""
-    if _LAYOUT.get() is not None:
-        return Window.partitionBy(key, BLK).orderBy(POS)
-    return Window.partitionBy(key).orderBy(BLK, POS)
+    return Window.partitionBy(key, PART).orderBy(BLK, POS)
 
 
 def running(key: str = KEY, order: str = TIME) -> WindowSpec:
-    if _LAYOUT.get() is not None:
-        raise ValueError("a running window spans blocks")
+    if _PARTS.get() is not None:
+        raise ValueError("a running window spans parts")
     return series(key, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 

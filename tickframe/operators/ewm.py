@@ -9,12 +9,17 @@ the previous observation, ``w = 1 - alpha``; ``g = 1`` gives ``a = w``,
 
 Both unroll into ``y_k = sum_j b_j x_j exp(L_j - L_k)`` with ``L`` a running
 log-decay.  A running sum over the whole series would overflow, so rows are
-cut into blocks of ``B`` rows (``w**B < 1e-20`` for the slowest decay):
-inside a block a running ``sum`` over ``partitionBy(key, block)`` carries the
-terms relative to the block start, and the one previous block enters through
-a range frame ``rangeBetween(-1, -1)`` on the block number.  Older blocks
-weigh less than 1e-20 relative and are dropped.  All specs of one call share
-the same windows, so Catalyst puts them in the same Window operators.
+cut into stretches of ``B`` rows (``w**B < 1e-20`` for the slowest decay):
+inside a stretch a running ``sum`` carries the terms relative to its start,
+and the one previous stretch enters through a range frame
+``rangeBetween(-1, -1)`` on the stretch number.  Older ones weigh less than
+1e-20 relative and are dropped.  All specs of one call share the same windows,
+so Catalyst puts them in the same Window operators.
+
+The history of a part of a series (``operators.parts``) is three numbers a spec:
+value, log of the weight it has left, observations.  They stand on the row before
+the part's first own row as one weighted observation, from which the same
+recurrence goes on; no history is dropped at the edge of a part.
 """
 
 from __future__ import annotations
@@ -22,13 +27,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tickframe.functions.expr import col_or
-from tickframe.functions.windows import BLK, BLOCK_ROWS, KEY, POS, TIME, positioned
+from tickframe.functions.windows import BLK, BLOCK_ROWS, KEY, OWN, PART, POS, TIME, positioned, stretch
 
-_CARRY_LOG = math.log(1e20)  # older blocks weigh < 1e-20
+_CARRY_LOG = math.log(1e20)  # older stretches weigh < 1e-20
 _MAX_EXP = 600.0             # exp() is finite below ~709; the rest is room for the values
 
 
@@ -54,7 +57,7 @@ def alpha_from(span=None, com=None, alpha=None, halflife=None) -> float:
 @dataclass(frozen=True)
 class Ewm:
     """One EWM mean: ``out = ewm(src, alpha, adjust, min_periods).mean()``."""
-    src: str
+    src: str  # a column name
     out: str
     alpha: float
     adjust: bool
@@ -67,8 +70,8 @@ def ewm(src, out, *, span=None, com=None, alpha=None, halflife=None,
 
 
 def block_rows(alpha: float) -> int:
-    """Rows a block needs for ``alpha``: ``BLOCK_ROWS`` doubled until older blocks weigh < 1e-20, or halved
-    until the growth inside a block stays finite.  It depends on the parameter alone, never on the data."""
+    """Rows a stretch needs for ``alpha``: ``BLOCK_ROWS`` doubled until older ones weigh < 1e-20, or halved
+    until the growth inside one stays finite.  It depends on the parameter alone, never on the data."""
     lam = -math.log1p(-alpha) if alpha < 1 else 0.0
     rows = BLOCK_ROWS
     while 0 < rows * lam < _CARRY_LOG:
@@ -78,122 +81,147 @@ def block_rows(alpha: float) -> int:
     return rows
 
 
-def check_block(alphas, rows: int) -> None:
-    """A blocked frame has one block size for all its EWMs."""
-    lams = [-math.log1p(-a) for a in alphas if a < 1]
-    if lams and (rows * min(lams) < _CARRY_LOG or rows * max(lams) > _MAX_EXP):
-        raise ValueError(f"{rows}-row blocks don't serve alphas {sorted(alphas)}: cut the frame by "
-                         f"{sorted({block_rows(a) for a in alphas})} rows")
-
-
 def with_ewm(df: DataFrame, specs: list[Ewm], key: str = KEY, order: str = TIME,
              keep_helpers: bool = False) -> DataFrame:
     """Add one column per spec.  Input rows must be unique per (key, order).
-    Specs of one block size share one pass of windows over the same clustering."""
+    Specs of one stretch size share one pass of windows over the same clustering."""
     if not specs:
         return df
     base = list(df.columns)
-    df = positioned(df, key, order)
-    for rows in sorted({block_rows(s.alpha) for s in specs}):
-        df = _ewm_pass(df, [s for s in specs if block_rows(s.alpha) == rows], rows, key)
-    keep = base + ([POS, BLK] if keep_helpers or POS in base else []) + [s.out for s in specs]
+    df = ewm_passes(positioned(df, key, order), specs, key)
+    keep = base + ([POS, BLK, PART] if keep_helpers or POS in base else []) + [s.out for s in specs]
     return df.select(*dict.fromkeys(keep))
 
 
-def _ewm_pass(df: DataFrame, specs: list[Ewm], B: int, key: str) -> DataFrame:
+def seed_columns(s: Ewm) -> tuple[str, str, str]:
+    """Columns that hold, on the row before a part's first own row, the value, the log of the weight and the
+    number of observations that the part takes over; NULL on all other rows."""
+    return f"_sy_{s.out}", f"_sw_{s.out}", f"_sn_{s.out}"
+
+
+def state_columns(s: Ewm) -> list[str]:
+    """Columns of the state after a row: value, log weight, observations; then what a part that was computed
+    without a seed tells about its map: first observation (place, value) and log of the factor of that value."""
+    return [f"_t{c}_{s.out}" for c in ("y", "w", "n", "p", "x", "a")]
+
+
+def ewm_passes(df: DataFrame, specs: list[Ewm], key: str = KEY, seeded: bool = False, states: bool = False) -> DataFrame:
+    """The EWM columns (and ``state_columns``) of a frame with positions, a pass of windows per stretch size."""
+    for rows in sorted({block_rows(s.alpha) for s in specs}):
+        df = _ewm_pass(df, [s for s in specs if block_rows(s.alpha) == rows], rows, key, seeded, states)
+    return df
+
+
+def decay(s: Ewm) -> float:
+    return -math.log1p(-s.alpha) if s.alpha < 1 else 0.0
+
+
+def _ewm_pass(df: DataFrame, specs: list[Ewm], B: int, key: str, seeded: bool, states: bool) -> DataFrame:
+    """One pass of windows.  The expressions are SQL text: a plan of many series columns is built much faster."""
     base = list(df.columns)
     block = BLK
     if B != BLOCK_ROWS:
         block = "_ewm_blk"
-        df = df.withColumn(block, F.floor(F.col(POS) / F.lit(B)).cast("long"))
-    # one sort order (key, block, _i) serves all three specs
-    w = Window.partitionBy(key).orderBy(block, POS)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    wb = Window.partitionBy(key, block).orderBy(POS)
-    wb_run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wc = Window.partitionBy(key).orderBy(block).rangeBetween(-1, -1)
-    i, blk = F.col(POS), F.col(block)
-    offs = (i - blk * F.lit(B)).cast("double")          # row offset inside the block
-
-    # layer 1: previous observed position (adjust=False only needs it)
-    l1 = []
-    for n, s in enumerate(specs):
-        if not s.adjust:
-            x = col_or(s.src)
-            l1.append(F.last(F.when(x.isNotNull(), i), True).over(before).alias(f"_p{n}"))
-    df = df.select("*", *l1)
-
-    # layer 2: per-row step weight and running log-correction E (gaps only)
+        df = df.withColumn(block, stretch(B))
+    # one sort order (key, part, stretch, _i) serves all windows
+    part = f"PARTITION BY `{key}`, {PART}"
+    run = f"({part} ORDER BY {block}, {POS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = f"({part} ORDER BY {block}, {POS} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    run_b = f"({part}, {block} ORDER BY {POS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    all_b = f"({part}, {block} ORDER BY {POS} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    last_b = f"({part} ORDER BY {block} RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"
+    offs = f"CAST({POS} - {block} * {B} AS DOUBLE)"     # row offset inside the stretch
+    at = list(enumerate(specs))
+    recursive = [(n, s) for n, s in at if not s.adjust]
+    num = lambda v: f"{float(v)!r}D"
+
+    def layer(d: DataFrame, exprs: list[str]) -> DataFrame:
+        return d.selectExpr("*", *exprs) if exprs else d
+
+    # layer 0: the observations of a part are its own rows' and its seed (with the log weight it has left)
+    X = {n: f"`{s.src}`" for n, s in at}
+    W0 = {n: "0D" for n, s in at}
+    if OWN in base:
+        for n, s in at:
+            X[n] = f"CASE WHEN {OWN} THEN {X[n]} END"
+            if seeded:
+                sy, sw, _ = seed_columns(s)
+                X[n], W0[n] = f"coalesce({sy}, {X[n]})", f"coalesce({sw}, 0D)"
+        df = layer(df, [f"{X[n]} AS _x{n}" for n, _ in at])
+        X = {n: f"_x{n}" for n, _ in at}
+
+    # layer 1: previous observed position and the log weight it was left with (adjust=False only needs them)
+    l1 = [f"last(CASE WHEN {X[n]} IS NOT NULL THEN {POS} END, true) OVER {before} AS _p{n}" for n, s in recursive]
+    if seeded:
+        l1 += [f"last(CASE WHEN {X[n]} IS NOT NULL THEN {W0[n]} END, true) OVER {before} AS _q{n}" for n, s in recursive]
+    df = layer(df, l1)
+
+    # layer 2: per-row step weight and running log-correction E (gaps and seeds only)
     l2 = []
-    for n, s in enumerate(specs):
-        if s.adjust:
-            continue
-        x, a = col_or(s.src), s.alpha
-        g = i - F.col(f"_p{n}")
-        wg = F.pow(F.lit(1.0 - a), g.cast("double"))
-        step = F.when(x.isNotNull() & (g > 1), F.log(wg + F.lit(a))).otherwise(F.lit(0.0))
-        b = (F.when(F.col(f"_p{n}").isNull(), F.lit(1.0))
-              .when(g == 1, F.lit(a))
-              .otherwise(F.lit(a) / (wg + F.lit(a))))
-        l2 += [b.alias(f"_b{n}"), F.sum(step).over(run).alias(f"_E{n}")]
-    df = df.select("*", *l2)
-
-    # layer 3: block reference for E
-    l3 = [F.max(f"_E{n}").over(wb_all).alias(f"_Em{n}")
-          for n, s in enumerate(specs) if not s.adjust]
-    df = df.select("*", *l3)
+    for n, s in recursive:
+        a, g = num(s.alpha), f"({POS} - _p{n})"
+        left = f"coalesce(_q{n}, 0D)" if seeded else "0D"
+        wg = f"pow({num(1.0 - s.alpha)}, CAST({g} AS DOUBLE))" + (f" * exp({left})" if seeded else "")
+        even = f"({g} = 1" + (f" AND {left} = 0D)" if seeded else ")")
+        l2 += [f"CASE WHEN _p{n} IS NULL THEN 1D WHEN {even} THEN {a} ELSE {a} / ({wg} + {a}) END AS _b{n}",
+               f"sum(CASE WHEN {X[n]} IS NOT NULL AND NOT {even} THEN ln({wg} + {a}) - {left} ELSE 0D END) OVER {run} AS _E{n}"]
+    df = layer(df, l2)
+
+    # layer 3: stretch reference for E
+    df = layer(df, [f"max(_E{n}) OVER {all_b} AS _Em{n}" for n, s in recursive])
 
     # layer 4: scaled terms
+    rel = {n: f"({offs} * {num(decay(s))}" + (")" if s.adjust else f" + (_E{n} - _Em{n}))") for n, s in at}
     l4 = []
-    for n, s in enumerate(specs):
-        x, lam = col_or(s.src), -math.log1p(-s.alpha) if s.alpha < 1 else 0.0
+    for n, s in at:
         if s.adjust:
-            rel = offs * F.lit(lam)
-            l4 += [F.when(x.isNotNull(), x * F.exp(rel)).alias(f"_tn{n}"),
-                   F.when(x.isNotNull(), F.exp(rel)).alias(f"_td{n}")]
+            grown = f"exp({rel[n]} + {W0[n]})"
+            l4 += [f"{X[n]} * {grown} AS _tn{n}", f"CASE WHEN {X[n]} IS NOT NULL THEN {grown} END AS _td{n}"]
         else:
-            rel = offs * F.lit(lam) + (F.col(f"_E{n}") - F.col(f"_Em{n}"))
-            l4 += [F.when(x.isNotNull(), F.col(f"_b{n}") * x * F.exp(rel)).alias(f"_tn{n}")]
-    df = df.select("*", *l4)
+            l4.append(f"_b{n} * {X[n]} * exp({rel[n]}) AS _tn{n}")
+    df = layer(df, l4)
 
-    # layer 5: in-block running sums and the previous block's totals
+    # layer 5: running sums of the stretch and the previous stretch's totals
     l5 = []
-    for n, s in enumerate(specs):
-        l5 += [F.sum(f"_tn{n}").over(wb_run).alias(f"_sn{n}"),
-               F.sum(f"_tn{n}").over(wc).alias(f"_cn{n}")]
+    for n, s in at:
+        l5 += [f"sum(_tn{n}) OVER {run_b} AS _sn{n}", f"sum(_tn{n}) OVER {last_b} AS _cn{n}"]
         if s.adjust:
-            l5 += [F.sum(f"_td{n}").over(wb_run).alias(f"_sd{n}"),
-                   F.sum(f"_td{n}").over(wc).alias(f"_cd{n}")]
+            l5 += [f"sum(_td{n}) OVER {run_b} AS _sd{n}", f"sum(_td{n}) OVER {last_b} AS _cd{n}"]
         else:
-            l5 += [F.max(f"_E{n}").over(wc).alias(f"_Ep{n}")]
-    df = df.select("*", *l5)
+            l5.append(f"max(_E{n}) OVER {last_b} AS _Ep{n}")
+    df = layer(df, l5)
 
-    # layer 6: value at observed rows
+    # layer 6: value at observed rows, and the log of the weight it has there
     l6 = []
-    for n, s in enumerate(specs):
-        x, lam = col_or(s.src), -math.log1p(-s.alpha) if s.alpha < 1 else 0.0
-        if s.adjust:
-            rel = offs * F.lit(lam)
-            prev = rel + F.lit(B * lam)
-            num = F.exp(-rel) * F.col(f"_sn{n}") + F.exp(-prev) * F.coalesce(F.col(f"_cn{n}"), F.lit(0.0))
-            den = F.exp(-rel) * F.col(f"_sd{n}") + F.exp(-prev) * F.coalesce(F.col(f"_cd{n}"), F.lit(0.0))
-            y = num / den
-        else:
-            rel = offs * F.lit(lam) + (F.col(f"_E{n}") - F.col(f"_Em{n}"))
-            prev = (offs + F.lit(float(B))) * F.lit(lam) + (F.col(f"_E{n}") - F.col(f"_Ep{n}"))
-            y = (F.exp(-rel) * F.col(f"_sn{n}")
-                 + F.coalesce(F.exp(-prev) * F.col(f"_cn{n}"), F.lit(0.0)))
+    for n, s in at:
+        left = W0[n]
         if s.alpha >= 1:
-            y = x
-        l6.append(F.when(x.isNotNull(), y).alias(f"_y{n}"))
-    df = df.select("*", *l6)
+            y, left = X[n], "0D"
+        elif s.adjust:
+            prev = f"({rel[n]} + {num(B * decay(s))})"
+            over = lambda c, n=n, prev=prev: f"(exp(-{rel[n]}) * _s{c}{n} + exp(-{prev}) * coalesce(_c{c}{n}, 0D))"
+            y, left = f"{over('n')} / {over('d')}", f"ln({over('d')})"
+        else:
+            prev = f"(({offs} + {num(B)}) * {num(decay(s))} + (_E{n} - _Ep{n}))"
+            y = f"exp(-{rel[n]}) * _sn{n} + coalesce(exp(-{prev}) * _cn{n}, 0D)"
+        l6.append(f"CASE WHEN {X[n]} IS NOT NULL THEN {y} END AS _y{n}")
+        if states:
+            l6.append(f"CASE WHEN {X[n]} IS NOT NULL THEN {left} END AS _w{n}")
+    df = layer(df, l6)
 
     # layer 7: carry forward over NULL rows, apply min_periods
     outs = []
-    for n, s in enumerate(specs):
-        x = col_or(s.src)
-        v = F.last(f"_y{n}", True).over(run)
-        outs.append(F.when(F.count(x).over(run) >= max(s.min_periods, 1), v).alias(s.out))
-    return df.select(*base, *outs)
+    for n, s in at:
+        here = lambda c, n=n: f"CASE WHEN {X[n]} IS NOT NULL THEN {c} END"
+        v = f"last(_y{n}, true) OVER {run}"
+        seen = f"count({X[n]}) OVER {run}"
+        if seeded:
+            seen = f"coalesce(sum({here(f'coalesce({seed_columns(s)[2]}, 1)')}) OVER {run}, 0)"
+        outs.append(f"CASE WHEN {seen} >= {max(s.min_periods, 1)} THEN {v} END AS `{s.out}`")
+        if states:
+            last_at, first_at = f"last({here(POS)}, true) OVER {run}", f"first({here(POS)}, true) OVER {run}"
+            factor = "0D" if s.adjust else f"-(({last_at} - {first_at}) * {num(decay(s))} + _E{n})"
+            found = (v, f"last(_w{n}, true) OVER {run} - ({POS} - {last_at}) * {num(decay(s))}", seen, first_at,
+                     f"first({X[n]}, true) OVER {run}", factor)
+            outs += [f"{e} AS `{c}`" for e, c in zip(found, state_columns(s))]
+    return df.selectExpr(*[f"`{c}`" for c in base], *outs)

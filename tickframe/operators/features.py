@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.functions.expr import flag, ieee_div, inf_to_null
-from tickframe.functions.windows import KEY, diff, forward_max, positioned, rolling_mean
+from tickframe.functions.windows import KEY, Parts, diff, forward_max, positioned, rolling_mean
 from tickframe.operators import indicators as ind
+from tickframe.operators.parts import ENRICH, on_parts
 from tickframe.schemas import BAR_COLS, LIVE_FEATURES, RESEARCH_FEATURES
 
 MIN_HISTORY = 250  # fixed value: series shorter than this are not enriched
@@ -24,13 +25,13 @@ def forward_max_label(df: DataFrame, pct: float = 0.03, horizon: int = 5,
     return df.withColumn(out, flag(fh >= F.col("close") * F.lit(1.0 + pct)))
 
 
-def research_features(df: DataFrame, pct: float = 0.03, horizon: int = 5, prev_block: bool = False) -> DataFrame:
+def research_features(df: DataFrame, pct: float = 0.03, horizon: int = 5) -> DataFrame:
     """Context + strategy features + label of the research dialect.
     Needs rsi..atr and sma_200 present."""
     df = positioned(df)
     c = F.col("close")
     df = df.withColumn("dist_sma_200_pct", ieee_div(c - F.col("sma_200"), F.col("sma_200")) * F.lit(100.0))
-    df = ind.macd_cross_event(df, prev_block)
+    df = ind.macd_cross_event(df)
     df = ind.calendar(df)
     df = df.withColumn("bb_width", ieee_div(F.col("bb_upper") - F.col("bb_lower"), F.col("bb_mid")))
     df = df.withColumn("dist_sma_norm_by_atr", ieee_div(F.col("dist_sma_200_pct"), F.col("atr")))
@@ -64,70 +65,50 @@ def live_features(df: DataFrame) -> DataFrame:
 
 
 def min_history(df: DataFrame, n: int = MIN_HISTORY, key: str = KEY) -> DataFrame:
-    """Drop whole series with fewer than ``n`` bars.  A count window over the
-    already clustered series: no extra shuffle, and positions stay valid
-    because whole series are kept or dropped."""
-    from pyspark.sql import Window
-    cnt = F.count(F.lit(1)).over(Window.partitionBy(key))
-    return df.withColumn("_n", cnt).filter(F.col("_n") >= n).drop("_n")
+    """Drop whole series with fewer than ``n`` bars: bars are counted with partial sums, and a semi-join keeps
+    the long series."""
+    long = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= n).select(key)
+    return df.join(long, key, "left_semi")
 
 
 def _bars(df: DataFrame) -> DataFrame:
     return df.select("symbol", "open_time", *BAR_COLS)
 
 
-MAX_SERIES_ROWS = 5_000_000  # longest series one task may hold in the per-symbol layout
-
-
-def choose_layout(bars: DataFrame, layout: str = "auto", max_series_rows: int = MAX_SERIES_ROWS,
-                  key: str = KEY) -> str:
-    """``series`` (one task per symbol, fastest) unless a symbol is longer than
-    ``max_series_rows``; then ``blocked`` (no task holds a whole series).  The
-    check is one partial aggregate: bars per symbol, then their maximum."""
-    if layout != "auto":
-        return layout
-    longest = bars.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    return "blocked" if longest > max_series_rows else "series"
-
-
-def enrich_research(bars: DataFrame, min_bars: int = MIN_HISTORY, layout: str = "auto",
-                    max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def enrich_research(bars: DataFrame, min_bars: int | None = MIN_HISTORY, parts: Parts | None = ENRICH) -> DataFrame:
     """Full research enrichment: 250-bar rule, indicators, features, label."""
-    if choose_layout(bars, layout, max_series_rows) == "blocked":
-        from tickframe.operators.blocked import enrich_research_blocked
-        return enrich_research_blocked(bars, min_bars)
-    df = positioned(_bars(bars).repartition(KEY))
-    if min_bars:
-        df = min_history(df, min_bars)
-    df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="research")])
+    def compute(df):
+        df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="research")])
+        df = ind.stochastic(df)
+        df = ind.cmf(df)
+        df = ind.sma(df, 200)
+        df = ind.bollinger(df)
+        return research_features(df)
+    return on_parts(_bars(bars), compute, parts, min_bars).select("symbol", "open_time", *BAR_COLS, *RESEARCH_FEATURES)
+
+
+def live_columns(df: DataFrame, fill_flat: bool = True, initial: DataFrame | None = None, states: bool = False) -> DataFrame:
+    """Live indicators and features of a frame whose rows are numbered."""
+    df = ind.fused(df, live_indicators(), initial, states)
     df = ind.stochastic(df)
-    df = ind.cmf(df)
-    df = ind.sma(df, 200)
+    df = ind.cmf(df, fill_flat=fill_flat)
     df = ind.bollinger(df)
-    df = research_features(df)
-    return df.select("symbol", "open_time", *BAR_COLS, *RESEARCH_FEATURES)
+    return live_features(df)
 
 
-def enrich_live_all(bars: DataFrame, min_bars: int | None = MIN_HISTORY,
-                    fill_flat: bool = True, layout: str = "auto",
-                    max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def live_indicators() -> list[ind.Indicator]:
+    """The indicators with EWMs of the live dialect."""
+    return [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="live")]
+
+
+def enrich_live_all(bars: DataFrame, min_bars: int | None = MIN_HISTORY, fill_flat: bool = True,
+                    parts: Parts | None = ENRICH) -> DataFrame:
     """Live indicators and features on every bar (no NULL filter)."""
-    if choose_layout(bars, layout, max_series_rows) == "blocked":
-        from tickframe.operators.blocked import enrich_live_blocked
-        return enrich_live_blocked(bars, min_bars, fill_flat, drop_incomplete=False)
-    df = positioned(_bars(bars).repartition(KEY))
-    if min_bars:
-        df = min_history(df, min_bars)
-    df = ind.fused(df, [ind.rsi_ind(), ind.macd_ind(), ind.adx_ind(dialect="live")])
-    df = ind.stochastic(df)
-    df = ind.cmf(df, fill_flat=fill_flat)
-    df = ind.bollinger(df)
-    df = live_features(df)
-    return df.select("symbol", "open_time", *BAR_COLS, *LIVE_FEATURES)
+    return (on_parts(_bars(bars), lambda df: live_columns(df, fill_flat), parts, min_bars)
+            .select("symbol", "open_time", *BAR_COLS, *LIVE_FEATURES))
 
 
-def enrich_live(bars: DataFrame, min_bars: int | None = MIN_HISTORY,
-                fill_flat: bool = True, layout: str = "auto",
-                max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def enrich_live(bars: DataFrame, min_bars: int | None = MIN_HISTORY, fill_flat: bool = True,
+                parts: Parts | None = ENRICH) -> DataFrame:
     """Live enrichment: rows with any NULL are dropped (warm-up rows go)."""
-    return enrich_live_all(bars, min_bars, fill_flat, layout, max_series_rows).dropna("any")
+    return enrich_live_all(bars, min_bars, fill_flat, parts).dropna("any")

@@ -6,8 +6,8 @@ They disagree on ADX (sign of the down move, smoothing, epsilon, row-0 true
 range) and on several derived features; both are kept exactly, selected by a
 ``dialect`` argument, never mixed.
 
-Each function is DataFrame -> DataFrame and adds columns; all windows are
-``partitionBy(symbol).orderBy(open_time)`` so one hash exchange serves all.
+Each function is DataFrame -> DataFrame and adds columns; all windows share one
+partitioning and order (``functions.windows``), so one hash exchange serves all.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.expr import flag, ieee_div
 from tickframe.functions.windows import (
-    current_blocks, diff, lag, positioned, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum,
+    OWN, current_parts, diff, lag, positioned, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum,
 )
 from tickframe.operators.ewm import ewm, with_ewm
+from tickframe.operators.parts import staged_ewms
 
 DIALECTS = ("research", "live")
 EPS = 1e-10  # fixed value: the research ADX adds it to both divisors
@@ -44,25 +45,26 @@ class Indicator:
         self.temp = list(temp)
 
 
-def fused(df: DataFrame, indicators: list[Indicator]) -> DataFrame:
-    blocks = current_blocks()
-    if blocks is not None:
-        from functools import partial
+def fused(df: DataFrame, indicators: list[Indicator], initial: DataFrame | None = None, states: bool = False) -> DataFrame:
+    """All indicators in two EWM stages, on a frame of parts (there with ``initial`` seeds and EWM ``states`` as
+    in ``parts.staged_ewms``) or on whole series."""
+    def prepare(d):
+        for x in indicators:
+            d = x.prep(d) if x.prep else d
+        return d
 
-        from tickframe.operators.blocked import cut_lineage as cut
-        from tickframe.operators.blocked import with_ewm_blocked
-        run_ewm = partial(with_ewm_blocked, blocks=blocks)
+    def middle(d):
+        for x in indicators:
+            d = x.mid(d) if x.mid else d
+        return d
+
+    stages = [(prepare, [e for x in indicators for e in x.stage1]), (middle, [e for x in indicators for e in x.stage2])]
+    if OWN in df.columns:
+        df = staged_ewms(df, stages, current_parts(), initial=initial, states=states)
     else:
         df = positioned(df)
-        run_ewm, cut = with_ewm, (lambda d: d)
-    for x in indicators:
-        if x.prep:
-            df = x.prep(df)
-    df = cut(run_ewm(df, [e for x in indicators for e in x.stage1]))
-    for x in indicators:
-        if x.mid:
-            df = x.mid(df)
-    df = cut(run_ewm(df, [e for x in indicators for e in x.stage2]))
+        for before, specs in stages:
+            df = with_ewm(before(df), specs)
     for x in indicators:
         if x.post:
             df = x.post(df)
@@ -200,18 +202,11 @@ def sma(df: DataFrame, n: int = 200, src: str = "close", out: str | None = None)
     return positioned(df).withColumn(out or f"sma_{n}", rolling_mean(src, n))
 
 
-def macd_cross_event(df: DataFrame, prev_block: bool = False) -> DataFrame:
-    """+1 on a strict upward cross of MACD over its signal, -1 downward, else 0.
-    ``prev_block``: blocked layout, where the row before a block's first row is
-    taken from the previous block's last row (``_pb_*`` columns)."""
+def macd_cross_event(df: DataFrame) -> DataFrame:
+    """+1 on a strict upward cross of MACD over its signal, -1 downward, else 0."""
     df = positioned(df)
     m, s = F.col("macd"), F.col("macd_signal")
     pm, ps = lag("macd"), lag("macd_signal")
-    if prev_block:
-        from tickframe.functions.windows import BLK, POS
-        first = F.col(POS) == F.col(BLK) * F.lit(current_blocks().rows)
-        pm = F.when(first, F.col("_pb_macd")).otherwise(pm)
-        ps = F.when(first, F.col("_pb_macd_signal")).otherwise(ps)
     bull = F.coalesce((m > s) & (pm < ps), F.lit(False))
     bear = F.coalesce((m < s) & (pm > ps), F.lit(False))
     return df.withColumn("macd_cross", F.when(bear, F.lit(-1)).when(bull, F.lit(1)).otherwise(F.lit(0)).cast("int"))

@@ -121,7 +121,7 @@ def trade_ledger(flags: DataFrame, stop: float = STOP_PCT, fee: float = FEE, key
     a longer one runs as bounded symbol-month groups chained by summaries
     (``ledger_chunks``), so no group grows with the data.
     """
-    from tickframe.operators.blocked import cut_lineage
+    from tickframe.session import cut_lineage
     from tickframe.operators.ledger_chunks import ledger_trades
     # the narrow flags are read by two branches (short / long segments): write them
     # once to the shared checkpoint folder so the upstream (enrichment, scoring) runs once

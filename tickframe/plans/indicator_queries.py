@@ -8,6 +8,7 @@ from tickframe.functions import windows as wf
 from tickframe.operators import features as feat
 from tickframe.operators import indicators as ind
 from tickframe.operators.ewm import ewm, with_ewm
+from tickframe.operators.parts import ENRICH, with_ewm_parts
 from tickframe.plans.catalog import DIGITS, finish, finish_sql, register
 from tickframe.plans.oracle_enrich import live_sql, research_sql
 from tickframe.plans.sqlkit import W, ewm_recursive, full, lag, rnd
@@ -16,6 +17,7 @@ from tickframe.sources.fixtures import BARS_D_SQL, BARS_H_SQL, bars_d, bars_h
 
 K = ["symbol", "open_time"]
 D4, D6 = DIGITS["bars_d"], DIGITS["bars_h"]
+SHORT_PARTS = wf.Parts(rows=300, back=ENRICH.back, fwd=ENRICH.fwd)
 
 
 def _research_q(name, cols, fixture="bars_d", min_bars=0):
@@ -40,13 +42,13 @@ def q_enrich_research(spark, sf):
 
 @register("enrich_research_blocked", _research_q(None, BAR_COLS + RESEARCH_FEATURES, min_bars=250))
 def q_enrich_research_blocked(spark, sf):
-    """The flagship in the skew-safe layout (forced; auto picks it for long series)."""
-    return finish(feat.enrich_research(bars_d(spark, sf), layout="blocked"), D4)
+    """The flagship in parts so short that every series has several: seeds and copies are at work."""
+    return finish(feat.enrich_research(bars_d(spark, sf), parts=SHORT_PARTS), D4)
 
 
 @register("enrich_live_blocked", _live_q(LIVE_FEATURES, min_bars=0))
 def q_enrich_live_blocked(spark, sf):
-    return finish(feat.enrich_live_all(bars_d(spark, sf), min_bars=0, layout="blocked"), D4).select(*K, *LIVE_FEATURES)
+    return finish(feat.enrich_live_all(bars_d(spark, sf), min_bars=0, parts=SHORT_PARTS), D4).select(*K, *LIVE_FEATURES)
 
 
 # ---- rolling and lag ------------------------------------------------------

@@ -65,7 +65,7 @@ _BASE = live_sql(_LAST300, 250) + (
 def market(spark, sf):
     """(latest complete scored row with roc, latest raw bar) per symbol."""
     b = bars_s(spark, sf)
-    comp = feat.enrich_live(ds.last_n_bars(b, 300))
+    comp = feat.enrich_live(ds.last_n_bars(b, 300), parts=None)
     latest = sg.score(ds.latest_bar(po.rocket_roc(comp)), stub_probability)
     return latest, ds.latest_bar(b)
 
@@ -151,7 +151,7 @@ _ROC_SQL = (live_sql(_LAST300, 250) + f", comp AS (SELECT * FROM enl WHERE {NN_L
 
 @register("rocket_roc", finish_sql(_ROC_SQL, "rocs", K + ["roc"], D))
 def q_rocket_roc(spark, sf):
-    comp = feat.enrich_live(ds.last_n_bars(bars_s(spark, sf), 300))
+    comp = feat.enrich_live(ds.last_n_bars(bars_s(spark, sf), 300), parts=None)
     return finish(po.rocket_roc(comp).select(*K, "roc"), D)
 
 

@@ -16,12 +16,14 @@ from tickframe.operators import signals as sg
 from tickframe.plans import position_queries as pq
 from tickframe.plans.catalog import DIGITS, finish, finish_sql, register
 from tickframe.plans.source_queries import kline_payloads
+from tickframe.plans.oracle_enrich import live_sql
 from tickframe.plans.sqlkit import rnd
 from tickframe.plans.stub import STUB_SQL, stub_probability
-from tickframe.schemas import BAR_COLS, MODEL_FEATURES
+from tickframe.schemas import BAR_COLS, LIVE_FEATURES, MODEL_FEATURES
 from tickframe.session import checkpoint_dir
 from tickframe.sources.fixtures import BARS_H_SQL, bars_d, bars_h
 from tickframe.streaming import bars as st
+from tickframe.streaming.store import BarStore
 
 K = ["symbol", "open_time"]
 D6 = DIGITS["bars_h"]
@@ -31,14 +33,20 @@ def _scratch(spark, name):
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def _land_payloads(spark, sf, landing):
-    """Four landed pages: days up to 2024-01-20 without the first week, days from
-    2024-01-15 (re-sent overlap), one re-sent day, and the first week as a back-fill, last."""
+def _day(text):
+    return F.lit(text).cast("date")
+
+
+#: Landed pages: days up to 2024-01-20 without the first week, days from 2024-01-15 on (re-sent overlap), one re-sent
+#: day, and the first week as a back-fill.
+PAGES = [lambda d: (d > _day("2024-01-07")) & (d <= _day("2024-01-20")), lambda d: d >= _day("2024-01-15"),
+         lambda d: d == _day("2024-01-18"), lambda d: d <= _day("2024-01-07")]
+
+
+def _land_payloads(spark, sf, landing, pages):
     p = kline_payloads(spark, sf).filter(F.col("d").isNotNull())
-    day = lambda text: F.lit(text).cast("date")
-    for page in ((F.col("d") > day("2024-01-07")) & (F.col("d") <= day("2024-01-20")), F.col("d") >= day("2024-01-15"),
-                 F.col("d") == day("2024-01-18"), F.col("d") <= day("2024-01-07")):
-        p.filter(page).select("symbol", "payload").write.mode("append").json(landing)
+    for page in pages:
+        p.filter(page(F.col("d"))).select("symbol", "payload").write.mode("append").json(landing)
 
 
 _BARS_H_OUT = (f"WITH bars AS ({BARS_H_SQL}) SELECT symbol, open_time, "
@@ -47,26 +55,32 @@ _BARS_H_OUT = (f"WITH bars AS ({BARS_H_SQL}) SELECT symbol, open_time, "
 
 @register("stream_dedup", _BARS_H_OUT)
 def q_stream_dedup(spark, sf):
-    landing = _scratch(spark, "landing")
-    _land_payloads(spark, sf, landing)
-    out = st.stream_dedup(spark, landing, _scratch(spark, "dedup"))
-    return finish(out.select(*K, *BAR_COLS), D6)
+    """Two runs over the landed pages; the back-fill of the second is older than the keyed state."""
+    landing, out = _scratch(spark, "landing"), _scratch(spark, "dedup")
+    _land_payloads(spark, sf, landing, PAGES[:3])
+    st.stream_dedup(spark, landing, out, keep_days=2)
+    _land_payloads(spark, sf, landing, PAGES[2:])
+    return finish(st.stream_dedup(spark, landing, out, keep_days=2).select(*K, *BAR_COLS), D6)
 
 
-@register("stream_upsert", _BARS_H_OUT)
+@register("stream_upsert", finish_sql(live_sql(BARS_H_SQL, 0), "enl", K + BAR_COLS + LIVE_FEATURES, D6, kinds={"volume_spike": "int"}))
 def q_stream_upsert(spark, sf):
+    """Pages land in two runs, the second a back-fill of the first week; the stored, enriched table is read again."""
     landing = _scratch(spark, "landing")
-    _land_payloads(spark, sf, landing)
-    existing = bars_h(spark, sf).filter(F.col("open_time") < F.lit("2024-01-18").cast("timestamp_ntz"))
-    out = st.stream_upsert(spark, existing, landing, _scratch(spark, "staging"))
-    return finish(out.select(*K, *BAR_COLS), D6)
+    store = BarStore(spark, _scratch(spark, "store"), period="week", slices=4)
+    store.update(bars_h(spark, sf).filter((F.col("open_time") >= F.lit("2024-01-08").cast("timestamp_ntz"))
+                                          & (F.col("open_time") < F.lit("2024-01-18").cast("timestamp_ntz"))))
+    for pages in (PAGES[1:3], [PAGES[0], PAGES[3]]):
+        _land_payloads(spark, sf, landing, pages)
+        st.stream_update(spark, landing, store)
+    return finish(store.read(), D6)
 
 
 # ---- streaming position monitor ---------------------------------------------
 
 def exit_feed(spark, sf):
     """Scored complete bars of held symbols after their purchase bar."""
-    comp = feat.enrich_live(ds.last_n_bars(pq.bars_s(spark, sf), 300))
+    comp = feat.enrich_live(ds.last_n_bars(pq.bars_s(spark, sf), 300), parts=None)
     scored = sg.score(po.rocket_roc(comp), stub_probability)
     pos = pq.positions(spark, sf)
     feed = scored.join(pos, "symbol").filter(F.col("open_time") > F.col("buy_time"))

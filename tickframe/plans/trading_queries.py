@@ -70,7 +70,7 @@ def symbol_universe(spark, sf):
 
 
 def scored_latest(spark, sf):
-    df = feat.enrich_live(ds.last_n_bars(bars_s(spark, sf), 300))
+    df = feat.enrich_live(ds.last_n_bars(bars_s(spark, sf), 300), parts=None)
     return sg.score(ds.latest_bar(df), stub_probability)
 
 
@@ -313,6 +313,6 @@ _EQ = (", cl2 AS (SELECT symbol, exit_time, exp(sum(ln(" + _MULT + ")) OVER (PAR
 
 @register("equity_drawdown", finish_sql(LEDGER_SQL + _EQ, "dd", ["symbol", "final_equity", "max_drawdown"], D))
 def q_equity_drawdown(spark, sf):
-    from tickframe.operators.blocked import cut_lineage
+    from tickframe.session import cut_lineage
     fl = cut_lineage(flags(spark, sf))      # read by the ledger and by the curve: compute once
     return finish(tr.equity_drawdown(tr.equity_curve(fl, tr.trade_ledger(fl))), D)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Configs the library's semantics depend on (UTC wall time for timestamp_ntz
 # round trips) or that every job wants (AQE re-plans shuffles at run time).
@@ -52,6 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder; the partitioning is kept."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with its file system and absolute folder, whatever the working directory."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

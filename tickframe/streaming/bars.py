@@ -45,12 +45,7 @@ def stage_bars(spark: SparkSession, landing: str, staging: str, ckpt: str | None
     file's modification time, its name and the place in the payload.  Nothing
     is dropped, however late it lands, and no state is kept."""
     ckpt = ckpt or default_checkpoint(spark, "stage-bars", staging)
-    reader = spark.readStream.schema(LANDING)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    src = reader.json(landing).select("symbol", "payload", F.col("_metadata.file_modification_time").alias("landed"),
-                                      F.col("_metadata.file_name").alias("landed_file"))
-    _run(parse_klines(src, keep=("landed", "landed_file")), staging, ckpt)
+    _run(_landed(spark, landing, files_per_trigger), staging, ckpt)
     return spark.read.parquet(staging)
 
 
@@ -68,15 +63,103 @@ def newest_cells(staged: DataFrame) -> DataFrame:
     return staged.groupBy("symbol", "open_time").agg(*newest)
 
 
-def stream_dedup(spark: SparkSession, landing: str, out: str, ckpt: str | None = None) -> DataFrame:
-    """Re-sent bars are dropped: the first arrival per (symbol, open_time) stays, whatever lands later."""
-    return first_arrival(stage_bars(spark, landing, out, ckpt))
+BAR_FIELDS = [f"{c} double" for c in ("open", "high", "low", "close", "volume")]
+ARRIVED = "symbol string, open_time timestamp_ntz, " + ", ".join(BAR_FIELDS) + ", period date, late boolean"
+SEEN = "newest long, seen array<long>"
+
+
+def _first_seen(keep_days: int):
+    """Passes the first arrival of each bar time; the state of a symbol is its newest time and the times seen
+    within ``keep_days`` before it.  Bars older than that can't be judged by the state and are marked ``late``."""
+    import numpy as np
+    import pandas as pd
+    keep = np.timedelta64(keep_days, "D")
+
+    def fn(key, pdfs, state):
+        newest, seen = state.get if state.exists else (None, [])
+        bars = pd.concat(list(pdfs), ignore_index=True).sort_values(ARRIVAL, kind="stable").drop_duplicates("open_time")
+        times = bars["open_time"].to_numpy().astype("datetime64[us]")
+        known = np.array(seen, np.int64).astype("datetime64[us]")
+        late = np.zeros(len(bars), bool) if newest is None else times < np.int64(newest).astype("datetime64[us]") - keep
+        new = late | ~np.isin(times, known)
+        top = times.max() if newest is None else max(times.max(), np.int64(newest).astype("datetime64[us]"))
+        held = np.union1d(known, times[~late])
+        state.update((int(top.astype(np.int64)), held[held >= top - keep].astype(np.int64).tolist()))
+        yield bars.assign(late=late)[new][["symbol", "open_time", "open", "high", "low", "close", "volume", "period", "late"]]
+    return fn
+
+
+def _landed(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The stream of landed bars with their arrival order."""
+    reader = spark.readStream.schema(LANDING)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = reader.json(landing).select("symbol", "payload", F.col("_metadata.file_modification_time").alias("landed"),
+                                      F.col("_metadata.file_name").alias("landed_file"))
+    return parse_klines(src, keep=("landed", "landed_file"))
+
+
+def _for_each_batch(df: DataFrame, fn, ckpt: str, mode: str = "append") -> None:
+    q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def stream_dedup(spark: SparkSession, landing: str, out: str, ckpt: str | None = None, keep_days: int = 7,
+                 files_per_trigger: int | None = None) -> DataFrame:
+    """Re-sent bars are dropped: the first arrival per (symbol, open_time) stays, whatever lands later.
+
+    A keyed state with the bar times of the last ``keep_days`` of each symbol judges what arrives in time; it
+    expires with the symbol's newest bar, so it is bounded by the symbols.  A bar that is older is
+    looked up in the stored bars of its month, which alone are read; nothing is dropped unseen, and stored bars
+    are never aggregated again.  A micro-batch writes one folder, which its repetition overwrites."""
+    ckpt = ckpt or default_checkpoint(spark, "dedup", out)
+    arrived = _landed(spark, landing, files_per_trigger).select(
+        "symbol", "open_time", "open", "high", "low", "close", "volume",
+        F.to_date(F.date_trunc("month", "open_time")).alias("period"), *ARRIVAL)
+    judged = arrived.groupBy("symbol").applyInPandasWithState(_first_seen(keep_days), ARRIVED, SEEN, "append", "NoTimeout")
+    _for_each_batch(judged, lambda df, batch: _keep_first(df, batch, out), ckpt)
+    return first_bars(spark, out)
+
+
+def first_bars(spark: SparkSession, out: str) -> DataFrame:
+    """The bars that ``stream_dedup`` has stored at ``out``."""
+    return spark.read.schema(f"{ARRIVED}, batch long").parquet(f"{out}/bars")
+
+
+def _keep_first(df: DataFrame, batch: int, out: str) -> None:
+    spark = df.sparkSession
+    held = f"{out}/arrived/batch={batch}"
+    df.write.mode("overwrite").parquet(held)      # the state operator runs once a batch
+    rows = spark.read.schema(ARRIVED).parquet(held)
+    late = rows.filter("late")
+    months = [r["period"] for r in late.select("period").distinct().collect()]   # at most the months of history
+    if months and batch > 0:
+        stored = first_bars(spark, out).filter((F.col("batch") < batch) & F.col("period").isin(months)).select("symbol", "open_time", "period")
+        late = late.join(stored, ["symbol", "open_time", "period"], "left_anti").select(rows.columns)
+    rows.filter(~F.col("late")).unionByName(late).write.mode("overwrite").partitionBy("period").parquet(f"{out}/bars/batch={batch}")
+
+
+def stream_update(spark: SparkSession, landing: str, store, ckpt: str | None = None,
+                  files_per_trigger: int | None = None) -> None:
+    """Incremental update of a ``store.BarStore`` with the landed bars that are not in it yet.
+
+    A micro-batch reads its own files only; its newest non-NULL cells are merged into the store, which recomputes
+    the features of the bars concerned.  The store remembers the last batch of this stream (named after its
+    checkpoint), so a repeated batch is not applied again."""
+    ckpt = ckpt or default_checkpoint(spark, "update-bars", store.path)
+
+    def apply(df: DataFrame, batch: int) -> None:
+        store.update(newest_cells(df.select("symbol", "open_time", *ARRIVAL, "open", "high", "low", "close", "volume")), ckpt, batch)
+
+    _for_each_batch(_landed(spark, landing, files_per_trigger), apply, ckpt)
 
 
 def stream_upsert(spark: SparkSession, existing: DataFrame, landing: str, staging: str,
                   ckpt: str | None = None) -> DataFrame:
-    """Incremental bar update: stage all landed bars with a streaming job, then
-    upsert the newest non-NULL cells into the existing table."""
+    """Update of a frame that has no store: stage all landed bars with a streaming job, then upsert the newest
+    non-NULL cells into the existing rows."""
     from tickframe.operators.upsert import upsert
     new = newest_cells(stage_bars(spark, landing, staging, ckpt))
     return upsert(existing, new.select("symbol", "open_time", "open", "high", "low", "close", "volume"))
