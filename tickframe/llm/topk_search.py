@@ -33,6 +33,10 @@ HIGH_COSINE = 0.6
 SLACK = 1e-9
 
 
+#: Sums of products up to here are exact in doubles.
+EXACT = 2.0 ** 53
+
+
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """(vec_id, vec, norm) of the vectors that take part: ``floor(scale * x)`` of every component."""
     x = F.col(vector_col)
@@ -102,10 +106,13 @@ def top_k(rows: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "e
     """(query_id, rank, vec_id, score) for the rows where ``queries`` (a condition on ``vec_id``) holds."""
     base = stage_table(integer_vectors(rows, id_col, vector_col), "topk-vectors")
     spark = rows.sparkSession
-    total, width, cuts = base.agg(F.count("*"), F.max(F.size("vec")), F.percentile_approx("norm", [i / NORM_RANGES for i in range(1, NORM_RANGES)], 10_000)).first()
+    total, width, longest_vector, cuts = base.agg(F.count("*"), F.max(F.size("vec")), F.max("norm"), F.percentile_approx(
+        "norm", [i / NORM_RANGES for i in range(1, NORM_RANGES)], 10_000)).first()
     result = "query_id long, rank int, vec_id long, score long"
     if not total:
         return spark.createDataFrame([], result)
+    if longest_vector * longest_vector > EXACT:
+        raise ValueError("inner products of these vectors are too large to be exact")
     width = max(width, 1)
     ranges = min(NORM_RANGES, -(-total // bucket_rows))
     cuts = sorted({cuts[i * NORM_RANGES // ranges - 1] for i in range(1, ranges)})
@@ -124,7 +131,7 @@ def top_k(rows: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "e
     asked = base.filter(queries)
     parts = max(1, -(-asked.count() // query_rows))
     asked = stage_table(asked.mapInArrow(releasing(bound), "vec_id long, vec array<double>, norm double, bound double")
-                        .select(F.col("vec_id").alias("query_id"), "vec", "norm", "bound", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")), "topk-queries")
+                        .select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), "vec", "norm", "bound", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")), "topk-queries")
     band = F.lit(0)
     for c in cuts:
         band = band + (F.col("norm") > c).cast("int")
@@ -136,18 +143,19 @@ def top_k(rows: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "e
              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select("band", "salt", "part", "vec_id", "vec"))
     reached = F.filter(F.sequence(F.lit(0), F.lit(len(cuts))), lambda b: F.col("bound") <= F.col("norm") * F.get(longest, b) * (1 + SLACK) + SLACK)
     met = (asked.withColumn("band", F.explode(reached)).withColumn("salts", F.get(salts, F.col("band"))).filter("salts > 0")
-           .withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).select("band", "salt", "part", "query_id", "vec", "bound"))
+           .withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).select("band", "salt", "part", "query", "query_id", "vec", "bound"))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [] if not left.num_rows or not right.num_rows else list(search_bucket(
             _matrix(right.column("vec"), width), right.column("query_id").to_numpy(), right.column("bound").to_numpy(),
             _matrix(left.column("vec"), width), left.column("vec_id").to_numpy(), k))
-        own = right.column("query_id").to_numpy()
-        return pa.table({"query_id": np.concatenate([np.full(len(i), own[q], np.int64) for q, i, _ in found] or [np.empty(0, np.int64)]),
+        own, query = right.column("query_id").to_numpy(), right.column("query").to_numpy()
+        return pa.table({"query": np.concatenate([np.full(len(i), query[q], np.int64) for q, i, _ in found] or [np.empty(0, np.int64)]),
+                         "query_id": np.concatenate([np.full(len(i), own[q], np.int64) for q, i, _ in found] or [np.empty(0, np.int64)]),
                          "vec_id": np.concatenate([i for _, i, _ in found] or [np.empty(0, np.int64)]).astype(np.int64),
                          "score": np.concatenate([s for _, _, s in found] or [np.empty(0)]).astype(np.int64)})
 
     keys = ["band", "salt", "part"]
-    hits = dealt.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = dealt.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInArrow(search, "query long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
