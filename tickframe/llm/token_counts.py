@@ -34,7 +34,10 @@ MARKS = ".,;:!?"
 _SPACES = r" \n\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: RE2: two spaces in a row, white space at either end or other than space and line feed.
 _ODD_SPACE = rf"[ \n][ \n]|^[ \n]|[ \n]$|[{_SPACES[3:]}]"
-_MARKED = rf"\p{{L}}[{MARKS}]$"
+#: Letters whose normal form ends in a letter: the mark behind them is a token of its own.  Others (U+0130 in lower
+#: case, letters that are decomposed) may end in a combining mark, which joins the mark behind it.
+_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]"
+_MARKED = rf"{_LETTER}[{MARKS}]$"
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -62,7 +65,7 @@ class PieceMemory:
     """Token ids of pieces of text; each distinct piece of a block is encoded once.
 
     Pieces without inner white space are encoded many at a time, joined by ``separator``, whose one token ends
-    what belongs to a piece; all others alone.  A final mark after a letter is a token of its own, so a marked
+    what belongs to a piece; all others alone.  A final mark after a Latin letter is a token of its own, so a marked
     piece is put together from its stem and the mark.  At most about ``KEPT_PIECES`` pieces, or those of one
     block, are remembered."""
 
@@ -140,8 +143,11 @@ class PieceMemory:
             at += len(batch)
             found = np.array(self.tokenizer.encode_batch_fast([self.separator.join(batch)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(found == self.divider)
-            if len(ends) != len(batch) - 1:
-                raise ValueError("the separator is part of a token")
+            if len(ends) != len(batch) - 1:  # the separator became part of a token
+                alone = [self._alone(piece) for piece in batch]
+                sizes.append(np.array([len(a) for a in alone], np.int64))
+                ids.append(np.array([i for a in alone for i in a], np.uint32))
+                continue
             sizes.append(np.diff(np.r_[-1, ends, len(found)]) - 1)
             ids.append(found[found != self.divider])
         return np.concatenate(sizes), np.concatenate(ids)
