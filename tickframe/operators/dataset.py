@@ -4,8 +4,9 @@ chronological split, latest rows, de-duplication, universe checks."""
 from __future__ import annotations
 
 import datetime as dt
+import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.windows import KEY, TIME
@@ -65,36 +66,69 @@ def date_range(df: DataFrame, start=None, end=None, time: str = TIME) -> DataFra
 def chrono_split(df: DataFrame, train_frac: float = 0.8, time: str = TIME, key: str = KEY,
                  out: str = "is_train") -> DataFrame:
     """Mark the first floor(frac * n) rows of the global (time, key) order, unique per (time, key); rows
-    without a time are 0.
-
-    The boundary row is found in steps on ever smaller tables: counts per day, then per timestamp of the
-    boundary day, then the keys of the boundary timestamp.  It enters the one comparison that marks the rows
-    as a scalar subquery: nothing is read by the driver.
-    """
-    stamp, n = F.col(time), F.col("_n")
-    per_time = df.filter(stamp.isNotNull()).groupBy(time).agg(F.count(F.lit(1)).alias("_n"))
-    days = per_time.groupBy(F.to_date(stamp).alias("_day")).agg(F.sum("_n").alias("_n"))
-    days = days.select("_day", n, F.sum("_n").over(_to_here("_day")).alias("_cum"),
-                       F.floor(F.sum("_n").over(Window.partitionBy()) * F.lit(float(train_frac))).alias("_cut"))
-
-    def boundary(counts: DataFrame, col: str) -> DataFrame:
-        """The row in which the running count reaches the cut, with what is left of the cut there: one row or none."""
-        before = F.col("_cum") - n
-        return counts.filter((F.col("_cum") >= F.col("_cut")) & (before < F.col("_cut"))).select(
-            col, (F.col("_cut") - before).alias("_cut"))
-
-    day = per_time.withColumn("_day", F.to_date(stamp)).join(F.broadcast(boundary(days, "_day")), "_day")
-    times = day.select(time, n, "_cut", F.sum("_n").over(_to_here(time)).alias("_cum"))
-    at = df.select(time, key).join(F.broadcast(boundary(times, time)), time)
-    last = at.withColumn("_rank", F.row_number().over(Window.partitionBy(time).orderBy(key))).filter(F.col("_rank") == F.col("_cut"))
-    b = last.select(F.struct(stamp.alias("time"), F.col(key).alias("key"))).scalar()
-    marked = df.withColumn("_b", b)
-    train = (stamp < F.col("_b.time")) | ((stamp == F.col("_b.time")) & (F.col(key) <= F.col("_b.key")))
-    return marked.withColumn(out, F.coalesce(train, F.lit(False)).cast("int")).drop("_b")
-
-
-def _to_here(order: str):
-    return Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    without a time are 0.  The boundary row is an ``order_statistic``."""
+    timed = df.filter(F.col(time).isNotNull()).select(time, key)
+    n = timed.count()
+    last = order_statistic(timed, time, key, math.floor(n * train_frac))
+    if last is None:
+        return df.withColumn(out, F.lit(0))
+    at, name = ntz_lit(last[0]), F.lit(last[1])
+    train = (F.col(time) < at) | ((F.col(time) == at) & (F.col(key) <= name))
+    return df.withColumn(out, F.coalesce(train, F.lit(False)).cast("int"))
+
+
+SKETCH = 10_000       # accuracy of the quantile sketches
+EXACT_ROWS = 50_000   # a range of so many rows is put in order
+KEY_BYTES = 7         # bytes of a key that one number holds, in order
+
+
+def order_statistic(df: DataFrame, time: str, key: str, k: int, exact_rows: int = EXACT_ROWS) -> tuple | None:
+    """The (time, key) of rank ``k`` (from 1) in their order, None if there is none.
+
+    A quantile sketch gives bounds of the range in which rank k lies; the rows before it are counted exactly, and
+    the range is narrowed again until few rows are left, first by time, then by ever more bytes of the key.  Each
+    round is one aggregate of a few numbers; only the last range, of at most ``exact_rows`` rows (or rows
+    equal in time and key), is ordered."""
+    if k < 1:
+        return None
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    rows, depth = df.select(time, key, micros.alias("_v")), 0
+    while True:
+        n, low, high = rows.agg(F.count("*"), F.min("_v"), F.max("_v")).first()
+        if n < k:
+            return None
+        if n <= exact_rows:
+            last = rows.orderBy(time, key).limit(k).agg(F.max(F.struct(time, key)).alias("m")).first()["m"]
+            return last[time], last[key]
+        if low == high:      # one value: go on with the next bytes of the key
+            longest = rows.agg(F.max(F.octet_length(key))).first()[0] or 0
+            if depth * KEY_BYTES >= longest:
+                r = rows.first()
+                return r[time], r[key]
+            rows = rows.withColumn("_v", _bytes_of(key, depth))
+            depth += 1
+            continue
+        share = [max(0.0, k / n - 2 / SKETCH), min(1.0, k / n + 2 / SKETCH)]
+        a, b = rows.agg(F.percentile_approx("_v", share, SKETCH).alias("q")).first()["q"]
+        below, inside = rows.agg(F.count_if(F.col("_v") < a), F.count_if(F.col("_v").between(a, b))).first()
+        if below < k <= below + inside:
+            found = F.col("_v").between(a, b)
+        elif k <= below:     # the sketch missed: the range before it
+            found, below = F.col("_v") < a, 0
+        else:
+            found, below = F.col("_v") > b, below + inside
+        if a == low and b == high:   # no narrower: halve the range
+            middle = (low + high) // 2
+            below = rows.agg(F.count_if(F.col("_v") <= middle)).first()[0]
+            found, below = (F.col("_v") <= middle, 0) if k <= below else (F.col("_v") > middle, below)
+        rows, k = rows.filter(found), k - below
+
+
+def _bytes_of(key: str, depth: int):
+    """Bytes ``depth * KEY_BYTES`` to the next of a text as a number: the order of texts that agree before."""
+    part = F.substring(F.encode(F.col(key), "UTF-8"), depth * KEY_BYTES + 1, KEY_BYTES)
+    padded = F.rpad(F.hex(part), 2 * KEY_BYTES, "0")
+    return F.conv(padded, 16, 10).cast("long") * (KEY_BYTES + 1) + F.octet_length(part)
 
 
 def latest_bar(df: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:
@@ -148,6 +182,28 @@ def ingest_audit(universe: DataFrame, bars: DataFrame, min_bars: int = 250, key:
                    F.count_if(n < min_bars).alias("too_few"))
 
 
+def update_counted(universe: DataFrame, existing: DataFrame, recent: DataFrame, write, min_bars: int = 250,
+                   key: str = KEY) -> dict[str, int]:
+    """Writes the universe's recent bars with ``write(rows)`` and counts the symbols in the same job.
+
+    ``updated`` have recent bars, ``skipped`` have none; of the updated, ``new`` had no bars before and ``too_few``
+    have fewer than ``min_bars`` now.  The counts are metrics observed on the rows as they are written: a row's
+    place in its symbol marks one row a symbol."""
+    symbols = universe.select(key).distinct()
+    before = existing.groupBy(key).agg(F.count(F.lit(1)).alias("_before"))
+    per = (symbols.join(recent.groupBy(key).agg(F.count(F.lit(1)).alias("_recent"), F.min(TIME).alias("_first")), key, "left")
+           .join(before, key, "left"))
+    rows = per.join(recent.withColumnRenamed(key, "_k"), F.col(key) == F.col("_k"), "left").drop("_k")
+    one = F.col("_first").isNull() | (F.col(TIME) == F.col("_first"))      # one row a symbol
+    fresh = F.col("_recent").isNotNull()
+    had = F.coalesce("_before", F.lit(0))
+    seen = Observation()
+    counted = rows.observe(seen, F.count_if(one).alias("total"), F.count_if(one & fresh).alias("updated"), F.count_if(one & ~fresh).alias("skipped"),
+                           F.count_if(one & fresh & (had == 0)).alias("new"), F.count_if(one & fresh & (had + F.col("_recent") < min_bars)).alias("too_few"))
+    write(counted.filter(F.col(TIME).isNotNull()).select(*[c for c in recent.columns]))
+    return seen.get
+
+
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """Outer union of columns: a column absent from a frame is NULL there."""
     out = frames[0]

@@ -88,46 +88,61 @@ def buy_candidates(universe: DataFrame, kept: DataFrame, scored_latest: DataFram
                 .select(key, "pos", "prob_buy", F.col("close").alias("buy_price")))
 
 
-def buy_allocation(candidates: DataFrame, cash: float, key: str = KEY) -> DataFrame:
-    """Nothing below the minimum trade value; else k = int(cash / 10) first
-    candidates in list order share ALL cash equally."""
-    if cash < MIN_TRADE_VALUE:
-        return candidates.limit(0).select(key, "buy_price", F.lit(0.0).alias("qty"),
-                                          F.col("buy_price").alias("peak_price"), F.lit(0.0).alias("value"))
-    k = int(cash / MIN_TRADE_VALUE)
-    chosen = candidates.orderBy("pos").limit(k)          # distributed top-k by list order
-    n = chosen.count()
-    value = cash / n if n else 0.0
-    return chosen.select(key, "buy_price", (F.lit(value) / F.col("buy_price")).alias("qty"),
-                         F.col("buy_price").alias("peak_price"), F.lit(value).alias("value"))
-
-
-def wallet_after_cycle(kept: DataFrame, bought: DataFrame, cash_after_sells: float) -> DataFrame:
-    """Kept positions plus new ones, each row with the wallet's remaining cash."""
-    spent = bought.agg(F.coalesce(F.sum("value"), F.lit(0.0))).first()[0]
+def buy_allocation(candidates: DataFrame, cash, key: str = KEY) -> DataFrame:
+    """Nothing below the minimum trade value; else the k = int(cash / 10) first candidates in list order share ALL
+    cash equally.  ``cash`` is a number or a one-row table ``cash_usdt``; it enters the plan as a scalar subquery.
+
+    ``k`` is the rank in list order: candidates are counted per range of ``pos`` and ranked inside it, so no
+    window holds the whole list."""
+    money = F.lit(float(cash)) if isinstance(cash, (int, float)) else cash.select("cash_usdt").scalar()
+    ranked = _ranked(candidates, key).withColumn("_cash", money).filter(
+        (F.col("_cash") >= MIN_TRADE_VALUE) & (F.col("_rank") <= F.floor(F.col("_cash") / MIN_TRADE_VALUE)))
+    share = F.col("_cash") / ranked.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return ranked.select(key, "buy_price", (share / F.col("buy_price")).alias("qty"), F.col("buy_price").alias("peak_price"), share.alias("value"))
+
+
+LIST_RANGE = 4096  # places of the symbol list that are ranked together
+
+
+def _ranked(candidates: DataFrame, key: str) -> DataFrame:
+    """Candidates with their rank (from 1) by (pos, key)."""
+    c = candidates.withColumn("_range", F.floor(F.col("pos") / LIST_RANGE))
+    sizes = c.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
+                                               F.lit(0)).alias("_before"))     # one row per LIST_RANGE places
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("pos", key))
+    return c.withColumn("_in", inside).join(before, "_range").withColumn("_rank", F.col("_before") + F.col("_in"))
+
+
+def wallet_after_cycle(kept: DataFrame, bought: DataFrame, cash_after_sells) -> DataFrame:
+    """Kept positions plus new ones, each row with the wallet's remaining cash (a scalar subquery)."""
+    left = wallet_cash(bought, cash_after_sells).select("cash_usdt").scalar()
     rows = kept.unionByName(bought.select(KEY, "buy_price", "qty", "peak_price"))
-    return rows.withColumn("cash_usdt", F.lit(cash_after_sells - spent))
+    return rows.withColumn("cash_usdt", left)
 
 
-def wallet_cash(bought: DataFrame, cash_after_sells: float) -> DataFrame:
-    """The wallet's remaining cash as a one-row table, also when no position is left."""
-    return bought.agg((F.lit(cash_after_sells) - F.coalesce(F.sum("value"), F.lit(0.0))).alias("cash_usdt"))
+def wallet_cash(bought: DataFrame, cash_after_sells) -> DataFrame:
+    """The wallet's remaining cash as a one-row table, also when no position is left; the cash before is a number
+    or a one-row table ``cash_usdt``."""
+    money = F.lit(float(cash_after_sells)) if isinstance(cash_after_sells, (int, float)) else cash_after_sells.select("cash_usdt").scalar()
+    return bought.agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("spent")).select((money - F.col("spent")).alias("cash_usdt"))
 
 
-def wallet_json(positions: DataFrame, cash: float) -> DataFrame:
-    """The wallet document (reference field names), positions sorted by token."""
+def wallet_json(positions: DataFrame, cash) -> DataFrame:
+    """The wallet document (reference field names), positions sorted by token; ``cash`` is a number or a one-row table."""
+    money = F.lit(float(cash)) if isinstance(cash, (int, float)) else cash.select("cash_usdt").scalar()
     pos = F.struct(F.col(KEY).alias("token"), F.col("buy_price").alias("preco_compra"),
                    F.col("qty").alias("quantidade"), F.col("peak_price").alias("peak_price"))
     doc = positions.agg(F.array_sort(F.collect_list(pos)).alias("positions"))
-    return doc.select(F.to_json(F.struct(F.lit(cash).alias("cash_usdt"), "positions")).alias("wallet"))
+    return doc.select(F.to_json(F.struct(money.alias("cash_usdt"), "positions")).alias("wallet"))
 
 
-def wallet_positions(wallet_docs: DataFrame, col: str = "wallet") -> DataFrame:
-    """Flatten wallet JSON documents to position rows (order kept as ``pos``).
+def wallet_positions(wallet_docs: DataFrame, col: str = "wallet", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Flatten wallet JSON documents to position rows (order kept as ``pos``) with the columns ``keep``.
     A wallet without positions is one row with its cash and NULL position."""
     from tickframe.schemas import WALLET
-    w = wallet_docs.select(F.from_json(F.col(col), WALLET).alias("w"))
-    return w.select(F.col("w.cash_usdt").alias("cash_usdt"),
+    w = wallet_docs.select(*keep, F.from_json(F.col(col), WALLET).alias("w"))
+    return w.select(*keep, F.col("w.cash_usdt").alias("cash_usdt"),
                     F.posexplode_outer("w.positions").alias("pos", "p")).select(
-        "cash_usdt", "pos", F.col("p.token").alias("symbol"), F.col("p.preco_compra").alias("buy_price"),
+        *keep, "cash_usdt", "pos", F.col("p.token").alias("symbol"), F.col("p.preco_compra").alias("buy_price"),
         F.col("p.quantidade").alias("qty"), F.col("p.peak_price").alias("peak_price"))

@@ -82,6 +82,15 @@ def consult(scored_latest: DataFrame, symbol: str, threshold: float = MODEL_THRE
                     F.when(c > F.col("sma_200"), F.lit("ABOVE")).otherwise(F.lit("BELOW")).alias("trend")))
 
 
+def lookup(bars: DataFrame, symbol: str, scorer, threshold: float = MODEL_THRESHOLD, window: int = 300) -> DataFrame:
+    """Opinion on one symbol from a bar table: only its last ``window`` bars are enriched and scored.  On a table
+    bucketed by symbol the scan reads one bucket; no job runs before the result's."""
+    from tickframe.operators.dataset import last_n_bars, latest_bar
+    from tickframe.operators.features import enrich_live
+    own = last_n_bars(bars.filter(F.col("symbol") == symbol.upper()), window)
+    return consult(score(latest_bar(enrich_live(own, parts=None)), scorer), symbol, threshold)
+
+
 def best_candidate(scored: DataFrame) -> DataFrame:
     """Highest probability strictly above 0; first in list order on ties."""
     return (scored.filter(F.col("prob_buy") > 0)

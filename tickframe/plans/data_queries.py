@@ -120,25 +120,41 @@ def q_last_n_bars(spark, sf):
     return finish(ds.last_n_bars(bars_h(spark, sf), 300), D6, K + BAR_COLS)
 
 
-@register("min_history", _bars_q(BARS_H_SQL, "QUALIFY count(*) OVER (PARTITION BY symbol) >= 250", D6))
+_SHORTENED = f"SELECT * FROM ({BARS_H_SQL}) WHERE length(symbol) % 2 = 0 OR open_time < TIMESTAMP '2024-01-08'"
+
+
+@register("min_history", _bars_q(_SHORTENED, "QUALIFY count(*) OVER (PARTITION BY symbol) >= 250", D6))
 def q_min_history(spark, sf):
-    return finish(feat.min_history(bars_h(spark, sf).repartition("symbol"), 250), D6, K + BAR_COLS)
+    """Symbols with a name of odd length have one week of bars only: too few."""
+    long = (F.length("symbol") % 2 == 0) | (F.col("open_time") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    return finish(feat.min_history(bars_h(spark, sf).filter(long), 250), D6, K + BAR_COLS)
 
 
-_FIRSTN_SQL = (f"WITH bars AS ({BARS_S_SQL}), syms AS (SELECT DISTINCT symbol FROM bars ORDER BY symbol LIMIT 690) "
+_FIRSTN_SQL = (f"WITH bars AS ({BARS_S_SQL}), syms AS (SELECT DISTINCT symbol FROM bars ORDER BY symbol LIMIT 7) "
                f"SELECT symbol, open_time, {rnd('close', D4)} AS close FROM bars WHERE symbol IN (SELECT symbol FROM syms)")
 
 
 @register("first_n_symbols", _FIRSTN_SQL)
 def q_first_n_symbols(spark, sf):
-    return finish(ds.first_n_symbols(bars_s(spark, sf), 690).select(*K, "close"), D4)
+    return finish(ds.first_n_symbols(bars_s(spark, sf), 7).select(*K, "close"), D4)
 
 
 def _universe(spark, sf):
-    return table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"))
+    """The suppliers' symbols, and as many that have no bars."""
+    key = F.col("s_suppkey").cast("string")
+    s = table(spark, sf, "supplier")
+    return s.select(F.concat(F.lit("S"), key).alias("symbol")).union(s.select(F.concat(F.lit("X"), key)))
+
+
+_UNIV_SQL = ("SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol FROM supplier "
+             "UNION ALL SELECT 'X' || CAST(s_suppkey AS VARCHAR) FROM supplier")
+#: Of every fifth supplier the bars up to here only: fewer than the least history.
+_FEW, _FEW_SQL = "1993-01-01", "CAST(substr(symbol, 2) AS INTEGER) % 5 <> 1 OR open_time < TIMESTAMP '1993-01-01'"
 
 
-_UNIV_SQL = "SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol FROM supplier"
+def _some_short(spark, sf):
+    short = F.substring("symbol", 2, 9).cast("int") % 5 == 1
+    return bars_s(spark, sf).filter(~short | (F.col("open_time") < F.lit(_FEW).cast("timestamp_ntz")))
 
 
 @register("available_symbols", f"WITH bars AS ({BARS_S_SQL}), u AS ({_UNIV_SQL}) "
@@ -147,14 +163,14 @@ def q_available_symbols(spark, sf):
     return ds.available_symbols(_universe(spark, sf), bars_s(spark, sf))
 
 
-@register("ingest_audit", f"WITH bars AS ({BARS_S_SQL}), u AS (SELECT DISTINCT symbol FROM ({_UNIV_SQL})), "
+@register("ingest_audit", f"WITH bars AS (SELECT * FROM ({BARS_S_SQL}) WHERE {_FEW_SQL}), u AS (SELECT DISTINCT symbol FROM ({_UNIV_SQL})), "
                           "c AS (SELECT symbol, count(*) AS n_bars FROM bars GROUP BY symbol), "
                           "p AS (SELECT u.symbol, c.n_bars FROM u LEFT JOIN c ON c.symbol = u.symbol) "
                           "SELECT count(*) AS total, count(*) FILTER (WHERE n_bars >= 250) AS processed, "
                           "count(*) FILTER (WHERE n_bars IS NULL) AS missing, "
                           "count(*) FILTER (WHERE n_bars < 250) AS too_few FROM p")
 def q_ingest_audit(spark, sf):
-    return ds.ingest_audit(_universe(spark, sf), bars_s(spark, sf), 250)
+    return ds.ingest_audit(_universe(spark, sf), _some_short(spark, sf), 250)
 
 
 # ---- upsert: existing bars (flat-bar volume unknown) + live update of the last 600 bars

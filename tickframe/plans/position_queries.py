@@ -21,7 +21,7 @@ K = ["symbol", "open_time"]
 D = 6
 THR = 0.49
 CASH = 25.0          # wallet cash before the cycle (test parameter)
-BUY_VALUE = 100.0    # each test position was bought for this much
+BUY_VALUE = 30.0     # each test position was bought for this much: the cash buys fewer symbols than there are candidates
 NN_L = " AND ".join(f"{c} IS NOT NULL" for c in K + BAR_COLS + LIVE_FEATURES)
 W = "PARTITION BY symbol ORDER BY open_time"
 
@@ -112,8 +112,8 @@ def q_buy_candidates(spark, sf):
 
 
 def _cycle(spark, sf):
-    dec = decisions(spark, sf).persist()
-    cash = po.cash_after_exits(dec, CASH).first()["cash_usdt"]
+    dec = decisions(spark, sf)
+    cash = po.cash_after_exits(dec, CASH)      # one row, read inside the plan
     alloc = po.buy_allocation(_candidates(spark, sf, dec), cash)
     return dec, cash, alloc
 
@@ -133,8 +133,7 @@ def q_wallet_after_cycle(spark, sf):
 def q_wallet_json(spark, sf):
     dec, cash, alloc = _cycle(spark, sf)
     wal = po.wallet_after_cycle(po.kept_positions(dec), alloc, cash)
-    spent = alloc.agg(F.coalesce(F.sum("value"), F.lit(0.0))).first()[0]
-    return po.wallet_json(wal, cash - spent)
+    return po.wallet_json(wal, po.wallet_cash(alloc, cash))
 
 
 @register("wallet_positions", finish_sql(_BASE, "posn", ["symbol", "buy_price", "qty", "peak_price"], D))

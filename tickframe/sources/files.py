@@ -6,18 +6,92 @@ folders (our layout) or from file names (the reference's per-symbol files).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
 
 from tickframe.functions.text import from_epoch_ms, symbol_from_file_name
 from tickframe.schemas import BAR_COLS, BARS, KLINE_FIELDS, KLINE_PAYLOAD, RAW_BAR_CSV
 
 
-def write_bars(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Bar sink clustered by symbol: one folder per symbol, time-sorted files."""
-    (df.repartition("symbol").sortWithinPartitions("symbol", "open_time")
-       .write.mode(mode).partitionBy("symbol").format(fmt).option("header", True).save(path))
+FILE_ROWS = 2_000_000  # most rows of a bar file
+
+
+def write_bars(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", by_symbol: bool = True,
+               file_rows: int = FILE_ROWS) -> None:
+    """Bar sink in (symbol, time) order, with one folder per symbol if ``by_symbol``.
+
+    Rows are range-partitioned by (symbol, time), so a hot symbol is written by many tasks, each a stretch of time;
+    a file has at most ``file_rows`` rows."""
+    rows = df.repartitionByRange("symbol", "open_time").sortWithinPartitions("symbol", "open_time")
+    writer = rows.write.mode(mode).format(fmt).option("header", True).option("maxRecordsPerFile", file_rows)
+    (writer.partitionBy("symbol") if by_symbol else writer).save(path)
+
+
+def in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """The bars of a parquet sink written with ``by_symbol=False``, with their place ``pos`` (from 0) in file order.
+
+    Files are ordered by their first bar.  A file whose rows are out of order, or that begins before the one before
+    it ends, is an error."""
+    at = F.struct("symbol", "open_time")
+    rows = (spark.read.schema(BARS).parquet(path)
+            .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")))
+    inside = Window.partitionBy("_file").orderBy("_row")
+    rows = rows.withColumn("_back", F.coalesce(F.lag(at).over(inside) >= at, F.lit(False)))
+    sizes = rows.groupBy("_file").agg(F.min(at).alias("_first"), F.max(at).alias("_last"), F.count("*").alias("_n"), F.max("_back").alias("_back"))
+    ordered = Window.orderBy("_first")        # over one row per file
+    sizes = sizes.select("_file", F.coalesce(F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                         (F.col("_back") | F.coalesce(F.lag("_last").over(ordered) >= F.col("_first"), F.lit(False))).alias("_wrong"))
+    pos = F.when(F.col("_wrong"), F.raise_error(F.lit("bars out of order"))).otherwise(F.col("_before") + F.col("_row"))
+    return rows.drop("_back").join(sizes, "_file").select("symbol", "open_time", *BAR_COLS, pos.cast("long").alias("pos"))
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int) -> None:
+    """Bars as a table bucketed by symbol, sorted by time inside a bucket: a look-up of one symbol reads one bucket."""
+    (df.write.mode("overwrite").bucketBy(buckets, "symbol").sortBy("symbol", "open_time").option("path", path).saveAsTable(name))
+
+
+def write_symbol_files(df: DataFrame, folder: str, prefix: str = "analise_v2_", interval: str = "4h") -> None:
+    """Legacy layout: one CSV file ``{prefix}{SYMBOL}_{interval}.csv`` per symbol, in time order.  The driver only
+    renames the files, one a symbol."""
+    spark = df.sparkSession
+    held = f"{folder.rstrip('/')}/_held"
+    df.repartition("symbol").sortWithinPartitions("symbol", "open_time").write.partitionBy("symbol").option("header", True).csv(held)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(held).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in fs.listStatus(hadoop(held)):
+        if part.isDirectory():
+            symbol = part.getPath().getName().removeprefix("symbol=")
+            for f in fs.listStatus(part.getPath()):
+                if f.getPath().getName().startswith("part-"):
+                    fs.rename(f.getPath(), hadoop(f"{folder}/{prefix}{symbol}_{interval}.csv"))
+    fs.delete(hadoop(held), True)
+
+
+def scan_by_header(spark: SparkSession, glob: str, wanted: list[str], time: str = "open_time", prefix: str = "analise_v2_") -> DataFrame:
+    """CSV files that differ in columns: (symbol, time, wanted columns), a column that a file lacks being NULL.
+
+    A header scan groups the files by their column line; each group is one scan that is pruned to the wanted columns,
+    and the groups' outer union is the result.  The driver gets one path per file, as for any scan's file index.
+    Columns are read as double, the time as timestamp; a file without the time column is an error."""
+    lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+    heads = lines.filter(F.col("header").rlike(rf"(^|,){time}(,|$)"))
+    groups = heads.groupBy("path").agg(F.min("header").alias("header")).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    files = spark.read.text(glob).select(F.col("_metadata.file_path").alias("p")).distinct().count()
+    if sum(len(g["paths"]) for g in groups) != files:
+        raise ValueError(f"files without a {time} column match {glob}")
+    frames = []
+    for g in sorted(groups, key=lambda g: g["header"]):
+        names = g["header"].split(",")
+        schema = StructType([StructField(n, TimestampNTZType() if n == time else DoubleType()) for n in names])
+        df = spark.read.schema(schema).option("header", True).csv(sorted(g["paths"]))
+        frames.append(df.select(symbol_from_file_name(F.col("_metadata.file_name"), prefix).alias("symbol"), time,
+                                *[n for n in wanted if n in names]))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    missing = [F.lit(None).cast("double").alias(n) for n in wanted if n not in out.columns]
+    return out.select("*", *missing).select("symbol", time, *wanted)
 
 
 def read_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -93,5 +167,5 @@ def next_run_version(names: DataFrame, col: str = "name", prefix: str = "trades_
         (F.coalesce(F.max(run_version(col, prefix)), F.lit(0)) + F.lit(1)).alias("next_version"))
 
 
-__all__ = ["write_bars", "read_bars", "read_or_empty", "write_versioned", "run_versions", "scan_bars_csv",
+__all__ = ["write_bars", "read_bars", "in_file_order", "write_bucketed", "write_symbol_files", "scan_by_header", "read_or_empty", "write_versioned", "run_versions", "scan_bars_csv",
            "parse_klines", "symbol_list", "next_run_version", "BARS"]
