@@ -14,6 +14,7 @@ from tickframe.plans.stub import STUB_SQL, stub_probability
 from tickframe.plans.oracle_enrich import live_sql
 from tickframe.plans.sqlkit import div
 from tickframe.plans.trading_queries import symbol_universe
+from tickframe.session import cut_lineage
 from tickframe.schemas import BAR_COLS, LIVE_FEATURES
 from tickframe.sources.fixtures import BARS_S_SQL, bars_s, table
 
@@ -112,9 +113,9 @@ def q_buy_candidates(spark, sf):
 
 
 def _cycle(spark, sf):
-    dec = decisions(spark, sf)
+    dec = cut_lineage(decisions(spark, sf))    # read by several branches of the plan: computed once
     cash = po.cash_after_exits(dec, CASH)      # one row, read inside the plan
-    alloc = po.buy_allocation(_candidates(spark, sf, dec), cash)
+    alloc = po.buy_allocation(cut_lineage(_candidates(spark, sf, dec)), cash)
     return dec, cash, alloc
 
 
