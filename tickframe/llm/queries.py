@@ -96,7 +96,9 @@ WITH t AS (
 m AS (
   SELECT row_number() OVER () AS r, doc_id, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
          len(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
-         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, w, len(string_split(text, chr(10))) AS n_lines FROM t),
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, w, lines, len(string_split(text, chr(10))) AS n_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[ \t\n\x0B\f\r]*[•‣▪●○◦*-]'))) AS n_bullet_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\n\x0B\f\r]*$'))) AS n_ellipsis_lines FROM t),
 s AS (
   SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i+1], w[i+2], w[i+3], w[i+4]) AS k
   FROM (SELECT r, w, unnest(range(1, n_words - 3)) AS i FROM m)),
@@ -105,7 +107,10 @@ a AS (SELECT m.*, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM m L
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, greatest(n_words, 1) AS n FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (10 * n_symbols > 3 * n) AND NOT (word_chars < 2 * n OR word_chars > 14 * n)
-       AND NOT (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) AS kept
+       AND NOT (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
+       AND NOT 2 * len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) < n_words
+       AND NOT (n_bullet_lines >= 5 AND 10 * n_bullet_lines > 9 * len(lines))
+       AND NOT (n_ellipsis_lines >= 3 AND 10 * n_ellipsis_lines > 3 * len(lines)) AS kept
 FROM b
 """
 
