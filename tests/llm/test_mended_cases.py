@@ -1,14 +1,17 @@
 """Cases that once gave wrong rows: repeated query rows, marks behind letters that are decomposed, small link tables."""
 import random
+import time
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickframe.llm import packing, token_counts, topk_search
+from tickframe.llm import html_extract, packing, quality_rules, token_counts, topk_search
 from tickframe.llm.components import stars_of
+from tickframe.llm.queries import ORACLES
 
 
 def test_repeated_query_rows_are_ranked_apart(spark):
@@ -53,3 +56,69 @@ def test_stars_of_edges():
                 seen.add(n)
                 todo.append(n)
         assert seen == set(m)
+
+
+ARTICLE_TEMPLATES = {  # html of the article's inside -> its text; every page has its own number n
+    "heading ids": ("<h2 id=discussion>Discussion {n}</h2><p>We found {n}.</p>", "Discussion {n}\n\nWe found {n}."),
+    "response section": ("<p>Asked {n}.</p><div class=response><p>The response {n} was big</p></div>", "Asked {n}.\n\nThe response {n} was big"),
+    "legal section": ("<section class='legal notice'><h3>Law {n}</h3><p>Some law {n}</p><p>More law {n}</p></section>", "Law {n}\n\nSome law {n}\n\nMore law {n}"),
+    "heading class": ("<h1 class='ad comments'>Head {n}</h1><p>x {n}</p>", "Head {n}\n\nx {n}"),
+    "links go": ("<p>Body {n}</p><div class=related><a href=a>Other {n}</a></div>", "Body {n}"),
+    "same text goes": ("<p>Body {n}</p><div class=copyright><p>All rights held by us</p></div>", "Body {n}"),
+    "repeated group goes": ("<p>Body {n}</p><div class=response><p>I {n}</p></div><div class=response><p>You {n}</p></div>", "Body {n}"),
+    "adverts go": ("<p>Body {n}</p><div class=advert><p>Buy {n}</p></div><p class=newsletter>Mail {n}</p>", "Body {n}"),
+    "quote inside an unquoted value": ("<p title=it's>Hello {n}</p><p data-a1='class=ad' id=x>there {n}</p>", "Hello {n}\n\nthere {n}"),
+    "raw text": ("<script>if (a<b && '</p>') x = \"</script>\"<p>seen {n}</p><svg><text>no</text></svg><p>y {n}</p>", "\"\n\nseen {n}\n\ny {n}"),
+}
+
+
+def test_html_names_inside_articles(spark):
+    pages, want = [], {}
+    for k, (template, text) in enumerate(ARTICLE_TEMPLATES.values()):
+        for n in range(6):
+            i = 100 * k + n
+            pages.append((i, f"http://t{k}.org/{n}", "<nav class=menu><p>Menu</p></nav><article>" + template.replace("{n}", str(n)) + "</article><div class=legal><p>Law</p></div>"))
+            want[i] = text.replace("{n}", str(n))
+    found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert found == want
+
+
+def test_html_parse_is_linear_and_deep_menus_go():
+    began = time.perf_counter()
+    assert [t for _, t in html_extract.parse("<svg>" * 40_000 + "<p>x</p>")[1]] == ["x"]
+    assert html_extract.parse('<p a="x" ' * 40_000 + "<p>x</p>")[1][-1][1] == "x"
+    assert time.perf_counter() - began < 3
+    assert [t for _, t in html_extract.parse("<div>" * 160 + "<nav>menu</nav><div class=sidebar>s</div><p>text</p>")[1]] == ["text"]
+
+
+def test_html_forms_in_bounded_groups(spark):
+    """A host with more forms than a group holds gives the same texts as with one group."""
+    tags = "h2 p blockquote pre h3".split()
+    rows = [(k, "http://many.org/a", "<article>" + "".join(f"<{t}>{t} {k}</{t}>" for i, t in enumerate(tags) if k >> i & 1) + "<div class=response><p>r</p></div></article>") for k in range(32)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(map(tuple, html_extract.extract(df).collect()))
+    html_extract.FORMS_PER_GROUP, kept = 4, html_extract.FORMS_PER_GROUP
+    try:
+        assert sorted(map(tuple, html_extract.extract(df).collect())) == whole
+    finally:
+        html_extract.FORMS_PER_GROUP = kept
+    assert [r[2] for r in whole] == ["\n\n".join(f"{t} {k}" for i, t in enumerate(tags) if k >> i & 1) for k in range(32)]
+
+
+def test_quality_rules_beyond_the_base_run_lazily(spark):
+    texts = ["\n".join(f"- one two {i}" for i in range(9)), "\n".join(f"line {i} tells of…" for i in range(9)), "\n".join(f"a{i} b{i}..." for i in range(9)),
+             "\n".join(f"a{i} b{i}." for i in range(9)), " ".join(str(7 * i) for i in range(40)), "few - words", None, "", "x y " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_words", F.lit(7))
+    assert {r.doc_id for r in quality_rules.judge(df).filter("kept").collect()} == {3}
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([{"doc_id": i, "text": t} for i, t in enumerate(texts)]))
+    cur = con.execute(ORACLES["op9_quality_rules"])
+    names = [c[0] for c in cur.description]
+    assert sorted(cur.fetchall()) == sorted(tuple(r[c] for c in names) for r in quality_rules.judge(df).collect())
+    # a rule that fails on what the base or an earlier rule rejects is never asked about it
+    failing = quality_rules.Rule("failing", lambda m: F.when(m["n_letter_words"] < 5, F.raise_error(F.lit("asked")).cast("boolean")).otherwise(F.lit(False)))
+    letters = next(r for r in quality_rules.RULES if r.name == "letters")
+    m = quality_rules._over(F.col("text"), lambda m: quality_rules.cascade([*quality_rules.BASE, letters, failing], m))
+    assert df.filter(m).count() == 4
+    figures = quality_rules.estimate(df, "text", quality_rules.RULES)
+    assert set(figures) == {r.name for r in quality_rules.RULES} and all(c >= 0 and 0 <= s <= 1 for c, s in figures.values())

@@ -6,8 +6,10 @@
 2. The forms of a host are aligned, one after the other, into its wrapper: tags that match stay, tags that only
    one side has become optional groups, differing texts are slots.  Hosts with many forms align them in rounds
    of bounded groups, so no task holds a host's forms at once.
-3. Slots are judged per wrapper: by the tags, classes and ids around them, the links in them, and, outside an
-   article, by whether their text is the same on the host's pages (distinct contents count, not copies).  Each form takes the best level (article, main,
+3. Slots are judged per wrapper: by the tags around them, the class, id and role words of containers, the links in
+   them, and, outside an article, by whether their text is the same on the host's pages (distinct contents count, not
+   copies).  Inside an article a doubtful word (a section may be a "discussion") drops a container only if the
+   wrapper agrees: links, the same text on the host's pages, or a repeated group.  Each form takes the best level (article, main,
    named, page) that its own slots hold.
 4. Each page's blocks are kept or dropped by the slots they fall into.
 
@@ -37,7 +39,7 @@ FORMS_PER_GROUP = 100
 FLUSH_FORMS = 20_000
 FLUSH_PAGES = 500_000
 CONSTANT_PAGES = 5
-#: Deeper tags are siblings in the tree instead of children; their text is kept.
+#: Deeper tags are siblings in the tree instead of children; their text is kept unless their own tag or name drops it.
 MAX_DEPTH = 150
 
 # ---- fixed values: HTML element classes and boilerplate names
@@ -49,12 +51,6 @@ RAW_TAGS = frozenset("script style noscript template iframe svg math textarea xm
 #: Their content ends at the end of the page if they are not closed; other unclosed raw tags are read over.
 SWALLOWING_TAGS = frozenset("script style textarea xmp title".split())
 DROPPED_TAGS = frozenset("nav aside form footer menu dialog fieldset".split())
-DROPPED_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted
-cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup sidebar side widget widgets menu
-menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar share sharing social related recommended recommendations
-comment comments disqus replies reply respond response responses discussion login search pagination pager skip legal copyright disclaimer
-complementary contentinfo navigation""".split())
-DROPPED_ARTICLES = frozenset("comment comments reply ad ads advert sponsored promo related".split())
 LAYOUT_WORDS = frozenset("with has no without is show hide".split())
 MAIN_NAMES = frozenset("article content main post entry story body text".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -63,8 +59,23 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 KEEPS_P_OPEN = frozenset("option optgroup legend caption summary td th tr tbody thead tfoot html body title".split())
 # ---- end of fixed values
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: Class, id and role words of boilerplate that no part of an article is named after.
+CLEAR_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted cookie cookies
+consent gdpr popup modal overlay newsletter subscribe subscription signup sidebar widget widgets menu menus nav navbar navigation breadcrumb
+breadcrumbs footer masthead topbar toolbar share sharing social comment comments disqus replies login pagination pager complementary
+contentinfo""".split())
+#: Words that name boilerplate and sections of articles alike: inside an article they need evidence from the wrapper.
+DOUBTFUL_NAMES = frozenset("""notice notices alert side related recommended recommendations promotion reply respond response responses
+discussion search skip legal copyright disclaimer""".split())
+DROPPED_ARTICLES = frozenset("comment comments reply ad ads advert sponsored promo related".split())
+#: Names count on tags that hold other blocks, outside an article also on paragraphs, never on headings; a <p> in an
+#: article goes by a clear name only.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PARAGRAPHS = frozenset("p li dd dt td th tr tbody thead tfoot caption figcaption blockquote pre summary".split())
+
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I | re.A) for tag in RAW_TAGS}
 _NAMES = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)")
@@ -91,16 +102,16 @@ class Node:
     def load(form: list) -> Node:
         return Node(form[0], [Node.load(c) for c in form[3]], bool(form[1]), bool(form[2]))
 
-    def slots(self) -> list[tuple[Node, tuple[str, ...]]]:
-        """Slots in order, with the labels above them; numbers them."""
-        out: list[tuple[Node, tuple[str, ...]]] = []
+    def slots(self) -> list[tuple[Node, tuple[Node, ...]]]:
+        """Slots in order, with the nodes above them; numbers them."""
+        out: list[tuple[Node, tuple[Node, ...]]] = []
 
-        def walk(node: Node, above: tuple[str, ...]) -> None:
+        def walk(node: Node, above: tuple[Node, ...]) -> None:
             if node.label in (TEXT, LINK):
                 node.slot = len(out)
                 out.append((node, above))
             for c in node.children:
-                walk(c, (*above, node.label))
+                walk(c, (*above, node))
 
         walk(self, ())
         return out
@@ -137,7 +148,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     buffer: list[str] = []
     linked = [0, 0]  # characters in links and in all
     links = 0
-    raw = ""
+    unclosed: set[str] = set()  # raw tags without an end tag in the rest of the page
 
     def flush() -> None:
         nonlocal buffer
@@ -154,14 +165,14 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         del open_[depth:]
 
     def say(text: str) -> None:
-        if text and not raw:
+        if text:
             buffer.append(text)
             size = len(text.strip())
             linked[1] += size
             linked[0] += size if links else 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             say(page[at:m.start()])
         at = m.end()
@@ -171,10 +182,6 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                 say(html_lib.escape(m[0][9:-3]))
             continue
         tag = tag.lower()
-        if raw:
-            if m[1] and tag == raw:
-                raw = ""
-            continue
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
@@ -186,8 +193,14 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                         break
         elif tag in RAW_TAGS:
             buffer.append(" ")
-            if not m[3].endswith("/") and (tag in SWALLOWING_TAGS or re.compile(f"</{tag}", re.I).search(page, at)):
-                raw = tag
+            if not m[3].endswith("/"):
+                end = None if tag in unclosed else _RAW_ENDS[tag].search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in SWALLOWING_TAGS:
+                    at = len(page)
+                else:
+                    unclosed.add(tag)
         elif tag == "br" or tag == "wbr":
             buffer.append(" " if tag == "br" else "")
         elif tag in BLOCK_TAGS:
@@ -209,7 +222,9 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             node = Node(label)
             open_[-1][1].children.append(node)
             if not m[3].endswith("/"):
-                open_.append((tag, node if len(open_) < MAX_DEPTH else open_[-1][1], hidden or open_[-1][2]))
+                deep = len(open_) >= MAX_DEPTH
+                gone = hidden or open_[-1][2] or (deep and kind_of((node,)) == "drop")
+                open_.append((tag, open_[-1][1] if deep else node, gone))
         elif tag == "a":
             links += 1
     if at < len(page):
@@ -381,29 +396,52 @@ def locate(form: Node, wrapper: Node) -> dict[int, int]:
     return out
 
 
-def kind_of(path: tuple[str, ...]) -> str:
-    """``article``, ``main``, ``named``, ``page`` or ``drop`` for a slot under these labels."""
-    kind = "page"
-    for label in path:
-        tag, *names = label.split(".")
+def kind_of(path: tuple[Node, ...]) -> str:
+    """``article``, ``main``, ``named``, ``page``, ``drop`` or ``doubt`` for a slot under these nodes.
+
+    ``doubt``: in an article, under a container with a doubtful name; the wrapper has to decide."""
+    kind, doubt = "page", False
+    for node in path:
+        tag, *names = node.label.split(".")
         inside = kind in ("article", "main")
-        dropped = DROPPED_ARTICLES if tag == "article" else DROPPED_NAMES if tag not in ("html", "body", "main") else ()
-        if tag in DROPPED_TAGS or (tag == "header" and not inside) or any(n in dropped for n in names):
+        if tag in DROPPED_TAGS or (tag == "header" and not inside):
             return "drop"
+        if tag == "article":
+            if DROPPED_ARTICLES.intersection(names):
+                return "drop"
+        elif tag not in ("html", "body", "main") and tag not in HEADINGS:
+            if CLEAR_NAMES.intersection(names) and not (kind == "article" and tag in PARAGRAPHS and tag != "p"):
+                return "drop"
+            if DOUBTFUL_NAMES.intersection(names):
+                if kind != "article":
+                    return "drop"
+                doubt |= tag not in PARAGRAPHS
         if tag == "article":
             kind = "article"
         elif kind != "article" and (tag == "main" or "main" in names):
             kind = "main"
         elif kind == "page" and tag not in ("html", "body", "p", "li") and MAIN_NAMES.intersection(names):
             kind = "named"
-    return kind
+    return "doubt" if doubt else kind
 
 
-def judge(slots: list[tuple[tuple[str, ...], str, int, int, bool]], pages: int) -> list[tuple[str, bool]]:
-    """(kind, holds text) of each slot of a wrapper.  A slot: (path, label, pages, characters, same on all pages)."""
-    kinds = [kind_of(path) for path, *_ in slots]
-    return [("drop" if k == "page" and same and n >= CONSTANT_PAGES and 2 * n >= pages else k, label == TEXT)
-            for k, (_, label, n, _chars, same) in zip(kinds, slots)]
+def boilerplate(path: tuple[Node, ...], label: str, same: bool) -> bool:
+    """Whether the wrapper speaks against a slot under a doubtful name: it is a link, its text is the same on the
+    host's pages, or the named container or one inside it is a repeated group."""
+    at = next(i for i, n in enumerate(path) if DOUBTFUL_NAMES.intersection(n.label.split(".")[1:]) and n.label.split(".")[0] not in HEADINGS | PARAGRAPHS)
+    containers = [n for n in path[at:] if n.label.split(".")[0] not in HEADINGS | PARAGRAPHS | {"ul", "ol", "dl", "table"}]
+    return label == LINK or same or any(n.repeated for n in containers)
+
+
+def judge(slots: list[tuple[tuple[Node, ...], str, int, bool]], pages: int) -> list[tuple[str, bool]]:
+    """(kind, holds text) of each slot of a wrapper.  A slot: (nodes above, label, pages, same on all pages)."""
+    out = []
+    for path, label, n, same in slots:
+        kind, constant = kind_of(path), same and n >= CONSTANT_PAGES and 2 * n >= pages
+        if kind == "doubt":
+            kind = "drop" if boilerplate(path, label, constant) else "article"
+        out.append(("drop" if kind == "page" and constant else kind, label == TEXT))
+    return out
 
 
 def _kept_slots(figures: DataFrame) -> DataFrame:
@@ -411,26 +449,33 @@ def _kept_slots(figures: DataFrame) -> DataFrame:
     forms = stage_table(figures.select("host", "form", "form_key").distinct(), "html-forms")
     wrappers = _wrappers(forms.select("host", "form"))
 
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for key, form, wrapper in zip(*(b.column(c).to_pylist() for c in ("form_key", "form", "wrapper"))):
-                rows += [(key, s, w) for s, w in locate(Node.load(json.loads(form)), Node.load(json.loads(wrapper))).items()]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32()))], ["form_key", "slot", "place"])
-
-    def decide(keys: tuple, table: pa.Table) -> pa.Table:
-        wrapper = Node.load(json.loads(table.column("wrapper")[0].as_py()))
-        known = {p: (n, c, same) for p, n, c, same in zip(*(table.column(x).to_pylist() for x in ("place", "pages", "chars", "same")))}
-        slots = [(path, node.label, *known.get(k, (0, 0, False))) for k, (node, path) in enumerate(wrapper.slots())]
+    def place(keys: tuple, forms: pa.Table, wrappers: pa.Table) -> pa.Table:
+        rows = []
+        if forms.num_rows:
+            wrapper = Node.load(json.loads(wrappers.column("wrapper")[0].as_py()))
+            for key, form in zip(forms.column("form_key").to_pylist(), forms.column("form").to_pylist()):
+                rows += [(key, s, w) for s, w in locate(Node.load(json.loads(form)), wrapper).items()]
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ((), (), ()), (pa.int64(), pa.int32(), pa.int32()))],
+                        names=["form_key", "slot", "place"])
+
+    def decide(keys: tuple, evidence: pa.Table, wrappers: pa.Table) -> pa.Table:
+        wrapper = Node.load(json.loads(wrappers.column("wrapper")[0].as_py()))
+        known = {p: (n, same) for p, n, same in zip(*(evidence.column(x).to_pylist() for x in ("place", "pages", "same")))}
+        slots = [(path, node.label, *known.get(k, (0, False))) for k, (node, path) in enumerate(wrapper.slots())]
         judged = judge(slots, max((s[2] for s in slots), default=0))
         return pa.table({"host": pa.array([keys[0].as_py()] * len(judged), pa.string()), "place": pa.array(range(len(judged)), pa.int32()),
                          "kind": pa.array([k for k, _ in judged], pa.string()), "holds": pa.array([x for _, x in judged], pa.bool_())})
 
-    places = stage_table(forms.join(wrappers, "host").mapInArrow(releasing(place), "form_key long, slot int, place int"), "html-places")
+    # the forms of a host in groups of bounded size, each with one copy of its wrapper
+    sizes = forms.groupBy("host").agg(F.ceil(F.count("*") / FORMS_PER_GROUP).cast("int").alias("groups"))
+    dealt = forms.join(sizes, "host").select("host", F.pmod("form_key", "groups").cast("int").alias("salt"), "form_key", "form")
+    copied = (wrappers.join(sizes, "host").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+              .select("host", "salt", "wrapper"))
+    places = stage_table(dealt.groupBy("host", "salt").cogroup(copied.groupBy("host", "salt"))
+                         .applyInArrow(place, "form_key long, slot int, place int"), "html-places")
     evidence = (figures.join(places, ["form_key", "slot"]).groupBy("host", "place")
-                .agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), (F.min("low") == F.max("high")).alias("same")))
-    judged = evidence.join(wrappers, "host").groupBy("host").applyInArrow(decide, "host string, place int, kind string, holds boolean")
+                .agg(F.sum("pages").alias("pages"), (F.min("low") == F.max("high")).alias("same")))
+    judged = evidence.groupBy("host").cogroup(wrappers.groupBy("host")).applyInArrow(decide, "host string, place int, kind string, holds boolean")
     return (places.join(forms.select("form_key", "host"), "form_key").join(judged, ["host", "place"])
             .withColumn("level", F.array_position(F.lit(LEVELS), F.col("kind"))).filter("level > 0").groupBy("form_key")
             .agg(F.min(F.when(F.col("holds"), F.col("level"))).alias("best"), F.collect_list(F.struct("slot", "level", "holds")).alias("slots"))
