@@ -447,7 +447,7 @@ def judge(slots: list[tuple[tuple[Node, ...], str, int, bool]], pages: int) -> l
 def _kept_slots(figures: DataFrame) -> DataFrame:
     """(form_key, kept): the numbers of the slots of each form that hold main text."""
     forms = stage_table(figures.select("host", "form", "form_key").distinct(), "html-forms")
-    wrappers = _wrappers(forms.select("host", "form"))
+    wrappers = _wrappers(forms.select("host", "form")).select(F.col("host").alias("site"), F.col("wrapper").alias("wrapper"))
 
     def place(keys: tuple, forms: pa.Table, wrappers: pa.Table) -> pa.Table:
         rows = []
@@ -469,13 +469,13 @@ def _kept_slots(figures: DataFrame) -> DataFrame:
     # the forms of a host in groups of bounded size, each with one copy of its wrapper
     sizes = forms.groupBy("host").agg(F.ceil(F.count("*") / FORMS_PER_GROUP).cast("int").alias("groups"))
     dealt = forms.join(sizes, "host").select("host", F.pmod("form_key", "groups").cast("int").alias("salt"), "form_key", "form")
-    copied = (wrappers.join(sizes, "host").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-              .select("host", "salt", "wrapper"))
-    places = stage_table(dealt.groupBy("host", "salt").cogroup(copied.groupBy("host", "salt"))
+    copied = (wrappers.join(sizes.withColumnRenamed("host", "site"), "site").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+              .select("site", F.col("salt").alias("group"), "wrapper"))
+    places = stage_table(dealt.groupBy("host", "salt").cogroup(copied.groupBy("site", "group"))
                          .applyInArrow(place, "form_key long, slot int, place int"), "html-places")
     evidence = (figures.join(places, ["form_key", "slot"]).groupBy("host", "place")
                 .agg(F.sum("pages").alias("pages"), (F.min("low") == F.max("high")).alias("same")))
-    judged = evidence.groupBy("host").cogroup(wrappers.groupBy("host")).applyInArrow(decide, "host string, place int, kind string, holds boolean")
+    judged = evidence.groupBy("host").cogroup(wrappers.groupBy("site")).applyInArrow(decide, "host string, place int, kind string, holds boolean")
     return (places.join(forms.select("form_key", "host"), "form_key").join(judged, ["host", "place"])
             .withColumn("level", F.array_position(F.lit(LEVELS), F.col("kind"))).filter("level > 0").groupBy("form_key")
             .agg(F.min(F.when(F.col("holds"), F.col("level"))).alias("best"), F.collect_list(F.struct("slot", "level", "holds")).alias("slots"))
