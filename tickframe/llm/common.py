@@ -110,27 +110,54 @@ def rows_within(column: pa.Array, limit: int) -> int:
     return int(np.searchsorted(np.cumsum(sizes), limit, side="right"))
 
 
+def deal(df: DataFrame, keys: list[str], order: list[str], rows_per_task: int) -> DataFrame:
+    """``df`` with the columns ``_bucket``, ``_class`` and ``_part``, which split each key into groups of about ``rows_per_task``.
+
+    Rows go to buckets by the hash of ``order``.  Rows that are equal in it stay together, so where a bucket is more than
+    twice as large as it should be, its large classes of equal rows (``_class``) are dealt into parts by row numbers
+    that are written down once.  Rows of a class are interchangeable, so ranks do not depend on these numbers."""
+    buckets = max(1, -(-df.count() // rows_per_task))
+    h = F.xxhash64(*order)
+    plain = df.withColumn("_bucket", F.pmod(h, F.lit(buckets)).cast("int"))
+    large = plain.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n")).filter(F.col("_n") > 2 * rows_per_task)
+    large = stage_table(_renamed(large.select(*keys, "_bucket"), [*keys, "_bucket"]), "rank-large")
+    if large.isEmpty():
+        return plain.withColumns({"_class": F.lit(0).cast("long"), "_part": F.lit(0)})
+    rows = stage_table(plain.withColumns({"_hash": h, "_row": F.monotonically_increasing_id()}), "rank-rows")
+    classes = (rows.join(large, _same(rows, [*keys, "_bucket"]), "left_semi").groupBy(*keys, "_hash").agg(F.count("*").alias("_n"))
+               .filter(F.col("_n") > rows_per_task).withColumn("_parts", F.ceil(F.col("_n") / rows_per_task).cast("int")))
+    classes = stage_table(_renamed(classes.drop("_n"), [*keys, "_hash"]), "rank-classes")
+    return (rows.join(classes, _same(rows, [*keys, "_hash"]), "left")
+            .withColumns({"_class": F.when(F.col("_parts").isNotNull(), F.col("_hash")).otherwise(F.lit(0).cast("long")),
+                          "_part": F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")), F.lit(0)).cast("int")})
+            .drop("_hash", "_row", "_parts", *[f"_k_{k}" for k in [*keys, "_hash"]]))
+
+
 def rank_within(df: DataFrame, keys: list[str], order: list[str], rows_per_task: int, name: str = "rank") -> DataFrame:
     """``df`` with the gapless rank (from 0) of each row within its ``keys``; ties in any order.
 
-    A hot key is dealt over buckets by the hash of ``order``: rows are numbered inside (keys, bucket), and
-    the buckets' counts, one row each, give the offsets.  No task holds the rows of a whole key.
+    A hot key is dealt into groups (``deal``): rows are numbered inside a group, and the groups' counts, one row each,
+    give the offsets.  No task holds the rows of a whole key, however many rows are equal.
     """
-    total = df.count()
-    buckets = max(1, -(-total // rows_per_task))
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    inside = Window.partitionBy(*keys, "_bucket")
+    group = ["_bucket", "_class", "_part"]
+    dealt = deal(df, keys, order, rows_per_task)
+    inside = Window.partitionBy(*keys, *group)
     ranked = dealt.withColumn("_place", F.row_number().over(inside.orderBy(*order)) - 1)
-    counts = dealt.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*keys, *group).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    for k in keys:
-        offsets = offsets.withColumnRenamed(k, f"_k_{k}")
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return (ranked.join(offsets.withColumnRenamed("_bucket", "_b2"),
-                        (F.col("_b2") == F.col("_bucket")) & _all(same), "left")
+    return (ranked.join(_renamed(offsets, [*keys, *group]), _same(ranked, [*keys, *group]), "left")
             .withColumn(name, (F.col("_place") + F.col("_before")).cast("long"))
-            .drop("_bucket", "_b2", "_place", "_before", *[f"_k_{k}" for k in keys]))
+            .drop(*group, "_place", "_before", *[f"_k_{k}" for k in [*keys, *group]]))
+
+
+def _renamed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` with the prefix ``_k_``, to be joined by ``_same``."""
+    return df.withColumnsRenamed({c: f"_k_{c}" for c in columns})
+
+
+def _same(df: DataFrame, columns: list[str]) -> Column:
+    return _all([df[c].eqNullSafe(F.col(f"_k_{c}")) for c in columns])
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -65,14 +65,15 @@ def _rate(size: Column, cap: int) -> Column:
 def solve(cells: DataFrame, sources: DataFrame, cap: int = CAP, max_steps: int = MAX_STEPS) -> DataFrame:
     """``sources`` with the multiplier ``lam`` (and ``full``, where every document is taken ``cap`` times).
 
-    ``cells``: (sid, size, n).  Stops when every source is within a hundredth of a word or 1e-7 of its target."""
+    ``cells``: (sid, size, n).  Stops when every source is within a hundredth of a word or 1e-7 of its target; sources
+    that are not after ``max_steps`` are an error."""
     width = F.greatest(F.col("max_size"), F.lit(1)).cast("double")
     state = stage_table(sources.withColumn("full", F.col("target") >= cap * F.col("source_size") * (1 - 1e-12))
                         .withColumn("lam", F.lit(0.0)).withColumn("lo", -50.0 * width)
                         .withColumn("hi", 2.0 * width).withColumn("open", ~F.col("full")), "mix-state")
     for _ in range(max_steps):
         if state.filter("open").isEmpty():
-            break
+            return state
         mass = F.col("n") * F.col("size") * F.col("rate")
         slope = F.when(F.col("rate") < cap, mass * F.col("size") / F.col("max_size")).otherwise(0.0)
         fixed = lambda x: F.sum(F.round(x * WORD_ONE).cast("long")) / WORD_ONE
@@ -92,6 +93,8 @@ def solve(cells: DataFrame, sources: DataFrame, cap: int = CAP, max_steps: int =
                         .otherwise((F.col("lo2") + F.col("hi2")) / 2))
             .select("sid", "source", "source_size", "max_size", "target", "full", "lam",
                     F.col("lo2").alias("lo"), F.col("hi2").alias("hi"), (~F.col("stays")).alias("open")), "mix-state")
+    if not state.filter("open").isEmpty():
+        raise RuntimeError(f"the dual of some sources is still open after {max_steps} steps")
     return state
 
 
