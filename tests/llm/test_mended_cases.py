@@ -1,6 +1,7 @@
 """Cases that once gave wrong rows: repeated query rows, marks behind letters that are decomposed, small link tables."""
 import random
 import time
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickframe.llm import html_extract, packing, quality_rules, token_counts, topk_search
+from tickframe.llm import common, html_extract, mixing, packing, quality_rules, token_counts, topk_search
 from tickframe.llm.components import stars_of
 from tickframe.llm.queries import ORACLES
 
@@ -122,3 +123,37 @@ def test_quality_rules_beyond_the_base_run_lazily(spark):
     assert df.filter(m).count() == 4
     figures = quality_rules.estimate(df, "text", quality_rules.RULES)
     assert set(figures) == {r.name for r in quality_rules.RULES} and all(c >= 0 and 0 <= s <= 1 for c, s in figures.values())
+
+
+def test_rank_within_deals_equal_rows(spark):
+    """Rows equal in key and order, NULL ids above all, are dealt into groups of bounded size."""
+    rows = [("hot", None, 7)] * 1000 + [("hot", i, i % 3) for i in range(500)] + [("cold", i % 2, 1) for i in range(20)] + [(None, None, None)] * 150
+    df = spark.createDataFrame(rows, "k string, id long, v int").repartition(5)
+    groups = [r[0] for r in common.deal(df, ["k"], ["id", "v"], 50).groupBy("k", "_bucket", "_class", "_part").count().select("count").collect()]
+    assert sum(groups) == len(rows) and max(groups) <= 150
+    ranked = common.rank_within(df, ["k"], ["id", "v"], rows_per_task=50)
+    assert ranked.columns == ["k", "id", "v", "rank"]
+    found = ranked.collect()
+    for k, n in (("hot", 1500), ("cold", 20), (None, 150)):
+        assert sorted(r["rank"] for r in found if r.k == k) == list(range(n))
+    again = common.rank_within(df.repartition(3), ["k"], ["id", "v"], rows_per_task=50).collect()
+    assert Counter(found) == Counter(again)
+
+
+def test_mixing_tells_equal_rows_apart(spark):
+    """A hot source of rows that are equal in every column still gets near its target, on every run the same."""
+    rows = [(None, "one two three", "a")] * 900 + [(i, "w " * (i % 9), "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept, mixing.ROWS_PER_TASK = mixing.ROWS_PER_TASK, 100
+    try:
+        found = mixing.plan(df).collect()
+        assert Counter(found) == Counter(mixing.plan(df.repartition(7)).collect())
+    finally:
+        mixing.ROWS_PER_TASK = kept
+    assert len(found) == 1100
+    for source in "ab":
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 9
+    with pytest.raises(RuntimeError):
+        mixing.solve(spark.createDataFrame([(0, s, 5) for s in range(1, 40)], "sid int, size long, n long"),
+                     spark.createDataFrame([(0, "a", 3900, 39, 4321.0)], "sid int, source string, source_size long, max_size long, target double"), max_steps=1)
