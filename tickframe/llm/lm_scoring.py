@@ -90,7 +90,8 @@ def corpus_counts(docs: DataFrame, shards: int) -> tuple[int, int, int, np.ndarr
             return
         distinct, back = np.unique(np.concatenate(words), return_inverse=True)
         counts = np.bincount(back, np.concatenate(n)).astype(np.int64)
-        hot = (counts * HOT_PART >= counts.sum() * shards) | (distinct == END)
+        # a word that is hot in the corpus is so in its shard too: at most HOT_PART candidates a shard, whatever their number
+        hot = (counts * HOT_PART >= counts.sum()) | (distinct == END)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[0, distinct[hot].view(np.int64)]), pa.array(np.r_[counts.sum(), counts[hot]]),
                                           pa.array(np.r_[len(distinct), np.zeros(hot.sum(), np.int64)])], ["word", "n", "distinct"])
 
