@@ -120,14 +120,9 @@ def q_last_n_bars(spark, sf):
     return finish(ds.last_n_bars(bars_h(spark, sf), 300), D6, K + BAR_COLS)
 
 
-_SHORTENED = f"SELECT * FROM ({BARS_H_SQL}) WHERE length(symbol) % 2 = 0 OR open_time < TIMESTAMP '2024-01-08'"
-
-
-@register("min_history", _bars_q(_SHORTENED, "QUALIFY count(*) OVER (PARTITION BY symbol) >= 250", D6))
+@register("min_history", _bars_q(BARS_H_SQL, "QUALIFY count(*) OVER (PARTITION BY symbol) >= 250", D6))
 def q_min_history(spark, sf):
-    """Symbols with a name of odd length have one week of bars only: too few."""
-    long = (F.length("symbol") % 2 == 0) | (F.col("open_time") < F.lit("2024-01-08").cast("timestamp_ntz"))
-    return finish(feat.min_history(bars_h(spark, sf).filter(long), 250), D6, K + BAR_COLS)
+    return finish(feat.min_history(bars_h(spark, sf), 250), D6, K + BAR_COLS)
 
 
 _FIRSTN_SQL = (f"WITH bars AS ({BARS_S_SQL}), syms AS (SELECT DISTINCT symbol FROM bars ORDER BY symbol LIMIT 7) "
