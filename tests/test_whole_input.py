@@ -21,3 +21,11 @@ def test_min_history_keeps_symbols_of_any_name(spark, tmp_path):
     rows = [(i, kind, t0 + dt.timedelta(hours=i), float(i)) for kind, n in (("abc", 260), ("abcd", 250), ("few", 249)) for i in range(n)]
     spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp_ntz, value double").write.parquet(f"{tmp_path}/events.parquet")
     assert _same_rows(spark, tmp_path, "events", "min_history") == {"abc": 260, "abcd": 250}
+
+
+def test_first_n_symbols_takes_the_reference_count(spark, tmp_path):
+    day = dt.datetime(1995, 1, 1)
+    rows = [(k, 1, 1, k, 1.0, 100.0 + k, day) for k in range(1, 701)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                                "l_extendedprice double, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert len(_same_rows(spark, tmp_path, "lineitem", "first_n_symbols")) == 690
