@@ -29,3 +29,15 @@ def test_first_n_symbols_takes_the_reference_count(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
                                 "l_extendedprice double, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert len(_same_rows(spark, tmp_path, "lineitem", "first_n_symbols")) == 690
+
+
+def test_gbt_rounds_do_not_depend_on_the_input_partitions(spark, monkeypatch):
+    from tickframe.operators import ml
+    rows = spark.range(400, numPartitions=97).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 2 AS INT) AS target")
+    dealt = []
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, df: dealt.append((df.rdd.getNumPartitions(), df.count())))
+    ml.train_gbt(rows, ["a"], "target")
+    assert dealt == [(1, 400)]
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 100)
+    ml.train_gbt(rows, ["a"], "target")
+    assert dealt[1] == (4, 400)

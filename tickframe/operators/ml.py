@@ -8,6 +8,7 @@ where a counterpart exists.  Results are not value-equal to the reference.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -28,12 +29,21 @@ REFERENCE_GBT = {
 }                                        # gamma has no counterpart (minInfoGain has another scale)
 
 
+ROWS_PER_TASK = 20_000   # training rows of a task; each boosting round runs a few jobs over all tasks
+
+
 def train_gbt(train: DataFrame, features: list[str] = MODEL_FEATURES, label: str = "target",
               **overrides) -> PipelineModel:
+    """The tasks of a round follow from the number of training rows, not from the partitions they come in: a small
+    table in many partitions would spend its rounds on starting tasks."""
     params = {**REFERENCE_GBT, **overrides}
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     gbt = GBTClassifier(featuresCol="features", labelCol=label, **params)
-    return Pipeline(stages=[asm, gbt]).fit(train.select(*features, label).dropna())
+    rows = train.select(*features, label).dropna().persist()
+    tasks = max(1, math.ceil(rows.count() / ROWS_PER_TASK))
+    model = Pipeline(stages=[asm, gbt]).fit(rows.repartition(tasks))
+    rows.unpersist()
+    return model
 
 
 def save_artifacts(spark: SparkSession, model: PipelineModel, path: str,

@@ -20,7 +20,7 @@ from tickframe.plans.oracle_enrich import live_sql
 from tickframe.plans.sqlkit import rnd
 from tickframe.plans.stub import STUB_SQL, stub_probability
 from tickframe.schemas import BAR_COLS, LIVE_FEATURES, MODEL_FEATURES
-from tickframe.session import checkpoint_dir
+from tickframe.session import checkpoint_dir, cut_lineage
 from tickframe.sources.fixtures import BARS_H_SQL, bars_d, bars_h
 from tickframe.streaming import bars as st
 from tickframe.streaming.store import BarStore
@@ -123,8 +123,8 @@ def q_train_gbt(spark, sf):
     """Chronological 80/20 split of the complete research rows, Spark ML GBT
     with the reference hyper-parameters (650 boosting rounds, each a few Spark
     jobs), scored on the test rows."""
-    df = ds.drop_incomplete(feat.enrich_research(bars_d(spark, sf)))
-    split = ds.chrono_split(df).persist()
+    df = cut_lineage(ds.drop_incomplete(feat.enrich_research(bars_d(spark, sf))))   # read by the split, the training and the test
+    split = ds.chrono_split(df)
     model = ml.train_gbt(split.filter(F.col("is_train") == 1), MODEL_FEATURES, "target")
     test = split.filter(F.col("is_train") == 0)
     scored = sg.signal_flag(sg.score(test, model), 0.49, out="pred")
