@@ -192,7 +192,7 @@ def upsert_inputs(spark, sf):
     b = bars_s(spark, sf)
     old = (b.filter(F.col("open_time") < F.lit("1998-01-01").cast("timestamp_ntz"))
             .withColumn("volume", F.when(F.col("high") != F.col("low"), F.col("volume"))))
-    new = feat.enrich_live(ds.last_n_bars(b, 600), min_bars=None, parts=None)
+    new = feat.enrich_live(ds.last_n_bars(b, 600), min_bars=None, parts=None, longest=600)
     return old, new
 
 
