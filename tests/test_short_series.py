@@ -43,3 +43,13 @@ def test_long_mean_from_short_sums(spark):
     assert sum(r.plain is not None for r in rows) == 101 + 120
     for r in rows:
         assert (r.m is None) == (r.plain is None) and (r.m is None or r.m == pytest.approx(r.plain, rel=1e-12))
+
+
+def test_a_cycle_aggregates_the_bars_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from tickframe.plans import position_queries as pq
+    read = []
+    bars = pq.bars_s
+    monkeypatch.setattr(pq, "bars_s", lambda *a: read.append(1) or bars(*a))
+    assert pq.q_wallet_after_cycle(spark, SF_SMALL).agg(F.count("*")).first()[0] > 0
+    assert len(read) == 1

@@ -80,7 +80,7 @@ def q_stream_upsert(spark, sf):
 
 def exit_feed(spark, sf):
     """Scored complete bars of held symbols after their purchase bar."""
-    comp = feat.enrich_live(ds.last_n_bars(pq.bars_s(spark, sf), 300), parts=None)
+    comp = feat.enrich_live(pq.recent(spark, sf), parts=None, longest=pq.LAST)
     scored = sg.score(po.rocket_roc(comp), stub_probability)
     pos = pq.positions(spark, sf)
     feed = scored.join(pos, "symbol").filter(F.col("open_time") > F.col("buy_time"))
