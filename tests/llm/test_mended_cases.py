@@ -1,6 +1,7 @@
 """Cases that once gave wrong rows: repeated query rows, marks behind letters that are decomposed, small link tables."""
 import random
 import time
+import zlib
 from collections import Counter
 
 import duckdb
@@ -10,9 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickframe.llm import common, html_extract, mixing, packing, quality_rules, token_counts, topk_search
+from tickframe.llm import common, html_extract, mixing, packing, quality_rules, resharding, token_counts, topk_search
 from tickframe.llm.components import stars_of
-from tickframe.llm.queries import ORACLES
+from tickframe.llm.queries import ORACLES, QUERIES
 
 
 def test_repeated_query_rows_are_ranked_apart(spark):
@@ -157,3 +158,51 @@ def test_mixing_tells_equal_rows_apart(spark):
     with pytest.raises(RuntimeError):
         mixing.solve(spark.createDataFrame([(0, s, 5) for s in range(1, 40)], "sid int, size long, n long"),
                      spark.createDataFrame([(0, "a", 3900, 39, 4321.0)], "sid int, source string, source_size long, max_size long, target double"), max_steps=1)
+
+
+def test_resharding_rewrites_the_affected_shards(spark, tmp_path, monkeypatch):
+    """The transfers are carried out: whole rows, repeated and NULL ids and texts too, lie in their new shard's files;
+    a shard that keeps just what it had is left alone."""
+    monkeypatch.setattr(resharding, "CELL_ROWS", 4)
+    monkeypatch.setattr(resharding, "FILE_BYTES", 2000)
+    docs = [(i % 70 if i % 9 else None, None if i % 50 == 7 else f"text {i % 83} " * (i % 13), f"n{i}", i % 5, -1) for i in range(400)]
+    docs += [(None, "the hot text", "same", 1, -1)] * 30
+    schema = "doc_id long, text string, note string, size int, slot int"
+    crc = lambda t: zlib.crc32((t or "").encode())
+    supply = Counter()
+    for _, t, *_ in docs:
+        supply[crc(t) % 4] += len((t or "").encode()) + 8
+    keep = supply[2]
+
+    def room(total):
+        share = (total - keep) // 4
+        return {0: share, 1: share, 2: keep, 3: share, 4: total - keep - 3 * share}
+
+    path = str(tmp_path / "shards")
+    df = spark.createDataFrame(docs, schema).repartition(5)
+    found = resharding.reshard(df, lambda c: F.pmod(c, F.lit(4)), room, path=path).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == Counter((i, len((t or "").encode()) + 8, crc(t)) for i, t, *_ in docs)
+    back = spark.read.parquet(path).collect()
+    want = Counter((i, t, note, size) for i, t, note, size, _ in docs if crc(t) % 4 != 2)
+    assert {r.shard for r in back} == {0, 1, 3, 4}
+    assert Counter((r.doc_id, r.text, r.note, r.size) for r in back) == want
+    assert (Counter((r.doc_id, crc(r.text), r.shard, r.slot) for r in back)
+            == Counter((r.doc_id, r.text_crc32, r.shard, r.slot) for r in found if r.shard != 2))
+    assert all(r.old_shard == 2 for r in found if r.shard == 2) and sum(r.shard == 2 for r in found) == len(docs) - len(back)
+    for k in range(5):
+        slots = sorted(r.slot for r in found if r.shard == k)
+        assert slots == list(range(len(slots)))
+
+
+def test_sharding_query_reads_the_rewritten_files(spark, tmp_path):
+    docs = [(i // 2 if i % 9 else None, f"text {i % 83} " * (i % 13) if i % 50 != 7 else None) for i in range(200)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op7_sharding"](spark, str(tmp_path))
+    folders = {f.split("/shard=")[0] for f in found.inputFiles() if "/shard=" in f}
+    assert len(folders) == 1
+    back, found = spark.read.parquet(folders.pop()).collect(), found.collect()
+    crc = lambda t: zlib.crc32((t or "").encode())
+    affected = {k for r in found if r.shard != r.old_shard for k in (r.shard, r.old_shard)}
+    assert len(affected) > 12
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(d for d in docs if crc(d[1]) % 16 in affected)
+    assert Counter((r.doc_id, r.text_crc32) for r in found) == Counter((i, crc(t)) for i, t in docs)
