@@ -41,7 +41,7 @@ def enrich_live(spark, sf):
 
 def upsert_bars(spark, sf):
     old, new = upsert_inputs(spark, sf)
-    return upsert(old, new)
+    return upsert(old, new, in_place=True)
 
 
 def trade_ledger(spark, sf):

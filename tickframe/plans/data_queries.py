@@ -189,8 +189,11 @@ def _upsert_sql():
 
 
 def upsert_inputs(spark, sf):
-    b = bars_s(spark, sf)
-    old = (b.filter(F.col("open_time") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    """Both hash-partitioned by symbol and read from one exchange of the bars: the condition of ``old`` counts as
+    non-deterministic, so it is not moved below that exchange."""
+    b = bars_s(spark, sf, combine=False).repartition("symbol")
+    before = F.col("open_time") < F.lit("1998-01-01").cast("timestamp_ntz")
+    old = (b.filter(F.when(F.spark_partition_id() >= 0, before))
             .withColumn("volume", F.when(F.col("high") != F.col("low"), F.col("volume"))))
     new = feat.enrich_live(ds.last_n_bars(b, 600), min_bars=None, parts=None, longest=600)
     return old, new
@@ -199,4 +202,4 @@ def upsert_inputs(spark, sf):
 @register("upsert_bars", _upsert_sql())
 def q_upsert_bars(spark, sf):
     old, new = upsert_inputs(spark, sf)
-    return finish(upsert(old, new), D4, K + _UPD_COLS)
+    return finish(upsert(old, new, in_place=True), D4, K + _UPD_COLS)
